@@ -14,8 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.common import fixed_round
-from shelfspark.plans.oracle_sql import r as sqlr
+from shelfspark.plans.oracle_sql import compare_round_sql
 from shelfspark.plans.oracle_sql import with_stages
 
 
@@ -41,7 +40,7 @@ class Query:
         df = self.build(spark, sf_dir)
         rc = self._digits()
         if rc:
-            df = df.select(*[fixed_round(F.col(c), rc[c]).alias(c) if c in rc else F.col(c) for c in df.columns])
+            df = df.select(*[compare_round(F.col(c), rc[c]).alias(c) if c in rc else F.col(c) for c in df.columns])
         return df
 
     def oracle(self) -> str | None:
@@ -50,10 +49,19 @@ class Query:
         rc = self._digits()
         if not rc:
             return self.sql
-        rep = ", ".join(f"{sqlr(c, d)} AS {c}" for c, d in rc.items())
+        rep = ", ".join(f"{compare_round_sql(c, d)} AS {c}" for c, d in rc.items())
         return f"SELECT * REPLACE ({rep}) FROM ({self.sql}) AS q"
 
 
+def compare_round(c, digits: int):
+    """Comparison rounding: snap to ``digits + 3`` decimals, then round half-up to ``digits``.
+
+    Summation order differs between engines by an ulp; the snap puts both engines'
+    values on the same side of an exact decimal tie before the final rounding."""
+    snapped = F.round(c.cast("decimal(38,12)"), digits + 3)
+    return F.round(snapped, digits).cast("double")
+
+
 REGISTRY: dict[str, Query] = {}
 
 

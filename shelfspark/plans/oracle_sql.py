@@ -143,3 +143,8 @@ def with_stages(body: str, extra: str = "") -> str:
 def r(expr: str, digits: int) -> str:
     """Half-up rounding of the decimal value — the SQL twin of ``fixed_round``."""
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+
+
+def compare_round_sql(expr: str, digits: int) -> str:
+    """SQL twin of ``catalog.compare_round`` (snap to digits+3, then round to digits)."""
+    return f"CAST(ROUND(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits + 3}), {digits}) AS DOUBLE)"

@@ -21,6 +21,7 @@ FACT_COLS = ["Store", "Dept", "Date", "Weekly_Sales", "IsHoliday"]
         "avg(Sales_Class) AS high_pct, count(Weekly_Sales) AS count FROM merged GROUP BY Date"
     ),
     round_cols=["avg_sales", ("total_sales", 5), "high_pct"],
+    digits=6,
 )
 def flagship_weekly_sales(spark, sf_dir):
     """Minimum slice: facts ⟕ stores → as-of series → store-median target → weekly series."""
