@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfspark.operators.chunks import bucket, chunk_bounds, order_key
 from shelfspark.operators.common import BROADCAST_MAX_ROWS, broadcast_if_small, one_row_concat
 
 MATCH = "_matched"
@@ -80,9 +80,10 @@ def asof_join(
 
     Plan (no theta join, no unbounded group in one task):
       1. distinct left keys (map-side combine),
-      2. union with right rows, range-partitioned on (by, on) into equi-depth chunks,
-      3. ``last(row, ignorenulls)`` running inside each chunk; the carry-in for a chunk
-         is the last right row of earlier chunks (a table of ≤ P + #by rows),
+      2. union with right rows, cut into equi-depth chunks of ``on`` (a deterministic
+         bucket of the value; a hot ``by`` key spans many chunks),
+      3. ``last(row, ignorenulls)`` running inside each (by, chunk); the carry-in for a
+         chunk is the last right row of earlier chunks (a table of ≤ P·#by rows),
       4. resolved (key -> right row) equi-joined back to ``left``; broadcast when the
          number of distinct keys is small, shuffle join otherwise.
     """
@@ -97,28 +98,26 @@ def asof_join(
         right.select(*by, on, F.lit(0).alias("_side"), F.struct(*payload).alias("_row"))
     )
     p = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one materialisation for the three branches below (range bounds depend on row order)
-    ranged = (
-        tagged.repartitionByRange(p, *[F.col(c) for c in by], F.col(on), F.col("_side"))
-        .withColumn("_pid", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    w_in = Window.partitionBy("_pid", *by).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    inchunk = ranged.withColumn("_hit", F.last("_row", ignorenulls=True).over(w_in))
+    ltype, rtype = left.schema[on].dataType, right.schema[on].dataType
+    bounds = chunk_bounds([(left, order_key(F.col(on), ltype)), (right, order_key(F.col(on), rtype))], p)
+    chunked = tagged.withColumn("_chunk_id", bucket(order_key(F.col(on), ltype), bounds))
+
+    w_in = Window.partitionBy(*by, "_chunk_id").orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inchunk = chunked.withColumn("_hit", F.last("_row", ignorenulls=True).over(w_in))
 
     last_in_chunk = (
-        ranged.where(F.col("_side") == 0)
-        .groupBy("_pid", *by)
+        chunked.where(F.col("_side") == 0)
+        .groupBy(*by, "_chunk_id")
         .agg(F.max_by("_row", F.col(on)).alias("_last"))
     )
-    chunk_ids = ranged.select("_pid", *by).distinct()
-    carry = chunk_ids.join(last_in_chunk, ["_pid", *by], "left")
-    w_carry = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select("_pid", *by, F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
+    chunk_ids = chunked.select(*by, "_chunk_id").distinct()
+    carry = chunk_ids.join(last_in_chunk, [*by, "_chunk_id"], "left")
+    w_carry = Window.partitionBy(*by).orderBy("_chunk_id").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(*by, "_chunk_id", F.last("_last", ignorenulls=True).over(w_carry).alias("_carry"))
 
     resolved = (
         inchunk.where(F.col("_side") == 1)
-        .join(carry, ["_pid", *by], "left")
+        .join(carry, [*by, "_chunk_id"], "left")
         .select(*by, on, F.coalesce("_hit", "_carry").alias("_row"))
     )
     resolved = broadcast_if_small(resolved, max_broadcast_rows)

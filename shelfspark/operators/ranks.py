@@ -3,12 +3,13 @@
 Spark's exact ``percentile`` keeps a value->count map per group and merges
 each group's map in a single task, so a group holding a third of a 100 TB
 table would land in one task.  Here the sorted order is built from a
-frequency table that is *range*-partitioned on (group, value):
+frequency table cut into value chunks:
 
 1. ``groupBy(group, value).count()`` (map-side combine; one hot value is one row),
-2. ``repartitionByRange(P, group, value)`` — equi-depth chunks, a hot group spans many,
-3. a running sum inside each (chunk, group) piece,
-4. per-(chunk, group) totals (at most P + #groups rows) turned into offsets,
+2. equi-depth chunks of the value order (deterministic bucket of the value), so
+   a hot group spans many chunks,
+3. a running sum inside each (group, chunk) piece,
+4. per-(group, chunk) totals (at most P·#groups rows, usually P + #groups) turned into offsets,
 5. offset + local running sum = number of rows below each value.
 
 From that table: linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``),
@@ -19,11 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PID = "_pid"
+from shelfspark.operators.chunks import bucket, chunk_bounds, order_key
+
+CHUNK = "_chunk_id"
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -53,32 +55,24 @@ def rank_table(
     """
     g = list(groups)
     v = F.col(value)
-    freq = df.where(v.isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("n"))
     p = _partitions(df, partitions)
-    # The range bounds are sampled from row order, which is not fixed after a shuffle:
-    # persist so the running-sum and chunk-total branches read one materialisation
-    # (a lost block is recomputed through the same partitioner).
-    ranged = (
-        freq.repartitionByRange(p, *[F.col(c) for c in g], v)
-        .withColumn(PID, F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    key = order_key(v, df.schema[value].dataType)
+    bounds = chunk_bounds([(df.where(v.isNotNull()), key)], p)
+    freq = df.where(v.isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("n"))
+    freq = freq.withColumn(CHUNK, bucket(order_key(F.col(value), df.schema[value].dataType), bounds))
 
-    w_local = Window.partitionBy(PID, *g).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum("n").over(w_local), F.lit(0)))
+    w_local = Window.partitionBy(*g, CHUNK).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = freq.withColumn("_local", F.coalesce(F.sum("n").over(w_local), F.lit(0)))
 
-    chunks = ranged.groupBy(PID, *g).agg(F.sum("n").alias("_chunk"))
-    w_chunk = Window.partitionBy(*g).orderBy(PID)
+    chunks = freq.groupBy(*g, CHUNK).agg(F.sum("n").alias("_chunk"))
+    w_chunk = Window.partitionBy(*g).orderBy(CHUNK)
     chunks = chunks.select(
-        F.col(PID).alias("_cpid"),
-        *[F.col(c).alias(f"_c_{c}") for c in g],
+        *g,
+        CHUNK,
         F.coalesce(F.sum("_chunk").over(w_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_chunk").over(Window.partitionBy(*g)).alias("n_group"),
     )
-    cond = local[PID] == chunks["_cpid"]
-    for c in g:
-        cond = cond & local[c].eqNullSafe(chunks[f"_c_{c}"])
-    joined = local.join(chunks, cond, "inner")
+    joined = local.join(chunks, [*g, CHUNK], "inner")
     return joined.select(
         *g,
         value,
