@@ -41,9 +41,20 @@ def _row(check: str, column: str | None, status: Column, metric: str, value: Col
 
 
 def _emit(wide: DataFrame, dimension: str, rows: list[Column]) -> DataFrame:
+    """Unpivot the one-row metrics aggregate into check rows.
+
+    The aggregate (all scans, shuffles and quantiles of the dimension) runs as one
+    job; its single metrics row is then the input of the check-row projection, so
+    the optimizer never has to push dozens of status expressions through the
+    aggregate's plan."""
     if not rows:
         return wide.sparkSession.createDataFrame([], ROW_SCHEMA)
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(dimension).alias("dimension"), "r.*")
+    return _local(wide).select(F.explode(F.array(*rows)).alias("r")).select(F.lit(dimension).alias("dimension"), "r.*")
+
+
+def _local(one_row: DataFrame) -> DataFrame:
+    """Run a one-row aggregate and keep its metrics row as a local relation."""
+    return one_row.sparkSession.createDataFrame(one_row.collect(), one_row.schema)
 
 
 def _pf(cond: Column) -> Column:
@@ -177,10 +188,30 @@ def check_completeness(
     for c in series:
         if c in cols:
             aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    w = staged.agg(*aggs)
-    p95 = quantiles_wide(staged.select(F.col("_miss").alias("miss")), ["miss"], {"p95": 0.95}).select("p95")
-    w = one_row_concat(w, p95)
+    # p95 of the per-row missing count (exact, skew-safe) as a scalar, then the single
+    # metrics row of the aggregate; statuses are derived on that one row
+    p95_row = quantiles_wide(staged.select(F.col("_miss").alias("miss")), ["miss"], {"p95": 0.95}).first()
+    w = _local(staged.agg(*aggs)).withColumn("p95", F.lit(p95_row["p95"] if p95_row else None).cast("double"))
     n = F.col("_n")
+    # derived metrics become columns of the one-row frame once, so the check rows
+    # below reference plain columns instead of re-inlining these expressions
+    derived = {}
+    for c in cols:
+        derived[f"{c}__npct"] = pct(F.col(f"{c}__nulls"), n)
+        derived[f"{c}__pct2"] = F.when(n > 0, fixed_round(F.col(f"{c}__nulls") * 100.0 / n, 2)).otherwise(F.lit(0.0))
+    w = w.withColumns(derived)
+    sev = [F.col(f"{c}__pct2") >= C.SEVERE_COLUMN_MISSING_PCT for c in cols]
+    ok = F.lit(True)
+    for c in series:
+        ok = ok & (F.col(f"{c}__pct2") < 5) if c in cols else F.lit(False)
+    w = w.withColumns(
+        {
+            "_sev_n": sum((x.cast("int") for x in sev), F.lit(0)),
+            "_sev_names": F.concat_ws(",", *[F.when(x, F.lit(c)) for x, c in zip(sev, cols)]),
+            "_series_ok": ok,
+            "_rows_pct": pct(F.col("_rows_any"), n),
+        }
+    )
     rows: list[Column] = [_row(f"Minimum row count >= {min_rows}", None, _pf(n >= min_rows), "actual_rows", n)]
     missing = sorted(set(required) - set(cols))
     extra = sorted(set(cols) - set(required))
@@ -193,7 +224,7 @@ def check_completeness(
             rows.append(_row(f"{c} null threshold", c, F.lit("FAIL"), "column_missing", F.lit(1.0)))
             continue
         mx = float(thresholds.get(c, C.DEFAULT_NULL_THRESHOLD_PCT))
-        p = pct(F.col(f"{c}__nulls"), n)
+        p = F.col(f"{c}__npct")
         name = f"{c} null <= {mx}%"
         st = _pf(p <= mx)
         rows += [
@@ -204,35 +235,23 @@ def check_completeness(
     name = "Row-level missingness profile"
     rows += [
         _row(name, None, st, "rows_with_missing", F.col("_rows_any")),
-        _row(name, None, st, "rows_with_missing_pct", pct(F.col("_rows_any"), n)),
+        _row(name, None, st, "rows_with_missing_pct", F.col("_rows_pct")),
         _row(name, None, st, "max_missing_cells_in_row", F.col("_max_miss")),
         _row(name, None, st, "p95_missing_cells_in_row", F.col("p95")),
     ]
-    col_pct = {c: F.when(n > 0, fixed_round(F.col(f"{c}__nulls") * 100.0 / n, 2)).otherwise(F.lit(0.0)) for c in cols}
-    severe_n = sum(((col_pct[c] >= C.SEVERE_COLUMN_MISSING_PCT).cast("int") for c in cols), F.lit(0))
-    severe_names = F.concat_ws(",", *[F.when(col_pct[c] >= C.SEVERE_COLUMN_MISSING_PCT, F.lit(c)) for c in cols])
-    st = F.when((severe_n == 0) & (F.col("_severe_rows") == 0), "PASS").otherwise("WARN")
+    st = F.when((F.col("_sev_n") == 0) & (F.col("_severe_rows") == 0), "PASS").otherwise("WARN")
     name = f"No columns >= {C.SEVERE_COLUMN_MISSING_PCT}% missing & no rows >= {C.SEVERE_ROW_MISSING_PCT}% missing"
     rows += [
-        _row(name, None, st, "severe_columns", severe_n, severe_names),
+        _row(name, None, st, "severe_columns", F.col("_sev_n"), F.col("_sev_names")),
         _row(name, None, st, "severe_row_count", F.col("_severe_rows")),
     ]
-    ok = F.lit(True)
-    srows = []
+    name = "Macro series fully populated"
     for c in series:
         if c in cols:
-            npct = col_pct[c]
-            ok = ok & (npct < 5)
-            srows += [
-                ("null_pct", c, npct),
-                ("min", c, F.col(f"{c}__min")),
-                ("max", c, F.col(f"{c}__max")),
-            ]
+            for metric, v in (("null_pct", F.col(f"{c}__pct2")), ("min", F.col(f"{c}__min")), ("max", F.col(f"{c}__max"))):
+                rows.append(_row(name, c, _pf(F.col("_series_ok")), metric, v))
         else:
-            ok = F.lit(False)
-            srows.append(("null_pct", c, F.lit(100.0)))
-    name = "Macro series fully populated"
-    rows += [_row(name, c, _pf(ok), metric, v) for metric, c, v in srows]
+            rows.append(_row(name, c, F.lit("FAIL"), "null_pct", F.lit(100.0)))
     return _emit(w, "Completeness", rows)
 
 

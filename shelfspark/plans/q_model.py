@@ -1,3 +1,374 @@
-"""Registered queries (q_model)."""
+"""Queries of the preprocessing and model stages (R, F21–F24, Q28, M)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfspark import config as C
+from shelfspark.operators import cleaning as P
+from shelfspark.operators import metrics as M
+from shelfspark.operators import models as ML
+from shelfspark.operators import sampling as R
+from shelfspark.operators import scaling as S
+from shelfspark.operators.common import one_row_concat
+from shelfspark.plans import stages
+from shelfspark.plans.catalog import register, stage_sql
+from shelfspark.session import ensure_checkpoint_dir
+from shelfspark.sources import retail_view as rv
+
+# Columns scaled by the preprocessing stage: numeric model-frame columns minus the
+# no-scale list (checked against the schema at run time).
+SCALE_COLS = [
+    "Size", "Temperature", "Fuel_Price", "MarkDown1", "MarkDown2", "MarkDown3", "MarkDown4", "MarkDown5", "CPI",
+    "Unemployment", "UMCSENT", "RSXFS", "PCE", "Month", "Week", "Quarter", "DayOfYear", "WeekOfMonth", "DaysInMonth",
+    "YearProgress", "HolidayProximity", "TotalMarkDown", "AvgMarkDownAmount", "MaxMarkDown", "SizePerType",
+    "StoreDeptCount", "DeptFrequency", "ConsumerConfRatio", "Holiday_Size", "Temp_Season", "MarkDown_Intensity",
+    "Month_sin", "Month_cos", "Week_sin", "Week_cos",
+]
+
+
+def model_frame(spark, sf_dir):
+    """P6–P8 on the feature table: the frame the split and scaler see."""
+    return P.drop_leakage(P.drop_encoded_categoricals(P.bool_to_int(stages.featured(spark, sf_dir))))
+
+
+def _checked_scale_cols(df):
+    cols = S.scale_columns(df)
+    if sorted(cols) != sorted(SCALE_COLS):
+        raise AssertionError(f"scale columns changed: {sorted(set(cols) ^ set(SCALE_COLS))}")
+    return cols
+
+
+def prepared(spark, sf_dir):
+    """Split (R3) → robust scaler fitted on train (F21) → (train, test, params)."""
+    mf = model_frame(spark, sf_dir)
+    cols = _checked_scale_cols(mf)
+    flagged = R.split_flag(mf)
+    train = flagged.where(~F.col("is_test")).drop("is_test")
+    test = flagged.where(F.col("is_test")).drop("is_test")
+    params = S.fit_robust(train, cols)
+    return S.apply_scaler(train, params, cols), S.apply_scaler(test, params, cols), params
+
+
+# --- sampling / split (rows-only: engine-specific hashing) ------------------------------------
+@register("r1_seeded_sample_5000", None)
+def r1(spark, sf_dir):
+    """5,000 rows by seeded hash order (same rows on any partitioning)."""
+    return R.sample_n(stages.eda(spark, sf_dir), 5000)
+
+
+@register("r1_seeded_sample_per_type", None)
+def r1b(spark, sf_dir):
+    """Up to 2,000 rows per store type."""
+    return R.sample_n(stages.eda(spark, sf_dir), 2000, by="Type")
+
+
+@register("r2_fraction_sample", None)
+def r2(spark, sf_dir):
+    """R2: 25 % seeded fraction sample."""
+    return R.sample_fraction(stages.eda(spark, sf_dir), 0.25)
+
+
+@register("r3_r4_stratified_split_report", None)
+def r3(spark, sf_dir):
+    """R3 stratified 80/20 split by class (hash threshold) and R4 report."""
+    return R.split_report(R.split_flag(model_frame(spark, sf_dir)))
+
+
+@register("r3_exact_stratified_split_report", None)
+def r3b(spark, sf_dir):
+    """R3 exact variant: per-class counts round(0.2·n) from hash ranks."""
+    return R.split_report(R.split_flag(model_frame(spark, sf_dir), exact=True))
+
+
+@register("r5_holdout_split_report", None)
+def r5(spark, sf_dir):
+    """Unstratified 85/15 hold-out."""
+    return R.split_report(R.split_flag(model_frame(spark, sf_dir), test_fraction=0.15, stratify=None))
+
+
+# --- scaling ---------------------------------------------------------------------------------
+def _robust_sql(table: str) -> str:
+    return stage_sql(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", quantile_cont({c}, 0.5) AS center, "
+            f"CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 THEN 1e0 "
+            f"ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS scale FROM {table}"
+            for c in SCALE_COLS
+        )
+    )
+
+
+@register("f21_robust_scaler_params_full", _robust_sql("featured"), round_cols=["center", "scale"], digits=6)
+def f21(spark, sf_dir):
+    """robust-scaler parameters (median, IQR; IQR 0 → 1) fitted on the whole feature table."""
+    mf = model_frame(spark, sf_dir)
+    return S.fit_robust(mf, _checked_scale_cols(mf))
+
+
+@register(
+    "f22_standard_scaler_params_full",
+    stage_sql(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", avg({c}) AS center, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL THEN 1e0 "
+            f"ELSE stddev_pop({c}) END AS scale FROM featured"
+            for c in SCALE_COLS
+        )
+    ),
+    round_cols=["center", "scale"],
+    digits=4,
+)
+def f22(spark, sf_dir):
+    """standard-scaler parameters (mean, population std; 0 → 1)."""
+    mf = model_frame(spark, sf_dir)
+    return S.fit_standard(mf, _checked_scale_cols(mf))
+
+
+@register("f21_scaled_train_medians", None)
+def f21b(spark, sf_dir):
+    """F21 fit on train, applied to both: scaled train medians are ≈ 0 (rows-only)."""
+    from shelfspark.operators.ranks import quantiles_wide
+
+    train, _, _ = prepared(spark, sf_dir)
+    return quantiles_wide(train, SCALE_COLS, {"median": 0.5})
+
+
+@register("q28_post_scale_checks", None)
+def q28(spark, sf_dir):
+    """Q28: NULL and infinite cells of scaled train and test."""
+    train, test, _ = prepared(spark, sf_dir)
+    return S.post_scale_checks(train, "train").unionByName(S.post_scale_checks(test, "test"))
+
+
+@register("f23_f24_feature_metadata", None)
+def f24(spark, sf_dir):
+    """F23 scale-column selection and F24 feature metadata (binary / continuous / scaled)."""
+    train, _, _ = prepared(spark, sf_dir)
+    return S.feature_metadata(train, SCALE_COLS)
+
+
+# --- metrics on a ready (y, ŷ) table ----------------------------------------------------------
+LABELS_CTE = (
+    "lab AS (SELECT l.doc_id, l.quality AS y, 1 - l.toxic AS pred, CAST(d.n_chars AS DOUBLE) AS score, d.lang <> 'en' AS segment "
+    "FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
+)
+
+
+def labels_frame(spark, sf_dir):
+    """(y, pred, score, segment): quality vs. the non-toxic flag, document length as score,
+    non-English documents as the up-weighted segment."""
+    lab = rv.table(spark, sf_dir, "labels")
+    docs = rv.table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    return lab.join(docs, "doc_id").select(
+        "doc_id",
+        F.col("quality").alias("y"),
+        (1 - F.col("toxic")).alias("pred"),
+        F.col("n_chars").cast("double").alias("score"),
+        (F.col("lang") != "en").alias("segment"),
+    )
+
+
+def _metrics_sql(src: str) -> str:
+    return (
+        "SELECT tp, fp, fn, tn, CASE WHEN tp + tn + fp + fn > 0 THEN (tp + tn) / (tp + tn + fp + fn) ELSE 0e0 END AS accuracy, "
+        "prec AS precision, rec AS recall, CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0e0 END AS f1 FROM ("
+        "SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0e0 END AS prec, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0e0 END AS rec FROM ("
+        f"SELECT count_if(y = 1 AND pred = 1) AS tp, count_if(y <> 1 AND pred = 1) AS fp, count_if(y = 1 AND pred <> 1) AS fn, "
+        f"count_if(y <> 1 AND pred <> 1) AS tn FROM {src}))"
+    )
+
+
+@register("m8_binary_metrics", stage_sql(_metrics_sql("lab"), LABELS_CTE), round_cols=["accuracy", "precision", "recall", "f1"], digits=9)
+def m8(spark, sf_dir):
+    """M8: accuracy, precision, recall, F1 from confusion counts."""
+    return M.binary_metrics(labels_frame(spark, sf_dir))
+
+
+def _auc_sql(src: str) -> str:
+    rk = "((rank() OVER (ORDER BY score)) + (count(*) OVER () - rank() OVER (ORDER BY score DESC) + 1)) / 2e0"
+    return (
+        "SELECT CASE WHEN n1 > 0 AND n0 > 0 THEN (rs - n1 * (n1 + 1) / 2) / (n1 * n0) END AS roc_auc FROM ("
+        f"SELECT sum(CASE WHEN y = 1 THEN rk END) AS rs, CAST(count_if(y = 1) AS DOUBLE) AS n1, CAST(count_if(y <> 1) AS DOUBLE) AS n0 "
+        f"FROM (SELECT y, {rk} AS rk FROM {src} WHERE score IS NOT NULL AND y IS NOT NULL))"
+    )
+
+
+@register("m9_roc_auc_labels", stage_sql(_auc_sql("lab"), LABELS_CTE), round_cols=["roc_auc"], digits=9)
+def m9(spark, sf_dir):
+    """M9: exact ROC-AUC (rank sum, average ranks for ties) of document length for quality."""
+    return M.roc_auc(labels_frame(spark, sf_dir))
+
+
+@register(
+    "m9_roc_auc_retail_size",
+    stage_sql(_auc_sql("(SELECT Sales_Class AS y, CAST(Size AS DOUBLE) AS score FROM eda)")),
+    round_cols=["roc_auc"],
+    digits=9,
+)
+def m9b(spark, sf_dir):
+    """M9 on the retail table: AUC of store Size as a univariate score of the class."""
+    e = stages.eda(spark, sf_dir).select(F.col("Sales_Class").alias("y"), F.col("Size").cast("double").alias("score"))
+    return M.roc_auc(e)
+
+
+@register(
+    "m10_weighted_f1",
+    stage_sql(
+        "SELECT sum(f1 * support) / sum(support) AS weighted_f1 FROM (SELECT support, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0e0 END AS f1 FROM ("
+        "SELECT s.support, CASE WHEN COALESCE(pr.predicted, 0) > 0 THEN COALESCE(t.tp, 0) / pr.predicted ELSE 0e0 END AS p, "
+        "CASE WHEN s.support > 0 THEN COALESCE(t.tp, 0) / s.support ELSE 0e0 END AS r FROM "
+        "(SELECT y AS k, count(*) AS support FROM lab GROUP BY y) s "
+        "LEFT JOIN (SELECT y AS k, count(*) AS tp FROM lab WHERE y = pred GROUP BY y) t ON s.k = t.k "
+        "LEFT JOIN (SELECT pred AS k, count(*) AS predicted FROM lab GROUP BY pred) pr ON s.k = pr.k))",
+        LABELS_CTE,
+    ),
+    round_cols=["weighted_f1"],
+    digits=9,
+)
+def m10(spark, sf_dir):
+    """Support-weighted F1."""
+    return M.weighted_f1(labels_frame(spark, sf_dir))
+
+
+_SEG_SQL = (
+    "SELECT ha AS holiday_accuracy, ra AS regular_accuracy, (5 * (1 - ha) + 1 * (1 - ra)) / 6 AS weighted_classification_error FROM ("
+    "SELECT COALESCE(avg(CASE WHEN segment THEN CAST(y = pred AS DOUBLE) END), 0e0) AS ha, "
+    "COALESCE(avg(CASE WHEN NOT segment THEN CAST(y = pred AS DOUBLE) END), 0e0) AS ra FROM {src})"
+)
+
+
+@register(
+    "m11_m12_segment_accuracy",
+    stage_sql(_SEG_SQL.format(src="lab"), LABELS_CTE),
+    round_cols=["holiday_accuracy", "regular_accuracy", "weighted_classification_error"],
+    digits=9,
+)
+def m11(spark, sf_dir):
+    """M11 segment accuracy (0.0 when empty) and M12 weighted classification error."""
+    return M.segment_accuracy(labels_frame(spark, sf_dir))
+
+
+_PREDICTORS = {
+    "non_toxic": "1 - toxic_flag",
+    "long_document": "CASE WHEN score > 1000 THEN 1 ELSE 0 END",
+    "always_high": "1",
+}
+
+
+def _comparison_sql() -> str:
+    parts = []
+    for name, expr in _PREDICTORS.items():
+        src = f"(SELECT y, {expr} AS pred, score, segment FROM (SELECT y, 1 - pred AS toxic_flag, score, segment FROM lab))"
+        parts.append(
+            f"SELECT '{name}' AS model, m.accuracy, m.precision, m.recall, m.f1, a.roc_auc, s.holiday_accuracy, s.regular_accuracy, "
+            f"s.weighted_classification_error FROM ({_metrics_sql(src)}) m, ({_auc_sql(src)}) a, ({_SEG_SQL.format(src=src)}) s"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register(
+    "m13_model_comparison",
+    stage_sql(_comparison_sql(), LABELS_CTE),
+    round_cols=["accuracy", "precision", "recall", "f1", "roc_auc", "holiday_accuracy", "regular_accuracy", "weighted_classification_error"],
+    digits=9,
+)
+def m13(spark, sf_dir):
+    """Metric rows of several predictors, comparable as one table."""
+    lab = labels_frame(spark, sf_dir)
+    preds = {
+        "non_toxic": F.col("pred"),
+        "long_document": F.when(F.col("score") > 1000, 1).otherwise(0),
+        "always_high": F.lit(1),
+    }
+    out = None
+    for name, e in preds.items():
+        rep = M.model_report(lab.withColumn("pred", e), name)
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+@register(
+    "m13_best_model",
+    stage_sql(f"SELECT model, f1 FROM ({_comparison_sql()}) ORDER BY f1 DESC, model LIMIT 1", LABELS_CTE),
+    round_cols=["f1"],
+    digits=9,
+)
+def m13b(spark, sf_dir):
+    """Best predictor by F1."""
+    return M.best_model(m13(spark, sf_dir)).select("model", "f1")
+
+
+# --- models (rows-only: training is randomised) ----------------------------------------------------
+def _train_test(spark, sf_dir):
+    train, test, _ = prepared(spark, sf_dir)
+    keep = [*C.SELECTED_FEATURES, C.TARGET, "IsHoliday"]
+    return train.select(*keep), test.select(*keep)
+
+
+def _evaluate(scored, name: str):
+    df = scored.select(
+        F.col(C.TARGET).alias("y"), F.col("prediction").cast("int").alias("pred"), F.col("p1").alias("score"), F.col("IsHoliday").alias("segment")
+    )
+    return M.model_report(df, name)
+
+
+@register("m1_dummy_baseline", None)
+def m1(spark, sf_dir):
+    """M1: stratified dummy baseline scored on the test split."""
+    train, test = _train_test(spark, sf_dir)
+    return _evaluate(ML.dummy_stratified(train, test), "dummy_stratified")
+
+
+@register("m2_m7_logistic_regression", None)
+def m2(spark, sf_dir):
+    """M2 logistic regression (C = 1) trained on train, M7 scored on test."""
+    train, test = _train_test(spark, sf_dir)
+    model = ML.logistic(C.SELECTED_FEATURES, train.count()).fit(train)
+    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "logistic_regression")
+
+
+@register("m3_random_forest", None)
+def m3(spark, sf_dir):
+    """M3 random forest (200 trees, depth 10, leaf ≥ 1) on the selected features."""
+    train, test = _train_test(spark, sf_dir)
+    model = ML.random_forest(C.SELECTED_FEATURES).fit(train)
+    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "random_forest")
+
+
+@register("m4_boosted_trees", None)
+def m4(spark, sf_dir):
+    """M4 gradient-boosted trees (100 rounds, depth 7, step 0.1)."""
+    train, test = _train_test(spark, sf_dir)
+    model = ML.boosted_trees(C.SELECTED_FEATURES).fit(train)
+    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "boosted_trees")
+
+
+@register("m5_grid_search", None)
+def m5(spark, sf_dir):
+    """M5: 3-fold grid search by ROC-AUC (depth 3 vs 5 of 10-round boosted trees; the
+    reference's 243-combination grid is a parameter of ``grid_search``)."""
+    train, test = _train_test(spark, sf_dir)
+    cv = ML.grid_search(ML.boosted_trees(C.SELECTED_FEATURES, max_iter=10), {"maxDepth": [3, 5]})
+    best = cv.fit(train).bestModel
+    return _evaluate(ML.score(best, test, C.SELECTED_FEATURES), "boosted_trees_cv")
+
+
+@register("m14_feature_importance", None)
+def m14(spark, sf_dir):
+    """Impurity importances (boosted trees) and |coefficients| (logistic)."""
+    train, _ = _train_test(spark, sf_dir)
+    gbt = ML.boosted_trees(C.SELECTED_FEATURES, max_iter=20).fit(train)
+    lr = ML.logistic(C.SELECTED_FEATURES, train.count()).fit(train)
+    return ML.importances(gbt, C.SELECTED_FEATURES, "boosted_trees").unionByName(ML.importances(lr, C.SELECTED_FEATURES, "logistic_regression"))
+
+
+@register("m16_load_or_train", None)
+def m16(spark, sf_dir):
+    """Reuse the saved logistic model under the checkpoint folder, else train and save."""
+    train, test = _train_test(spark, sf_dir)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + "/models/logistic_" + sf_dir.strip("/").replace("/", "_")
+    model = ML.load_or_train(path, ML.logistic(C.SELECTED_FEATURES, train.count()), train)
+    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "logistic_regression_saved")
+
+
+_ = one_row_concat

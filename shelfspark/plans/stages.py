@@ -1,10 +1,11 @@
 """Stage tables of the retail pipeline, built once per (application, data dir).
 
 acquire → clean → features → EDA table, like the reference's stage files, but
-each stage is a lazy plan whose result is checkpointed into the cluster's
-shared checkpoint folder (``spark.checkpoint.dir``): later stages and
-queries read the materialised table instead of re-running the joins, and the
-lineage is cut so a lost executor only recomputes from the stage table.
+each stage is a lazy plan whose result is written as Parquet into the
+cluster's shared checkpoint folder (``spark.checkpoint.dir``): later stages
+and queries read the materialised table (with column pruning and pushed
+filters) instead of re-running the joins, and the lineage is cut so a lost
+executor only recomputes from the stage table.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def _key(spark: SparkSession, sf_dir: str, stage: str) -> tuple[str, str, str]:
 def _stage(spark: SparkSession, sf_dir: str, stage: str, build) -> DataFrame:
     k = _key(spark, sf_dir, stage)
     if k not in _CACHE:
-        _CACHE[k] = cut_lineage(build())
+        _CACHE[k] = cut_lineage(build(), stage)
     return _CACHE[k]
 
 
