@@ -1,3 +1,101 @@
-"""Registered queries (q_extra)."""
+"""Queries of the documented-only features (X1–X5) and the file sources/sinks (S)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfspark.operators import quality as Q
+from shelfspark.operators import timeseries as X
+from shelfspark.plans import stages
+from shelfspark.plans.catalog import register, stage_sql
+from shelfspark.session import ensure_checkpoint_dir
+from shelfspark.sources import files
+from shelfspark.sources import retail_view as rv
+
+_W = "PARTITION BY Store, Dept ORDER BY Date, Weekly_Sales"
+
+
+@register(
+    "x1_x2_lags_and_rolling",
+    stage_sql(
+        "SELECT Store, Dept, Date, Weekly_Sales, "
+        + ", ".join(f"lag(Weekly_Sales, {k}) OVER ({_W}) AS Weekly_Sales_lag{k}" for k in (1, 2, 4))
+        + ", "
+        + ", ".join(f"avg(Weekly_Sales) OVER ({_W} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS Weekly_Sales_roll_mean{k}" for k in (4, 8, 12))
+        + f", stddev_samp(Weekly_Sales) OVER ({_W} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS Weekly_Sales_roll_std4 FROM merged"
+    ),
+    round_cols=["Weekly_Sales_roll_mean4", "Weekly_Sales_roll_mean8", "Weekly_Sales_roll_mean12", ("Weekly_Sales_roll_std4", 3)],
+    digits=6,
+)
+def x1_x2(spark, sf_dir):
+    """X1 lags 1/2/4 and X2 prior-row rolling means 4/8/12 and std 4 per (Store, Dept)."""
+    m = stages.merged(spark, sf_dir).select("Store", "Dept", "Date", "Weekly_Sales")
+    return X.add_rolling(X.add_lags(m))
+
+
+@register(
+    "x4_econ_composites",
+    stage_sql(
+        "SELECT Store, Dept, Date, (" + " + ".join(
+            f"CASE WHEN max({c}) OVER () - min({c}) OVER () > 0 THEN ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) ELSE 0e0 END"
+            for c in ("UMCSENT", "RSXFS", "PCE")
+        ) + ") / 3 AS EconIndex, CASE WHEN PCE <> 0 THEN RSXFS / PCE END AS RealSpendingPerCapita, "
+        "CASE WHEN CPI <> 0 THEN Fuel_Price / CPI END AS FuelBurden FROM merged"
+    ),
+    round_cols=["EconIndex", "RealSpendingPerCapita", "FuelBurden"],
+    digits=6,
+)
+def x4(spark, sf_dir):
+    """EconIndex, RealSpendingPerCapita, FuelBurden."""
+    m = stages.merged(spark, sf_dir).select("Store", "Dept", "Date", "UMCSENT", "RSXFS", "PCE", "Fuel_Price", "CPI")
+    return X.add_econ_composites(m).select("Store", "Dept", "Date", "EconIndex", "RealSpendingPerCapita", "FuelBurden")
+
+
+@register(
+    "x5_time_split_counts",
+    stage_sql(
+        "SELECT split, count(*) AS rows FROM (SELECT CASE WHEN d <= c0 THEN 'train' WHEN d <= c1 THEN 'validation' ELSE 'test' END AS split "
+        "FROM (SELECT date_diff('day', DATE '1970-01-01', Date) AS d FROM merged) CROSS JOIN "
+        "(SELECT quantile_cont(dd, 0.7) AS c0, quantile_cont(dd, 0.85) AS c1 FROM "
+        "(SELECT DISTINCT date_diff('day', DATE '1970-01-01', Date) AS dd FROM merged))) GROUP BY split"
+    ),
+)
+def x5(spark, sf_dir):
+    """Train / validation / test by date cut-offs (70 % / 85 % of distinct dates)."""
+    return X.time_split(stages.merged(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("x3_trend_acceleration", None)
+def x3(spark, sf_dir):
+    """4-row least-squares trend and its change per (Store, Dept) (rows-only)."""
+    m = stages.merged(spark, sf_dir).select("Store", "Dept", "Date", "Weekly_Sales")
+    return X.add_trend(m)
+
+
+@register("x4_econ_momentum", None)
+def x4b(spark, sf_dir):
+    """Month-over-month change of the EconIndex of the monthly series (rows-only)."""
+    return X.econ_momentum(rv.monthly_series(spark, sf_dir))
+
+
+# --- sources / sinks round trips (rows-only) --------------------------------------------------
+@register("s7_s9_stage_table_roundtrip", None)
+def s7(spark, sf_dir):
+    """S7 partitioned Parquet sink of the EDA table and S9 read-back with Date coerced."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/eda_by_year_{abs(hash(sf_dir))}"
+    files.write_table(stages.eda(spark, sf_dir), path, partition_by=["Year"], sort_within=["Date"])
+    return files.read_eda(spark, path).groupBy("Year").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("s8_s11_check_rows_roundtrip", None)
+def s8(spark, sf_dir):
+    """S8 check-row sink (JSON) and S11 read-back with a schema (absent path → empty)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/reports/accuracy_{abs(hash(sf_dir))}"
+    files.write_checks(Q.check_accuracy(stages.merged(spark, sf_dir)), path, fmt="json")
+    schema = T.StructType.fromDDL(Q.ROW_SCHEMA)
+    back = files.read_optional_json(spark, path, schema)
+    missing = files.read_optional_json(spark, path + "_absent", schema)
+    return back.unionByName(missing)
