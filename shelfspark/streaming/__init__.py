@@ -1,0 +1 @@
+"""Streaming: the reference pipeline has no streaming operators, so none are claimed here."""
