@@ -46,7 +46,10 @@ def prepared(spark, sf_dir):
     flagged = R.split_flag(mf)
     train = flagged.where(~F.col("is_test")).drop("is_test")
     test = flagged.where(F.col("is_test")).drop("is_test")
-    params = S.fit_robust(train, cols)
+    # the fitted parameters are one row per column: materialise them once so train,
+    # test and every model pass read the same small table instead of refitting
+    fitted = S.fit_robust(train, cols)
+    params = spark.createDataFrame(fitted.collect(), fitted.schema)
     return S.apply_scaler(train, params, cols), S.apply_scaler(test, params, cols), params
 
 
