@@ -20,7 +20,7 @@ from shelfspark.functions.pvalues import r_pvalue_udf, t_pvalue_udf
 from shelfspark.operators.common import present
 from shelfspark.operators.ranks import attach_average_rank
 
-MAX_AGGS_PER_PASS = 200  # keeps generated code of one aggregate small
+MAX_AGGS_PER_PASS = 40  # keeps the generated code of one aggregate small
 
 
 def _batched_agg(df: DataFrame, exprs: list[Column]) -> list[DataFrame]:
@@ -76,16 +76,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_cases: bo
     exprs = [pearson(data, a, b).alias(f"c{i}") for i, (a, b) in enumerate(upper)]
     rows = []
     for part in _batched_agg(data, exprs):
-        structs = [
-            F.struct(F.lit(upper[int(name[1:])][0]).alias("a"), F.lit(upper[int(name[1:])][1]).alias("b"), F.col(name).alias("r"))
-            for name in part.columns
-        ]
+        structs = []
+        for name in part.columns:
+            a, b = upper[int(name[1:])]
+            structs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(name).alias("r")))
+            if a != b:  # both orientations from the same aggregate, no second pass
+                structs.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(name).alias("r")))
         rows.append(part.select(F.explode(F.array(*structs)).alias("x")).select("x.*"))
-    tri = rows[0]
+    out = rows[0]
     for r in rows[1:]:
-        tri = tri.unionByName(r)
-    mirror = tri.where(F.col("a") != F.col("b")).select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    return tri.unionByName(mirror)
+        out = out.unionByName(r)
+    return out
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = C.TARGET) -> DataFrame:
