@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfspark.llm import simhash
-from shelfspark.llm.common import read_table
+from shelfspark.llm import langid, packing, simhash, tokenfile, toxicity
+from shelfspark.llm.common import crc_fold, read_table
+from shelfspark.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,3 +26,38 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, tau=2)
     return out.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+TOXIC_FROM = 0.3
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    """Learned from labelled rows outside fold 2 of 4."""
+    return toxicity.learn(docs, read_table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 4) != 2)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    out = toxicity.toxicity(docs, toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read_table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 3)
+    out = langid.identify(docs, train=fold != 1)
+    return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    files = tokenfile.write_token_files(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.read_token_files(files, folder)
