@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import langid, packing, simhash, tokenfile, toxicity
+from shelfspark.llm import decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokenfile, topk, toxicity
 from shelfspark.llm.common import crc_fold, read_table
 from shelfspark.session import ensure_checkpoint_dir
 
@@ -33,6 +33,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 TOXIC_FROM = 0.3
 
 
@@ -49,6 +55,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept findings: ``word`` is the finding's place among the document's words, ``value_sha256`` its value's hash."""
+    out = secrets.scan(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "word", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), "probability")
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read_table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 3)
@@ -56,8 +74,39 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     files = tokenfile.write_token_files(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenfile.read_token_files(files, folder)
+
+
+#: Query documents: ids divisible by this; their rarest words; results for each.
+QUERY_EVERY, QUERY_TERMS, TOP = 20, 16, 10
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return topk.search(docs, docs.where(F.col("doc_id") % QUERY_EVERY == 0), k=TOP, terms=QUERY_TERMS)
+
+
+SQL["op8_exact_top_k"] = f"""
+WITH words AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+size AS (SELECT count(*) AS n, sum(len(w)) / count(*) AS mean FROM words),
+tf AS (SELECT place, doc_id, len(w) AS length, unnest(w) AS term FROM words),
+counts AS (SELECT place, doc_id, length, term, count(*) AS tf FROM tf GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+asked AS (SELECT query_id, term, df FROM (
+    SELECT q.doc_id AS query_id, q.term, df.df, row_number() OVER (PARTITION BY q.doc_id ORDER BY df.df, q.term) AS r
+    FROM (SELECT DISTINCT doc_id, term FROM counts WHERE doc_id % {QUERY_EVERY} = 0) q JOIN df USING (term) WHERE df.df >= 2) WHERE r <= {QUERY_TERMS}),
+scored AS (SELECT a.query_id, c.place, c.doc_id, round(sum(ln(1 + (size.n - a.df + 0.5) / (a.df + 0.5)) * c.tf * 2.2 / (c.tf + 1.2 * (0.25 + 0.75 * c.length / size.mean))), 6) AS score
+    FROM asked a JOIN counts c USING (term), size GROUP BY a.query_id, c.place, c.doc_id)
+SELECT query_id, rank, doc_id, score FROM (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id NULLS LAST, place) AS INTEGER) AS rank, doc_id, score FROM scored)
+WHERE rank <= {TOP}"""

@@ -58,15 +58,16 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint as a signed long): one row for each row of ``docs``; a NULL, empty or blank
-    text has 0."""
+    """``doc_id``, ``key`` (hash of the text), ``fp`` (the fingerprint as a signed long): one row for each row of ``docs``; a
+    NULL, empty or blank text has 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fps.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return text_rows(docs, id_col, text_col, binary=True).mapInArrow(run, "doc_id long, fp long")
+    rows = text_rows(docs, id_col, text_col, binary=True)
+    return rows.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -245,12 +246,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str
     NULL, empty and blank texts have fingerprint 0 and link like any other; a NULL id takes no part in the minimum
     (a component of NULL ids alone has NULL); repeated rows come out as often as they went in; an empty table gives an
     empty result."""
+    return _grouped(docs, shingle, tau, id_col, text_col, bucket_rows).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, tau: int, id_col: str, text_col: str, bucket_rows: int) -> DataFrame:
+    """``doc_id``, ``key``, ``fp``, ``root`` (a fingerprint that names the component), ``component_id``."""
     fps = cut_lineage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("low_id"))
     roots = connected_components(similar_edges(nodes, tau, bucket_rows))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low_id", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    return fps.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return fps.join(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "key", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 2048) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: of each component the row with the smallest id (NULL ids last, then the
+    smallest hash of the text), once if it is repeated."""
+    rows = _grouped(docs, shingle, tau, id_col, text_col, bucket_rows)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))
+    kept = cut_lineage(rows.groupBy("root").agg(first.alias("row")).select(F.col("row.doc_id").alias("kept_id"), F.col("row.key").alias("kept_key")), "kept-rows")
+    names = [f"c{k}" for k in range(len(docs.columns))]  # columns of docs may have any names
+    own = docs.toDF(*names)
+    text, doc_id = names[docs.columns.index(text_col)], names[docs.columns.index(id_col)]
+    own = own.withColumn("own_id", F.col(doc_id).cast("long")).withColumn("own_key", F.xxhash64(F.col(text).cast("string").cast("binary")))
+    stay = own.join(kept, own["own_id"].eqNullSafe(kept["kept_id"]) & (own["own_key"] == kept["kept_key"]), "left_semi")
+    return stay.dropDuplicates(["own_id", "own_key"]).select(*names).toDF(*docs.columns)
 
 
 def hex_fingerprint(fp):

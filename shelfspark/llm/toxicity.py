@@ -153,3 +153,14 @@ def toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in out], pa.float64()), pa.array(spans, kind)], ["doc_id", "score", "sentences"])
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, sentences array<struct<start:int,end:int,score:double>>")
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, all columns; no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([score(model, t)[0] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
