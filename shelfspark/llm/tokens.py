@@ -17,37 +17,76 @@ CHUNK = re.compile(r"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
 #: White space beyond ASCII, and controls that some libraries count as such: texts with them are encoded in one piece.
 ODD_SPACE = re.compile(r"[^\S \t\n\r\x0b\f]")
 END_MARKS = frozenset(".,")
+#: Tried in turn as a mark between chunks that are encoded together: it must come out as one id of its own.
+SEPARATORS = ("\n", " ~ ", " | ", " ^ ")
+#: Chunks encoded together.
+TOGETHER = 1000
 
 
 class ChunkEncoder:
-    """Encodes texts; remembers the ids of up to ``memo_chunks`` chunks and starts anew when it is full, so that a word is
-    looked up in the vocabulary's merge table once and its memory stays bounded.
+    """Encodes texts; remembers the ids of chunks, so that a word goes through the vocabulary's merges once.  The memory is two
+    generations of up to ``memo_chunks`` chunks; the older one is dropped when the younger is full.
 
     Valid for tokenizers that split at white space before merging, as byte-level and end-of-word BPE do.  Strings of
     special tokens in a text are ordinary text.  ``piece_chars`` bounds the characters handled at a time (a longer text
     makes a piece of its own)."""
 
-    def __init__(self, path: str, memo_chunks: int = 400_000, piece_chars: int = 1 << 20):
+    def __init__(self, path: str, memo_chunks: int = 600_000, piece_chars: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo_chunks, self.piece_chars, self.memo = memo_chunks, piece_chars, {}
+        self.memo_chunks, self.piece_chars, self.memo, self.older = memo_chunks, piece_chars, {}, {}
+        self.separator, self.mark = next(((s, ids[0]) for s in SEPARATORS if len(ids := self._separator_ids(s)) == 1), ("", -1))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _separator_ids(self, separator: str) -> list[int]:
+        a, b, both = self._ids("so"), self._ids("it"), self._ids(f"so{separator}it")
+        return both[len(a) : len(both) - len(b)] if both[: len(a)] == a and both[len(both) - len(b) :] == b else []
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, from one text that has the separator between them."""
+        out = []
+        for start in range(0, len(chunks), TOGETHER):
+            group = chunks[start : start + TOGETHER]
+            ids = np.asarray(self._whole_ids(self.separator.join(group)), "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(ends) != len(group):
+                out += self._whole(group)
+                continue
+            raw, begin = ids.tobytes(), 0
+            for end in ends.tolist():
+                out.append(raw[4 * begin : 4 * end])
+                begin = end + 1
+        return out
+
+    def _whole_ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _learn(self, chunks: set[str]) -> None:
+        memo, older = self.memo, self.older
+        known = chunks & older.keys()
+        memo.update((c, older[c]) for c in known)
+        chunks = chunks - known
         # a letters-only chunk and its final mark are separate pre-tokens: the bare word serves all its uses
         split = {c: (c[:-1], c[-1]) for c in chunks if c[-1] in END_MARKS and c[:-1].lstrip(" ").isalpha()}
-        new = [c for c in {*chain.from_iterable(split.values()), *(chunks - split.keys())} if c not in self.memo]
-        self.memo.update(zip(new, self._whole(new)))
-        self.memo.update({c: self.memo[word] + self.memo[mark] for c, (word, mark) in split.items()})
+        new = {*chain.from_iterable(split.values()), *(chunks - split.keys())}.difference(memo)
+        sign = self.separator.strip() or self.separator
+        plain = [c for c in new if sign and sign not in c and "\n" not in c and "  " not in c]
+        rest = list(new.difference(plain))
+        memo.update(zip(plain, self._together(plain)))
+        memo.update(zip(rest, self._whole(rest)))
+        memo.update((c, memo[word] + memo[end]) for c, (word, end) in split.items())
 
     def _piece(self, texts: list[str]) -> Iterator[bytes]:
         chunks = [None if ODD_SPACE.search(t) else CHUNK.findall(t) for t in texts]
         if len(self.memo) > self.memo_chunks:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
         missing = set(chain.from_iterable(c for c in chunks if c)).difference(self.memo)
         if missing:
             self._learn(missing)
