@@ -50,6 +50,8 @@ NULL_THRESHOLDS_PCT = {
 DEFAULT_NULL_THRESHOLD_PCT = 20.0
 SEVERE_COLUMN_MISSING_PCT = 40.0
 SEVERE_ROW_MISSING_PCT = 30.0
+# Largest NULL threshold (per cent) of each criticality level, in rising order.
+CRITICALITY_LEVELS = [(0.0, "critical"), (5.0, "high"), (100.0, "medium")]
 MIN_ROWS = 5_000
 
 IQR_MULTIPLIER = 1.5
@@ -107,6 +109,24 @@ SALES_LABELS = {0: "Low", 1: "High"}
 SALES_BUCKET_EDGES = [0, 5000, 15000, 30000, 50000]
 SALES_BUCKET_LABELS = ["Negative/Return", "Very Low", "Low", "Medium", "High", "Very High"]
 EPSILON = 1e-6
+CYCLICAL_COLUMNS = ["Month_sin", "Month_cos", "Week_sin", "Week_cos"]
+
+# Every numeric column of the EDA table but the target and the two ids, in table order.
+EDA_NUMERIC_COLUMNS = [
+    "Weekly_Sales", "Size", "Temperature", "Fuel_Price", "MarkDown1",
+    "MarkDown2", "MarkDown3", "MarkDown4", "MarkDown5", "CPI",
+    "Unemployment", "UMCSENT", "RSXFS", "PCE", "has_MarkDown1",
+    "has_MarkDown2", "has_MarkDown3", "has_MarkDown4", "has_MarkDown5",
+    "is_return", "Year", "Month", "Week", "Quarter", "DayOfYear",
+    "WeekOfMonth", "IsMonthStart", "IsMonthEnd", "IsYearStart", "IsYearEnd",
+    "DaysInMonth", "YearProgress", "HolidayType", "IsPreHoliday",
+    "IsPostHoliday", "HolidayProximity", "IsPeakSeason", "IsBackToSchool",
+    "TotalMarkDown", "ActiveMarkDownCount", "AvgMarkDownAmount",
+    "MaxMarkDown", "HasAnyMarkDown", "TypeEncoded", "SizePerType",
+    "StoreDeptCount", "DeptFrequency", "SizeQuartile", "ConsumerConfRatio",
+    "Holiday_Size", "Holiday_Type", "Promo_Holiday", "Temp_Season",
+    "MarkDown_Intensity", "Month_sin", "Month_cos", "Week_sin", "Week_cos",
+]
 
 # --- fixed values: preprocessing --------------------------------------------
 TARGET = "Sales_Class"
@@ -127,6 +147,14 @@ SELECTED_FEATURES = [
     "AvgMarkDownAmount",
 ]
 
+BOOSTING_GRID = {
+    "max_depth": [3, 5, 7],
+    "learning_rate": [0.1, 0.01, 0.05],
+    "gamma": [0.0, 0.25, 1.0],
+    "reg_lambda": [0.0, 1.0, 10.0],
+    "scale_pos_weight": [1.0, 3.0, 5.0],
+}
+
 # --- fixed values: model metrics --------------------------------------------
 HOLIDAY_ERROR_WEIGHT = 5.0
 REGULAR_ERROR_WEIGHT = 1.0

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark import config as C
-from shelfspark.operators.common import broadcast_if_small, fixed_round, one_row_concat, safe_div
+from shelfspark.operators.common import fixed_round, one_row_concat, safe_div
 from shelfspark.operators.ranks import group_quantiles
 
 SALES = "Weekly_Sales"
@@ -48,26 +48,26 @@ def add_store_median_target(
 ) -> DataFrame:
     """A1: ``out = value > median(value) over its group`` as 0/1 (ties and NULL → 0).
 
-    The per-group medians (one row per group) are joined back; broadcast when small.
+    The per-group medians (one row per group) are joined back.
     ``median_source`` may be an upstream (persisted) frame with the same rows of
     ``group`` and ``value``, so the medians do not re-run the plan of ``df``."""
     src = df if median_source is None else median_source
     med = group_medians(src.where(F.col(group).isNotNull()), value, [group], "_median")
-    joined = df.join(broadcast_if_small(med), group, "left")
+    joined = df.join(med, group, "left")
     flag = F.coalesce(F.col(value) > F.col("_median"), F.lit(False)).cast("int")
     return joined.withColumn(out, flag).drop("_median").select(*df.columns, out)
 
 
 # --- A2 ----------------------------------------------------------------------
 def class_distribution(df: DataFrame, target: str = TARGET, digits: int = 2) -> DataFrame:
-    """A2: class, count, pct of all rows, imbalance ratio (max/min count)."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy()  # the class table has a handful of rows
-    return counts.select(
+    """A2: class, count, pct of all labelled rows, imbalance ratio (max/min count).  A NULL target is no class."""
+    counts = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("count"))
+    total = counts.agg(F.sum("count").alias("_sum"), F.max("count").alias("_max"), F.min("count").alias("_min"))
+    return one_row_concat(counts, F.broadcast(total)).select(
         F.col(target).alias("class"),
         "count",
-        _r(F.col("count") * 100.0 / F.sum("count").over(w), digits).alias("pct"),
-        _r(F.max("count").over(w) / F.min("count").over(w), 3).alias("imbalance_ratio"),
+        _r(F.col("count") * 100.0 / F.col("_sum"), digits).alias("pct"),
+        _r(F.col("_max") / F.col("_min"), 3).alias("imbalance_ratio"),
     )
 
 
@@ -249,7 +249,7 @@ def kpi_metrics(df: DataFrame, value: str = SALES, target: str = TARGET, digits:
         fixed_round(F.avg("Fuel_Price"), digits).alias("avg_fuel_price"),
         fixed_round(promo, digits).alias("promo_pct"),
     )
-    med = group_quantiles(df, value, [0.5]).select(fixed_round(F.col("q"), digits).alias("median_weekly_sales"))
+    med = group_quantiles(df, value, [0.5]).agg(fixed_round(F.max("q"), digits).alias("median_weekly_sales"))
     return one_row_concat(agg, med)
 
 

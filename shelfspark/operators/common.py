@@ -8,26 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest row count we broadcast after counting a side.  Dimension tables,
-# per-group statistics and parameter rows stay far below it; anything above
-# falls back to a shuffle join planned by Catalyst/AQE.
-BROADCAST_MAX_ROWS = 2_000_000
-
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOAT_TYPES = (T.FloatType, T.DoubleType)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; otherwise return it for a shuffle join.
-
-    The side is cached so the count and the join read it once.
-    """
-    df = df.cache()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
     """Columns of ``cols`` that exist in ``df`` (operators skip missing ones)."""
     have = set(df.columns)
@@ -72,8 +57,13 @@ def as_double(c: str | Column) -> Column:
 
 
 def one_row_concat(*frames: DataFrame) -> DataFrame:
-    """Side-by-side concatenation of single-row global aggregates (1 x 1 x ... rows)."""
+    """Side-by-side concatenation: every frame after the first is a global aggregate (or a limit of one), so it has one row.
+
+    Anything else would be a cross join of tables and is refused."""
     out = frames[0]
     for f in frames[1:]:
+        most = f._jdf.queryExecution().optimizedPlan().maxRows()
+        if most.isEmpty() or most.get() > 1:
+            raise ValueError("one_row_concat: a side may have more than one row")
         out = out.crossJoin(f)
     return out

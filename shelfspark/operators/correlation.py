@@ -9,23 +9,17 @@ aggregated rows only.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark import config as C
 from shelfspark.functions.pvalues import r_pvalue_udf, t_pvalue_udf
 from shelfspark.operators.common import present
-from shelfspark.operators.ranks import attach_average_rank
-
-MAX_AGGS_PER_PASS = 40  # keeps the generated code of one aggregate small
-
-
-def _batched_agg(df: DataFrame, exprs: list[Column]) -> list[DataFrame]:
-    return [df.agg(*exprs[i : i + MAX_AGGS_PER_PASS]) for i in range(0, len(exprs), MAX_AGGS_PER_PASS)]
-
+from shelfspark.operators.ranks import attach_average_rank, unpivot_numeric
 
 def pearson(df: DataFrame, a: str, b: str) -> Column:
     """Pearson r aggregate of two columns (rows where either is NULL are skipped)."""
@@ -67,33 +61,65 @@ def with_r_pvalue(df: DataFrame, r: str = "pearson_r", n: str = "n", out: str =
     return df.withColumn(out, r_pvalue_udf(F.col(r), F.col(n).cast("double")))
 
 
+def pair_sums(df: DataFrame, columns: Sequence[str], against: Sequence[str] | None = None) -> DataFrame:
+    """(a, b, n, r) of every column with every column of ``against`` (default: all), over the rows where both are there.
+
+    One pass for the means, one for the sums: each task adds up matrix products of its Arrow batches (values less the mean,
+    NULL as 0, and the masks of what is there) and passes on one row a pair, however many rows it read."""
+    cols = list(columns)
+    others = cols if against is None else list(against)
+    names = list(dict.fromkeys([*cols, *others]))
+    if not names:
+        return df.sparkSession.createDataFrame([], "a string, b string, n long, r double")
+    data = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(names)])
+    means = data.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in data.columns]).first()
+    centre = np.array([float(m) if np.isfinite(m) else 0.0 for m in means])
+    left, right = [names.index(c) for c in cols], [names.index(c) for c in others]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 8192):
+                part = batch.slice(at, 8192)
+                x = np.stack([c.to_numpy(zero_copy_only=False) for c in part.columns], axis=1).astype(float) - centre
+                there = (~np.isnan(x)).astype(float)
+                x = np.where(there > 0, x, 0.0)
+                ma, mb, xa, xb = there[:, left], there[:, right], x[:, left], x[:, right]
+                sums = np.stack([ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb])
+                total = sums if total is None else total + sums
+        if total is not None:
+            i, j = (k.ravel() for k in np.indices(total.shape[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(v.ravel()) for v in total]], ["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    rows = data.mapInArrow(run, "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double")
+    t = rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n")
+    va, vb = F.col("saa") - F.col("sa") * F.col("sa") / n, F.col("sbb") - F.col("sb") * F.col("sb") / n
+    # a variance that is nothing but rounding of the squares it is left from counts as none
+    spread = (n > 1) & (va > 1e-12 * F.col("saa")) & (vb > 1e-12 * F.col("sbb"))
+    r = F.when(spread, (F.col("sab") - F.col("sa") * F.col("sb") / n) / F.sqrt(va * vb))
+    every = [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(others)]  # no rows: n = 0, r NULL
+    grid = df.sparkSession.createDataFrame(every, "i int, j int, a string, b string")
+    return grid.join(t, ["i", "j"], "left").select(
+        "a",
+        "b",
+        F.coalesce(n, F.lit(0)).cast("long").alias("n"),
+        F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"),
+    )
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], complete_cases: bool = False) -> DataFrame:
-    """Long (a, b, r) over every ordered pair incl. the diagonal, all pairs in one
-    aggregate (batched).  EDA: pairwise deletion; validation: ``complete_cases=True``."""
+    """Long (a, b, r) over every ordered pair incl. the diagonal.  EDA: pairwise deletion; validation:
+    ``complete_cases=True``."""
     cols = present(df, columns)
     data = df.select(*cols).na.drop(how="any") if complete_cases else df.select(*cols)
-    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    exprs = [pearson(data, a, b).alias(f"c{i}") for i, (a, b) in enumerate(upper)]
-    rows = []
-    for part in _batched_agg(data, exprs):
-        structs = []
-        for name in part.columns:
-            a, b = upper[int(name[1:])]
-            structs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(name).alias("r")))
-            if a != b:  # both orientations from the same aggregate, no second pass
-                structs.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(name).alias("r")))
-        rows.append(part.select(F.explode(F.array(*structs)).alias("x")).select("x.*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    return pair_sums(data, cols).select("a", "b", "r")
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = C.TARGET) -> DataFrame:
     """C4: r of each column with the target (pairwise deletion)."""
     cols = [c for c in present(df, columns) if c != target]
-    w = df.agg(*[pearson(df, c, target).alias(c) for c in cols])
-    return w.unpivot([], cols, "feature", "r")
+    return pair_sums(df, cols, [target]).select(F.col("a").alias("feature"), "r")
 
 
 def top_by_sign(corrs: DataFrame, k: int = 5) -> DataFrame:
@@ -113,13 +139,7 @@ def point_biserial(df: DataFrame, columns: Sequence[str], target: str = C.TARGET
     """Point-biserial r (= Pearson vs the 0/1 target) per column with ≥ min_n pairs:
     |r|, direction, p-value; top-k by |r|."""
     cols = [c for c in present(df, columns) if c != target]
-    exprs = []
-    for c in cols:
-        both = F.col(c).isNotNull() & F.col(target).isNotNull()
-        exprs += [F.count_if(both).alias(f"{c}__n"), pearson(df, target, c).alias(f"{c}__r")]
-    w = df.agg(*exprs)
-    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__r").alias("r")) for c in cols]
-    long = w.select(F.explode(F.array(*structs)).alias("x")).select("x.*").where(F.col("n") >= min_n)
+    long = pair_sums(df, cols, [target]).select(F.col("a").alias("feature"), "n", "r").where(F.col("n") >= min_n)
     out = long.select(
         "feature", "n", F.abs("r").alias("correlation"), F.when(F.col("r") > 0, "+").otherwise("-").alias("direction"), "r"
     )
@@ -129,23 +149,13 @@ def point_biserial(df: DataFrame, columns: Sequence[str], target: str = C.TARGET
 
 
 def class_moments(df: DataFrame, columns: Sequence[str], target: str = C.TARGET) -> DataFrame:
-    """Per column: n, mean, sample variance for class 0 and class 1 — one aggregate."""
+    """Per column: n, mean, sample variance for class 0 and class 1 — one aggregate by (column, class)."""
     cols = [c for c in present(df, columns) if c != target]
-    y = F.col(target)
-    exprs = []
-    for c in cols:
-        for k in (0, 1):
-            v = F.when(y == k, F.col(c))
-            exprs += [F.count(v).alias(f"{c}__n{k}"), F.avg(v).alias(f"{c}__m{k}"), F.var_samp(v).alias(f"{c}__v{k}")]
-    w = df.agg(*exprs)
-    structs = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            *[F.col(f"{c}__{s}{k}").alias(f"{s}{k}") for k in (0, 1) for s in ("n", "m", "v")],
-        )
-        for c in cols
-    ]
-    return w.select(F.explode(F.array(*structs)).alias("x")).select("x.*")
+    long = unpivot_numeric(df.where(F.col(target).isin(0, 1)), cols, [target])
+    v = F.col("value")
+    m = long.groupBy("column", target).agg(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_samp(v).alias("v"))
+    sides = [F.max(F.when(F.col(target) == k, F.col(s))).alias(f"{s}{k}") for k in (0, 1) for s in ("n", "m", "v")]
+    return m.groupBy(F.col("column").alias("feature")).agg(*sides)
 
 
 def welch_t_test(df: DataFrame, columns: Sequence[str], target: str = C.TARGET, min_n: int = 30, top: int | None = 25) -> DataFrame:
@@ -164,7 +174,7 @@ def welch_t_test(df: DataFrame, columns: Sequence[str], target: str = C.TARGET,
         "neg_log_p", -F.log10(F.greatest(F.col("p_value"), F.lit(1e-300)))
     )
     if top:
-        out = out.orderBy(F.col("neg_log_p").desc(), "feature").limit(top)
+        out = out.orderBy(F.col("neg_log_p").desc(), F.abs("t_stat").desc(), "feature").limit(top)
     return out
 
 
@@ -178,16 +188,12 @@ def cohens_d(df: DataFrame, columns: Sequence[str], target: str = C.TARGET, min_
     return out
 
 
-def significance_summary(df: DataFrame, columns: Sequence[str], target: str = C.TARGET) -> DataFrame:
-    """Number of significant features and number tested (Welch, all columns)."""
+def significance_summary(df: DataFrame, columns: Sequence[str], target: str = C.TARGET, top: int = 10) -> DataFrame:
+    """Number of significant features and number tested (Welch, all columns), and the ``top`` features by point-biserial
+    r and by Cohen's d: rows (section, feature, value)."""
     t = welch_t_test(df, columns, target, top=None)
-    return t.agg(F.count_if(F.col("significant")).alias("significant_features"), F.count(F.lit(1)).alias("features_tested"))
-
-
-def fisher_z_interval(r: float, n: int, z: float = 1.959963984540054) -> tuple[float, float]:
-    """Helper for reports: approximate 95% interval of r."""
-    if n <= 3 or abs(r) >= 1:
-        return (r, r)
-    zr = math.atanh(r)
-    se = 1 / math.sqrt(n - 3)
-    return (math.tanh(zr - z * se), math.tanh(zr + z * se))
+    counts = t.agg(F.count_if(F.col("significant")).alias("significant_features"), F.count(F.lit(1)).alias("features_tested"))
+    totals = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("section"), F.lit("").alias("feature"), F.col(c).cast("double").alias("value")) for c in counts.columns])).alias("x")).select("x.*")
+    by_r = point_biserial(df, columns, target, top=top).select(F.lit("top_correlation").alias("section"), "feature", F.col("correlation").alias("value"))
+    by_d = cohens_d(df, columns, target, top=top).select(F.lit("top_cohens_d").alias("section"), "feature", F.col("cohens_d").alias("value"))
+    return totals.unionByName(by_r).unionByName(by_d)

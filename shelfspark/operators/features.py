@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfspark import config as C
 from shelfspark.functions import calendar as cal
 from shelfspark.functions import exprs as X
-from shelfspark.operators.common import NUMERIC_TYPES, broadcast_if_small, one_row_concat
+from shelfspark.operators.common import NUMERIC_TYPES, one_row_concat
 from shelfspark.operators.ranks import group_quantiles
 
 
@@ -58,12 +58,12 @@ def add_store_dept(df: DataFrame, method: str = "exact") -> DataFrame:
     """Group 4 (5 columns): TypeEncoded, SizePerType, StoreDeptCount, DeptFrequency, SizeQuartile.
 
     The two distinct-count tables (A20) have one row per store / department and
-    are joined back (J8) with a size-checked broadcast."""
+    are joined back (J8)."""
     out = df.withColumn("TypeEncoded", X.type_code("Type"))
     out = out.withColumn("SizePerType", F.col("Size") / (F.col("TypeEncoded") + 1))
     per_store = df.where(F.col("Store").isNotNull()).groupBy("Store").agg(F.countDistinct("Dept").alias("StoreDeptCount"))
     per_dept = df.where(F.col("Dept").isNotNull()).groupBy("Dept").agg(F.countDistinct("Store").alias("DeptFrequency"))
-    out = out.join(broadcast_if_small(per_store), "Store", "left").join(broadcast_if_small(per_dept), "Dept", "left")
+    out = out.join(per_store, "Store", "left").join(per_dept, "Dept", "left")
     out = add_quartile(out, "Size", "SizeQuartile", method)
     return out.select(*df.columns, "TypeEncoded", "SizePerType", "StoreDeptCount", "DeptFrequency", "SizeQuartile")
 
@@ -96,13 +96,13 @@ def add_cyclical(df: DataFrame) -> DataFrame:
 
 
 def zero_variance_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    """Numeric columns whose sample std is exactly 0 (one aggregate; a column with
-    < 2 non-nulls has NULL std and is kept, like pandas' NaN)."""
+    """Numeric columns whose sample std is exactly 0, that is two or more non-nulls and all of them equal (one aggregate
+    of minima, maxima and counts; a column with fewer non-nulls has no std and is kept, like pandas' NaN)."""
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in set(exclude)]
     if not cols:
         return []
-    row = df.agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] is not None and row[c] == 0.0]
+    row = df.agg(*[(F.count(c) > 1) & (F.min(c) == F.max(c)) for c in cols]).first()
+    return [c for c, constant in zip(cols, row) if constant]
 
 
 def drop_zero_variance(df: DataFrame) -> tuple[DataFrame, list[str]]:

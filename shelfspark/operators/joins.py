@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.operators.chunks import bucket, chunk_bounds, order_key
-from shelfspark.operators.common import BROADCAST_MAX_ROWS, broadcast_if_small, one_row_concat
+from shelfspark.operators.common import one_row_concat
 
 MATCH = "_matched"
 
 
-def left_join_dim(facts: DataFrame, dim: DataFrame, keys: Sequence[str], max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``facts ⟕ dim`` on ``keys``; the dimension is broadcast only if it is small."""
-    return facts.join(broadcast_if_small(dim, max_broadcast_rows), list(keys), "left")
+def left_join_dim(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``facts ⟕ dim`` on ``keys``; the planner chooses the join by the size in bytes it sees at run time."""
+    return facts.join(dim, list(keys), "left")
 
 
 def left_join_suffixed(
@@ -72,7 +72,6 @@ def asof_join(
     by: Sequence[str] = (),
     check_unique: bool = True,
     partitions: int | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """For every left row, the latest right *row* with ``right.on <= left.on``
     (within equal ``by`` keys).  All left rows are kept; left rows before the first
@@ -120,7 +119,6 @@ def asof_join(
         .join(carry, [*by, "_chunk_id"], "left")
         .select(*by, on, F.coalesce("_hit", "_carry").alias("_row"))
     )
-    resolved = broadcast_if_small(resolved, max_broadcast_rows)
     out = left.join(resolved, [*by, on], "left")
     return out.select(*left.columns, *[F.col("_row")[c].alias(c) for c in payload])
 
@@ -200,8 +198,6 @@ def assert_same_rows(before: DataFrame, after: DataFrame, what: str = "join") ->
 
 
 def map_group_stat(df: DataFrame, key: str, stat: Column, name: str) -> DataFrame:
-    """Aggregate ``stat`` per ``key`` and map it back onto every row.
-
-    The per-key table has one row per key; it is broadcast when small."""
+    """Aggregate ``stat`` per ``key`` and map it back onto every row."""
     table = df.where(F.col(key).isNotNull()).groupBy(key).agg(stat.alias(name))
-    return df.join(broadcast_if_small(table), key, "left")
+    return df.join(table, key, "left")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfspark.functions.moments import sample_excess_kurtosis, sample_skew, shape_label
 from shelfspark.operators.common import numeric_columns, one_row_concat, pct, present
 from shelfspark.operators.ranks import group_quantiles, quantiles_wide, rank_table, unpivot_numeric
+from shelfspark.session import cut_lineage
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
@@ -66,17 +67,11 @@ def categorical_profile(df: DataFrame, column: str, top: int = 10) -> DataFrame:
     """Top-k values (NULL included, count desc then value asc), unique non-null count,
     dominant pct and balance flag on every row."""
     vc = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    w_all = Window.partitionBy()  # the value-count table of a categorical column is small
-    ranked = vc.select(
-        "value",
-        "count",
-        F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())).alias("rank"),
-        F.sum("count").over(w_all).alias("_total"),
-        F.count("value").over(w_all).alias("unique_values"),
-        F.max("count").over(w_all).alias("_top"),
-    )
+    totals = vc.agg(F.sum("count").alias("_total"), F.count("value").alias("unique_values"), F.max("count").alias("_top"))
+    order = [F.col("count").desc(), F.col("value").asc_nulls_first()]
+    first = vc.orderBy(*order).limit(top).withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # at most ``top`` rows
     dom = pct(F.col("_top"), F.col("_total"))
-    return ranked.where(F.col("rank") <= top).select(
+    return one_row_concat(first, F.broadcast(totals)).select(
         F.lit(column).alias("column"),
         "value",
         "count",
@@ -123,7 +118,7 @@ def box_summary(df: DataFrame, value: str, group: str, method: str = "exact") ->
     )
     iqr = F.col("q3") - F.col("q1")
     qw = qw.withColumn("_lb", F.col("q1") - 1.5 * iqr).withColumn("_ub", F.col("q3") + 1.5 * iqr)
-    j = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).join(F.broadcast(qw), group)
+    j = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).join(qw, group)
     x = F.col(value)
     inside = (x >= F.col("_lb")) & (x <= F.col("_ub"))
     agg = j.groupBy(group).agg(
@@ -134,20 +129,22 @@ def box_summary(df: DataFrame, value: str, group: str, method: str = "exact") ->
     return qw.join(agg, group).select(group, "q1", "median", "q3", "whisker_low", "whisker_high", "outliers")
 
 
-def qq_points(df: DataFrame, value: str) -> DataFrame:
+def qq_points(df: DataFrame, value: str, block: int = 1 << 16) -> DataFrame:
     """Normal Q–Q points with Filliben plotting positions and the least-squares line.
 
-    Order statistics come from the rank table (no global sort in one task); the
-    normal quantile uses the inverse-normal ``inv_norm``."""
+    Order statistics come from the rank table (no global sort in one task).  A value that occurs many times is cut into
+    blocks of ``block`` positions, which are dealt out before they become points, so neither one array nor one task holds
+    its copies.  The points are written once; the line is an aggregate over the written table."""
     rt = rank_table(df, value)
-    n = F.col("n_group")
-    # one point per row: position i of each copy of a value; the value-level row carries
-    # the range [below+1, below+n]
-    x = rt.select(value, F.explode(F.sequence(F.col("below") + 1, F.col("below") + F.col("n"))).alias("i"), n.alias("N"))
-    m = F.when(F.col("i") == 1, 1 - F.pow(F.lit(0.5), 1.0 / F.col("N"))).when(
-        F.col("i") == F.col("N"), F.pow(F.lit(0.5), 1.0 / F.col("N"))
-    ).otherwise((F.col("i") - 0.3175) / (F.col("N") + 0.365))
-    pts = x.select("i", _inv_norm(m).alias("theoretical"), F.col(value).alias("ordered"))
+    blocks = rt.select(value, "below", "n", F.col("n_group").alias("_all"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block))).alias("_b"))
+    first = F.col("below") + 1 + F.col("_b") * block
+    last = F.least(F.col("below") + F.col("n"), first + block - 1)
+    dealt = blocks.select(value, "_all", first.alias("_first"), last.alias("_last")).repartition("_first")
+    x = dealt.select(value, "_all", F.explode(F.sequence("_first", "_last")).alias("i"))
+    m = F.when(F.col("i") == 1, 1 - F.pow(F.lit(0.5), 1.0 / F.col("_all"))).when(
+        F.col("i") == F.col("_all"), F.pow(F.lit(0.5), 1.0 / F.col("_all"))
+    ).otherwise((F.col("i") - 0.3175) / (F.col("_all") + 0.365))
+    pts = cut_lineage(x.select("i", _inv_norm(m).alias("theoretical"), F.col(value).alias("ordered")), "qq-points")
     line = pts.agg(F.regr_slope("ordered", "theoretical").alias("slope"), F.regr_intercept("ordered", "theoretical").alias("intercept"))
     return one_row_concat(pts, F.broadcast(line))
 

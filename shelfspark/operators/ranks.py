@@ -1,19 +1,26 @@
 """Exact ranks and quantiles without collecting a group into one task.
 
-Spark's exact ``percentile`` keeps a value->count map per group and merges
-each group's map in a single task, so a group holding a third of a 100 TB
-table would land in one task.  Here the sorted order is built from a
-frequency table cut into value chunks:
+Spark's exact ``percentile`` keeps a value->count map per group and merges each group's map in a single task, so a
+group holding a third of a 100 TB table would land in one task.
+
+**Quantiles** (:func:`group_quantiles`) are bracketed, in one lazy plan:
+
+1. ``percentile_approx`` (map-side combined) gives each group a low and a high value around each wanted rank.  Its rank
+   error is at most n / accuracy; the bracket is twice as wide on either side, and a group of fewer than ``accuracy`` rows
+   takes its whole range.
+2. Values are counted by group, wanted rank and value; all below the bracket count as one, all above are dropped, so only
+   the sliver inside is shuffled, and a hot value is one row.
+3. A running sum over the sliver gives the two order statistics.  A rank outside its bracket stops the query: an
+   approximation is never returned.
+
+**Ranks of all values** (:func:`rank_table`: Spearman, AUC, exact splits, Q-Q points) come from a frequency table cut
+into value chunks:
 
 1. ``groupBy(group, value).count()`` (map-side combine; one hot value is one row),
-2. equi-depth chunks of the value order (deterministic bucket of the value), so
-   a hot group spans many chunks,
+2. equi-depth chunks of the value order (deterministic bucket of the value), so a hot group spans many chunks,
 3. a running sum inside each (group, chunk) piece,
 4. per-(group, chunk) totals (at most P·#groups rows, usually P + #groups) turned into offsets,
 5. offset + local running sum = number of rows below each value.
-
-From that table: linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``),
-average ranks for ties (Spearman, AUC), and Filliben plotting positions.
 """
 
 from __future__ import annotations
@@ -96,8 +103,9 @@ def group_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group: columns (*groups, p, q).
 
-    ``method='exact'`` uses the rank table (no group in one task);
+    ``method='exact'`` picks the order statistics from a bracket (see above);
     ``method='approx'`` uses ``percentile_approx`` (bounded memory sketch).
+    A group without a non-null value has no row.
     """
     g = list(groups)
     probs = [float(x) for x in probs]
@@ -107,20 +115,43 @@ def group_quantiles(
         return out.select(*g, F.posexplode("_qs").alias("_i", "q")).select(
             *g, F.element_at(F.array(*[F.lit(x) for x in probs]), F.col("_i") + 1).alias("p"), "q"
         )
-    src = df.select(*g, F.col(value).cast("double").alias("_v"))
-    rt = rank_table(src, "_v", g)
-    parr = F.array(*[F.lit(x) for x in probs])
-    pos = lambda p: p * (F.col("n_group") - 1)
-    hit = F.filter(parr, lambda p: _covers(F.floor(pos(p))) | _covers(F.ceil(pos(p))))
-    x = rt.select(*g, "_v", "n", "below", "n_group", F.explode(hit).alias("p"))
-    posc = F.col("p") * (F.col("n_group") - 1)
-    agg = x.groupBy(*g, "p").agg(
-        F.max(F.when(_covers(F.floor(posc)), F.col("_v"))).alias("_lo"),
-        F.max(F.when(_covers(F.ceil(posc)), F.col("_v"))).alias("_hi"),
-        F.max("n_group").alias("_n"),
+    src = df.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(g)], F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    keys, v = [f"_g{k}" for k in range(len(g))], F.col("_v")
+    margin = 2.0 / accuracy
+    edges = [x for p in probs for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    ranges = src.groupBy(*keys).agg(
+        F.count(v).alias("_n"), F.min(v).alias("_min"), F.max(v).alias("_max"), F.percentile_approx(v, edges, accuracy).alias("_e")
+    )
+    few = F.col("_n") <= accuracy
+    wanted = F.array(*[
+        F.struct(
+            F.lit(p).alias("p"),
+            F.when(few, F.col("_min")).otherwise(F.col("_e")[2 * k]).alias("lo"),
+            F.when(few, F.col("_max")).otherwise(F.col("_e")[2 * k + 1]).alias("hi"),
+        )
+        for k, p in enumerate(probs)
+    ])
+    ranges = ranges.select(*[F.col(c).alias(f"_r{c}") for c in keys], "_n", wanted.alias("_wanted"))
+    if g:  # the planner chooses the join: the brackets are one row a group
+        cond = None
+        for c in keys:
+            e = F.col(c).eqNullSafe(F.col(f"_r{c}"))
+            cond = e if cond is None else cond & e
+        joined = src.join(ranges, cond)
+    else:
+        joined = src.crossJoin(F.broadcast(ranges))  # one row
+    x = joined.select(*keys, "_n", "_v", F.explode("_wanted").alias("_w")).where(v <= F.col("_w.hi"))
+    below = F.when(v >= F.col("_w.lo"), v)  # NULL: somewhere below the bracket
+    freq = x.groupBy(*keys, F.col("_w.p").alias("p"), "_n", below.alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(*keys, "p").orderBy(v.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = freq.withColumn("below", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    pos = F.col("p") * (F.col("_n") - 1)
+    agg = placed.where(_covers(F.floor(pos)) | _covers(F.ceil(pos))).groupBy(*keys, "p", "_n").agg(
+        F.max(F.when(_covers(F.floor(pos)), v)).alias("_lo"), F.max(F.when(_covers(F.ceil(pos)), v)).alias("_hi")
     )
-    frac = F.col("p") * (F.col("_n") - 1) - F.floor(F.col("p") * (F.col("_n") - 1))
-    return agg.select(*g, "p", (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("q"))
+    missed = F.col("_lo").isNull() | F.col("_hi").isNull()
+    lo = F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")).otherwise(F.col("_lo"))
+    return agg.select(*[F.col(k).alias(c) for k, c in zip(keys, g)], "p", (lo + (pos - F.floor(pos)) * (F.col("_hi") - F.col("_lo"))).alias("q"))
 
 
 def column_quantiles(

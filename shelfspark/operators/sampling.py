@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from shelfspark import config as C
 from shelfspark.operators.common import one_row_concat
-from shelfspark.operators.ranks import attach_average_rank
+from shelfspark.operators.ranks import rank_table
+from shelfspark.session import cut_lineage
 
 SCALE = 1_000_000
 
@@ -65,17 +66,34 @@ def split_flag(
 
     Hash threshold (default): class shares are preserved within sampling error.
     ``exact=True``: per stratum, the ``round(test_fraction · n)`` rows with the
-    smallest hashes are test rows — exact counts, ranks from the rank table."""
+    smallest hashes are test rows — exact counts, ranks from the rank table.  Equal rows share a hash; where the count
+    falls among them, they are numbered by (partition of a written table, place in it)."""
     h = row_hash(df, seed, key_columns)
     if not exact:
         return df.withColumn(out, (F.pmod(h, F.lit(SCALE)) / float(SCALE)) < test_fraction)
     groups = [stratify] if stratify else []
     staged = df.withColumn("_h", h)
-    ranked = attach_average_rank(staged, "_h", "_rank", groups)
-    sizes = staged.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")) if groups else staged.agg(F.count(F.lit(1)).alias("_n"))
-    joined = ranked.join(F.broadcast(sizes), groups, "left") if groups else one_row_concat(ranked, F.broadcast(sizes))
-    k = F.round(F.col("_n") * test_fraction)
-    return joined.withColumn(out, F.col("_rank") <= k).drop("_h", "_rank", "_n")
+    ranks = rank_table(staged, "_h", groups)
+    ranks = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in groups], F.col("_h").alias("_r_h"), "n", "below", "n_group")
+    same = F.col("_h") == F.col("_r_h")
+    for c in groups:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    k = F.round(F.col("n_group") * test_fraction)
+    side = F.when(F.col("below") + F.col("n") <= k, True).when(F.col("below") >= k, False)
+    joined = staged.join(ranks, same).select(*df.columns, side.alias(out), (k - F.col("below")).alias("_take"))
+    # rows of one hash per stratum that fall on both sides: identical, so any of them will do
+    split = cut_lineage(joined.where(F.col(out).isNull()), "split-ties").withColumn("_part", F.spark_partition_id())
+    strata = [F.col(c) for c in groups]
+    sizes = split.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(*strata).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*[F.col(c).alias(f"_s_{c}") for c in groups], F.col("_part").alias("_s_part"), before.alias("_before"))
+    at = F.col("_part") == F.col("_s_part")
+    for c in groups:
+        at = at & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    place = F.row_number().over(Window.partitionBy(*strata, "_part").orderBy("_take"))
+    numbered = split.withColumn("_place", place).join(sizes, at)
+    chosen = numbered.withColumn(out, F.col("_before") + F.col("_place") <= F.col("_take"))
+    return joined.where(F.col(out).isNotNull()).select(*df.columns, out).unionByName(chosen.select(*df.columns, out))
 
 
 def stratified_split(df: DataFrame, test_fraction: float = C.TEST_FRACTION, seed: int = C.SEED, stratify: str | None = C.TARGET, exact: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -8,16 +8,11 @@ stage declaratively; it is the independent check of the Spark plans.
 from __future__ import annotations
 
 from shelfspark import config as C
-from shelfspark.functions.calendar import holiday_weeks, pre_post_weeks
 from shelfspark.sources.retail_view import ORACLE_VIEWS
 
 _MD = C.MARKDOWN_COLUMNS
 
 
-def _ints(xs) -> str:
-    return ", ".join(str(x) for x in xs)
-
-
 def _clip_cols() -> str:
     parts = []
     for c in C.CLIP_COLUMNS:
@@ -38,10 +33,13 @@ def _holiday_type() -> str:
 
 
 def _proximity() -> str:
-    return "LEAST(" + ", ".join(f"LEAST(abs(Week - {h}), 52 - abs(Week - {h}))" for h in holiday_weeks()) + ")"
+    return "LEAST(" + ", ".join(f"LEAST(abs(Week - {h}), 52 - abs(Week - {h}))" for h in _HOLIDAY_WEEKS) + ")"
 
 
-_PRE, _POST = pre_post_weeks()
+# the weeks of the four windows, spelled out independently of the operators
+_HOLIDAY_WEEKS = [5, 6, 7, 35, 36, 37, 46, 47, 48, 50, 51, 52]
+_PRE = "4, 5, 6, 34, 35, 36, 45, 46, 47, 49, 50, 51"
+_POST = "6, 7, 8, 36, 37, 38, 47, 48, 49, 51, 52"
 
 STAGE_CTES = f"""
 flagged AS (
@@ -78,8 +76,8 @@ cal AS (
 hol AS (
   SELECT *,
     CAST({_holiday_type()} AS INTEGER) AS HolidayType,
-    CAST(Week IN ({_ints(_PRE)}) AS INTEGER) AS IsPreHoliday,
-    CAST(Week IN ({_ints(_POST)}) AS INTEGER) AS IsPostHoliday,
+    CAST(Week IN ({_PRE}) AS INTEGER) AS IsPreHoliday,
+    CAST(Week IN ({_POST}) AS INTEGER) AS IsPostHoliday,
     CAST({_proximity()} AS INTEGER) AS HolidayProximity,
     CAST(Month IN (11, 12) AS INTEGER) AS IsPeakSeason,
     CAST(Month IN (7, 8) AS INTEGER) AS IsBackToSchool,

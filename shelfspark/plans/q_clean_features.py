@@ -186,6 +186,7 @@ def p10_p11(spark, sf_dir):
         "AND NOT IsHoliday GROUP BY Type"
     ),
     round_cols=["avg_sales", "avg_size", "high_pct", "median_sales"],
+    digits=6,
 )
 def p10_filtered(spark, sf_dir):
     """P10 filter feeding an A11 breakdown (the dashboard's filtered view)."""

@@ -242,6 +242,22 @@ def a18(spark, sf_dir):
     return A.pivot_mean(_eda(spark, sf_dir), "Store", "Month", _MONTHS, digits=None)
 
 
+_WEEKS = list(range(1, 54))
+
+
+@register(
+    "a18_store_week_pivot",
+    stage_sql(
+        "SELECT Store, " + ", ".join(f"avg(CASE WHEN Week = {w} THEN Weekly_Sales END) AS Week_{w}" for w in _WEEKS)
+        + " FROM eda GROUP BY Store"
+    ),
+    round_cols=[f"Week_{w}" for w in _WEEKS],
+)
+def a18c(spark, sf_dir):
+    """Mean sales by store and ISO week."""
+    return A.pivot_mean(_eda(spark, sf_dir), "Store", "Week", _WEEKS, digits=None)
+
+
 @register(
     "a18_type_size_quartile_pivot",
     stage_sql(

@@ -119,18 +119,20 @@ def _completeness_sql() -> str:
         rows += [_row(D, name, c, st, "null_count", f"{c}__nulls", f"'{crit}'"), _row(D, name, c, st, "null_pct", p, f"'{crit}'")]
     st = "CASE WHEN _rows_any > 0 THEN 'WARN' ELSE 'PASS' END"
     name = "Row-level missingness profile"
+    nulls = " + ".join(f"{c}__nulls" for c in cols)
     rows += [
         _row(D, name, None, st, "rows_with_missing", "_rows_any"),
         _row(D, name, None, st, "rows_with_missing_pct", _pct("_rows_any", "_n")),
         _row(D, name, None, st, "max_missing_cells_in_row", "_max_miss"),
         _row(D, name, None, st, "p95_missing_cells_in_row", "p95"),
+        _row(D, name, None, st, "overall_completeness_pct", f"CASE WHEN _n > 0 THEN {r(f'100 * (1 - ({nulls}) / (_n * {len(cols)}e0))', 2)} ELSE 100e0 END"),
     ]
     colpct = {c: f"CASE WHEN _n > 0 THEN {r(f'{c}__nulls * 100e0 / _n', 2)} ELSE 0e0 END" for c in cols}
     sev_n = " + ".join(f"CAST({colpct[c]} >= {C.SEVERE_COLUMN_MISSING_PCT} AS INTEGER)" for c in cols)
     sev_names = "concat_ws(',', " + ", ".join(f"CASE WHEN {colpct[c]} >= {C.SEVERE_COLUMN_MISSING_PCT} THEN '{c}' END" for c in cols) + ")"
     st = f"CASE WHEN ({sev_n}) = 0 AND _severe_rows = 0 THEN 'PASS' ELSE 'WARN' END"
     name = f"No columns >= {C.SEVERE_COLUMN_MISSING_PCT}% missing & no rows >= {C.SEVERE_ROW_MISSING_PCT}% missing"
-    rows += [_row(D, name, None, st, "severe_columns", sev_n, sev_names), _row(D, name, None, st, "severe_row_count", "_severe_rows")]
+    rows += [_row(D, name, None, st, "severe_columns", sev_n, sev_names), _row(D, name, None, st, "severe_row_count", "_severe_rows"), _row(D, name, None, st, "severe_row_pct", _pct("_severe_rows", "_n"))]
     ok = " AND ".join(f"{colpct[c]} < 5" for c in C.SERIES_COLUMNS)
     for c in C.SERIES_COLUMNS:
         for metric, v in (("null_pct", colpct[c]), ("min", f"{c}__min"), ("max", f"{c}__max")):
@@ -245,7 +247,9 @@ def _outlier_sql() -> str:
             f"SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, avg({c}) AS mu, stddev_pop({c}) AS sd FROM merged)))"
         )
         for metric, v in (("iqr_count", "ic"), ("iqr_pct", "ip"), ("z_count", "zc"), ("z_pct", "zp"), ("skewness", "sk"), ("lower_fence", "lb"), ("upper_fence", "ub")):
-            parts.append(_row(D, f"Outliers in {c}", c, st, metric, v, None, src=f"({inner}) WHERE n > 0"))
+            method = {"iqr_count": "ip", "z_count": "zp"}.get(metric)
+            text = f"CASE WHEN {method} <= {C.OUTLIER_THRESHOLD_PCT} THEN 'PASS' ELSE 'FAIL' END" if method else None
+            parts.append(_row(D, f"Outliers in {c}", c, st, metric, v, text, src=f"({inner}) WHERE n > 0"))
     return stage_sql(_union(parts))
 
 
@@ -312,8 +316,88 @@ def _relationships_sql() -> str:
 
 @register("q25_relationship_checks", _relationships_sql(), round_cols=["value"], digits=6)
 def q_relationships(spark, sf_dir):
-    """Q25: expected correlation signs on complete cases (Pearson and Spearman)."""
-    return Q.check_relationships(stages.merged(spark, sf_dir))
+    """Q25: expected correlation signs on complete cases (Pearson and Spearman; their p-values: the next query)."""
+    return Q.check_relationships(stages.merged(spark, sf_dir)).where(~F.col("metric").endswith("_p"))
+
+
+@register("q25_relationship_pvalues", None)
+def q_relationship_p(spark, sf_dir):
+    """Q25: p-values and significance of the expected pairs (Student t on aggregated rows; values in unit tests)."""
+    return Q.check_relationships(stages.merged(spark, sf_dir)).where(F.col("metric").endswith("_p"))
+
+
+def _sales_corr_sql() -> str:
+    cols = C.NUMERIC_COLUMNS
+    cc = "cc AS (SELECT " + ", ".join(cols) + " FROM merged WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols) + ")"
+    strength = "CASE WHEN abs(r) > 0.6 THEN 'strong' WHEN abs(r) > 0.3 THEN 'moderate' ELSE 'weak' END"
+    body = " UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS n, corr({c}, Weekly_Sales) AS r FROM cc" for c in cols if c != "Weekly_Sales")
+    return stage_sql(f"SELECT feature, n, r, {strength} AS strength FROM ({body})", cc)
+
+
+@register("q25_sales_correlations", _sales_corr_sql(), round_cols=["r"], digits=6)
+def q_sales_corr(spark, sf_dir):
+    """Q25: r of every numeric column with the sales on complete cases."""
+    return Q.sales_correlations(stages.merged(spark, sf_dir)).select("feature", "n", "r", "strength")
+
+
+# --- stage checks ----------------------------------------------------------------------------------
+def _stage_rows(D: str, nulls_name: str) -> list[str]:
+    null = "CASE WHEN nulls = 0 THEN 'PASS' ELSE 'WARN' END"
+    return [
+        _row(D, nulls_name, None, null, "null_cells", "nulls"),
+        _row(D, nulls_name, None, null, "columns_with_nulls", "null_columns"),
+        _row(D, "No infinite values", None, "'PASS'", "infinite_cells", "0"),
+        _row(D, "Row count preserved", None, _pf("n = n_before"), "rows", "n"),
+    ]
+
+
+def _cleaned_sql() -> str:
+    D = "Post-Cleaning"
+    cols = [*C.REQUIRED_COLUMNS, *C.MARKDOWN_FLAGS, "is_return"]
+    nulls = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+    null_columns = " + ".join(f"CAST(count_if({c} IS NULL) > 0 AS INTEGER)" for c in cols)
+    w = (
+        f"w AS (SELECT count(*) AS n, (SELECT count(*) FROM merged) AS n_before, {nulls} AS nulls, {null_columns} AS null_columns, "
+        "count_if(Sales_Class = 0) AS low, count_if(Sales_Class = 1) AS high FROM cleaned)"
+    )
+    ratio = r("greatest(low, high) / least(low, high)", 3)
+    rows = [
+        *_stage_rows(D, "No remaining null values"),
+        _row(D, "Target distribution intact", "Sales_Class", f"CASE WHEN {ratio} < {C.MAX_IMBALANCE} THEN 'PASS' ELSE 'WARN' END", "imbalance_ratio", ratio),
+        _row(D, "All expected new columns created", None, "'PASS'", "missing_columns", "0", "''"),
+        _row(D, "No unexpected text columns", None, "'PASS'", "text_columns", "0", "''"),
+    ]
+    return stage_sql(_union(rows), w)
+
+
+@register("q26_post_cleaning_checks", _cleaned_sql(), round_cols=["value"], digits=6)
+def q_cleaned(spark, sf_dir):
+    """Q26: checks of the cleaned table against its input."""
+    return Q.check_cleaned(stages.merged(spark, sf_dir), stages.cleaned(spark, sf_dir))
+
+
+def _features_sql() -> str:
+    D = "Post-Features"
+    cols = ["Store", "Dept", "Date", "IsHoliday", "Type", "Sales_Class", *C.EDA_NUMERIC_COLUMNS]
+    nulls = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+    null_columns = " + ".join(f"CAST(count_if({c} IS NULL) > 0 AS INTEGER)" for c in cols)
+    limits = ", ".join(f"min({c}) AS {c}__min, max({c}) AS {c}__max" for c in C.CYCLICAL_COLUMNS)
+    w = (
+        f"w AS (SELECT count(*) AS n, (SELECT count(*) FROM cleaned) AS n_before, {nulls} AS nulls, {null_columns} AS null_columns, "
+        f"count_if(Sales_Class = 0) AS low, count_if(Sales_Class = 1) AS high, count_if(Sales_Class IS NULL OR Sales_Class NOT IN (0, 1)) AS other, {limits} FROM featured)"
+    )
+    rows = [*_stage_rows(D, "No NaN values in engineered features"), _row(D, "Target column intact", "Sales_Class", _pf("low > 0 AND high > 0 AND other = 0"), "other_values", "other")]
+    for c in C.CYCLICAL_COLUMNS:
+        st = _pf(f"{c}__min >= -1.01 AND {c}__max <= 1.01")
+        rows += [_row(D, f"{c} in [-1, 1]", c, st, m, r(f"{c}__{m}", 4)) for m in ("min", "max")]
+    rows.append(_row(D, "No zero-variance features", None, "'PASS'", "constant_columns_dropped", "0", "''"))
+    return stage_sql(_union(rows), w)
+
+
+@register("q27_post_feature_checks", _features_sql(), round_cols=["value"], digits=6)
+def q_features(spark, sf_dir):
+    """Q27: checks of the feature table against its input."""
+    return Q.check_features(stages.cleaned(spark, sf_dir), stages.featured(spark, sf_dir))
 
 
 # --- roll-up ---------------------------------------------------------------------------------------
@@ -321,9 +405,9 @@ def _rollup_sql() -> str:
     bodies = [_accuracy_sql(), _completeness_sql(), _consistency_sql(), _uniqueness_sql(), _outlier_sql(), _distribution_sql(), _relationships_sql()]
     allrows = " UNION ALL ".join(f"SELECT * FROM ({b})" for b in bodies)
     return (
-        "SELECT dimension, count(*) AS total_checks, count_if(status = 'PASS') AS passed, count_if(status = 'WARN') AS warnings, "
+        "SELECT dimension, count_if(status <> 'SKIP') AS total_checks, count_if(status = 'PASS') AS passed, count_if(status = 'WARN') AS warnings, "
         "count_if(status = 'FAIL') AS failed, count_if(status = 'SKIP') AS skipped, "
-        "CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL' WHEN count_if(status = 'WARN') > 0 THEN 'WARN' ELSE 'PASS' END AS overall_status "
+        "CASE WHEN count_if(status = 'FAIL') > 0 THEN 'FAIL' WHEN count_if(status = 'WARN') > 0 THEN 'WARN' WHEN count_if(status = 'PASS') > 0 THEN 'PASS' ELSE 'SKIP' END AS overall_status "
         f"FROM (SELECT dimension, \"check\", first(status) AS status FROM ({allrows}) GROUP BY dimension, \"check\") GROUP BY dimension"
     )
 
@@ -350,7 +434,18 @@ def q_overall(spark, sf_dir):
     )
 
 
-@register("q21_outlier_profile", None)
+def _samples_sql() -> str:
+    k, parts = C.IQR_MULTIPLIER, []
+    for c in C.OUTLIER_COLUMNS:
+        cents = f"CAST(round({r(c, 2)} * 100) AS BIGINT)"
+        bounds = f"(SELECT q1 - {k} * (q3 - q1) AS lb, q3 + {k} * (q3 - q1) AS ub FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM merged))"
+        parts.append(f"SELECT '{c}' AS \"column\", COALESCE((SELECT string_agg(v, ',' ORDER BY CAST(v AS BIGINT)) FROM (SELECT DISTINCT CAST({cents} AS VARCHAR) AS v FROM merged, {bounds} WHERE {c} < lb OR {c} > ub ORDER BY CAST(v AS BIGINT) LIMIT 10)), '') AS cents")
+    return stage_sql(" UNION ALL ".join(parts))
+
+
+@register("q21_outlier_profile", _samples_sql())
 def q_outlier_profile(spark, sf_dir):
-    """Q21–Q23 per-column profile with the 10 smallest distinct IQR outliers (rows-only check)."""
-    return Q.outlier_profile(stages.merged(spark, sf_dir))
+    """Q21: the 10 smallest distinct IQR outliers of each column, as whole cents."""
+    prof = Q.outlier_profile(stages.merged(spark, sf_dir))
+    cents = F.transform("sample_outliers", lambda v: F.round(v * 100).cast("long").cast("string"))
+    return prof.select("column", F.array_join(cents, ",").alias("cents"))

@@ -8,8 +8,9 @@ from shelfspark import config as C
 from shelfspark.operators import correlation as CR
 from shelfspark.operators import profile as D
 from shelfspark.operators import quality as Q
+from shelfspark.operators.common import numeric_columns
 from shelfspark.plans import stages
-from shelfspark.plans.catalog import REGISTRY, register, stage_sql
+from shelfspark.plans.catalog import register, stage_sql
 from shelfspark.plans.oracle_sql import r
 
 NUM = C.NUMERIC_COLUMNS
@@ -44,6 +45,14 @@ def _profile_sql(table: str, cols) -> str:
     return f"SELECT *, {_pct('iqr_outlier_count', 'count')} AS iqr_outlier_pct FROM ({body})"
 
 
+def eda_numeric(eda) -> list[str]:
+    """The numeric columns of the EDA table by its schema, without target and ids; the oracle SQL spells them out."""
+    cols = numeric_columns(eda, exclude=["Sales_Class", "Store", "Dept"])
+    if sorted(cols) != sorted(C.EDA_NUMERIC_COLUMNS):
+        raise AssertionError(f"numeric columns changed: {sorted(set(cols) ^ set(C.EDA_NUMERIC_COLUMNS))}")
+    return cols
+
+
 _PROFILE_DOUBLES = ["mean", "median", "std", "min", "max", "q1", "q3", "skewness", "kurtosis"]
 
 
@@ -55,14 +64,14 @@ def d1(spark, sf_dir):
 
 @register(
     "d1_feature_statistics",
-    stage_sql(_profile_sql("eda", ["Weekly_Sales", "Size", "TotalMarkDown", "ConsumerConfRatio", "HolidayProximity", "SizePerType"])),
+    stage_sql(_profile_sql("eda", C.EDA_NUMERIC_COLUMNS)),
     round_cols=_PROFILE_DOUBLES,
     digits=4,
 )
 def d1b(spark, sf_dir):
-    """D1 on engineered features of the EDA table (the dashboard's feature_statistics)."""
-    cols = ["Weekly_Sales", "Size", "TotalMarkDown", "ConsumerConfRatio", "HolidayProximity", "SizePerType"]
-    return D.numeric_profile(stages.eda(spark, sf_dir), cols)
+    """D1 on every numeric column of the EDA table (the dashboard's feature_statistics)."""
+    eda = stages.eda(spark, sf_dir)
+    return D.numeric_profile(eda, eda_numeric(eda))
 
 
 def _cat_sql(col: str) -> str:
@@ -220,19 +229,20 @@ def d14(spark, sf_dir):
     return before.unionByName(after)
 
 
+_D16 = ["Store", "Dept", "Sales_Class", *C.EDA_NUMERIC_COLUMNS]
+
+
 @register(
     "d16_binary_columns",
     stage_sql(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", COALESCE(bool_and({c} IS NOT NULL AND {c} IN (0, 1)), TRUE) AS is_binary FROM featured"
-            for c in ["Store", "IsPreHoliday", "has_MarkDown1", "is_return", "HasAnyMarkDown", "SizeQuartile", "Sales_Class", "Weekly_Sales"]
+            f"SELECT '{c}' AS \"column\", COALESCE(bool_and({c} IS NOT NULL AND {c} IN (0, 1)), TRUE) AS is_binary FROM featured" for c in _D16
         )
     ),
 )
 def d16(spark, sf_dir):
-    """Binary (values ⊆ {0, 1}) vs continuous feature classification."""
-    cols = ["Store", "IsPreHoliday", "has_MarkDown1", "is_return", "HasAnyMarkDown", "SizeQuartile", "Sales_Class", "Weekly_Sales"]
-    return D.binary_columns(stages.featured(spark, sf_dir), cols)
+    """Binary (values ⊆ {0, 1}) vs continuous classification of every numeric feature."""
+    return D.binary_columns(stages.featured(spark, sf_dir))
 
 
 @register(
@@ -294,20 +304,20 @@ def c3b(spark, sf_dir):
     return CR.correlation_matrix(stages.merged(spark, sf_dir), _CORR_COLS, complete_cases=True)
 
 
-_EDA_NUM = ["Weekly_Sales", "Temperature", "Fuel_Price", "CPI", "Unemployment", "Size", "UMCSENT", "RSXFS", "PCE",
-            "TotalMarkDown", "AvgMarkDownAmount", "HolidayProximity", "SizePerType", "StoreDeptCount", "DeptFrequency",
-            "ConsumerConfRatio", "Week_sin", "Week_cos", "IsPreHoliday", "HasAnyMarkDown"]
+_EDA_NUM = C.EDA_NUMERIC_COLUMNS
+_TARGET_CORR = "SELECT feature, r FROM (UNPIVOT (SELECT " + ", ".join(f"corr({c}, Sales_Class) AS {c}" for c in _EDA_NUM) + " FROM eda) ON COLUMNS(*) INTO NAME feature VALUE r)"
 
 
 @register(
     "c4_target_correlations",
-    stage_sql(" UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, Sales_Class) AS r FROM eda" for c in _EDA_NUM)),
+    stage_sql(_TARGET_CORR),
     round_cols=["r"],
     digits=6,
 )
 def c4(spark, sf_dir):
     """C4: correlation of each feature with the target."""
-    return CR.target_correlations(stages.eda(spark, sf_dir), _EDA_NUM)
+    eda = stages.eda(spark, sf_dir)
+    return CR.target_correlations(eda, eda_numeric(eda))
 
 
 @register(
@@ -315,31 +325,34 @@ def c4(spark, sf_dir):
     stage_sql(
         "SELECT * FROM (SELECT feature, r, 'positive' AS side FROM t WHERE r > 0 ORDER BY r DESC, feature LIMIT 5) "
         "UNION ALL SELECT * FROM (SELECT feature, r, 'negative' AS side FROM t WHERE r < 0 ORDER BY r ASC, feature LIMIT 5)",
-        "t AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, Sales_Class) AS r FROM eda" for c in _EDA_NUM) + ")",
+        f"t AS ({_TARGET_CORR})",
     ),
     round_cols=["r"],
     digits=6,
 )
 def c4b(spark, sf_dir):
     """C4: top-5 positive and negative target correlations."""
-    return CR.top_by_sign(CR.target_correlations(stages.eda(spark, sf_dir), _EDA_NUM), 5)
+    eda = stages.eda(spark, sf_dir)
+    return CR.top_by_sign(CR.target_correlations(eda, eda_numeric(eda)), 5)
+
+
+_PAIRS = [(a, b) if a < b else (b, a) for i, a in enumerate(_EDA_NUM) for b in _EDA_NUM[i + 1 :]]
 
 
 @register(
     "c6_top_collinear_pairs",
     stage_sql(
-        "SELECT a, b, r FROM (" + " UNION ALL ".join(
-            f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM eda" for i, a in enumerate(_EDA_NUM) for b in _EDA_NUM[i + 1:]
-        ) + ") WHERE a < b AND abs(r) > 0.7 UNION ALL SELECT a, b, r FROM (" + " UNION ALL ".join(
-            f"SELECT '{b}' AS a, '{a}' AS b, corr({a}, {b}) AS r FROM eda" for i, a in enumerate(_EDA_NUM) for b in _EDA_NUM[i + 1:]
-        ) + ") WHERE a < b AND abs(r) > 0.7 ORDER BY abs(r) DESC, a, b LIMIT 15"
+        "SELECT split_part(pair, '|', 1) AS a, split_part(pair, '|', 2) AS b, r FROM (UNPIVOT (SELECT "
+        + ", ".join(f'corr({a}, {b}) AS "{a}|{b}"' for a, b in _PAIRS)
+        + " FROM eda) ON COLUMNS(*) INTO NAME pair VALUE r) WHERE NOT isnan(r) AND abs(r) > 0.7 ORDER BY round(abs(r), 9) DESC, a, b LIMIT 15"
     ),
     round_cols=["r"],
     digits=6,
 )
 def c6(spark, sf_dir):
-    """Top-15 pairs with |r| > 0.7 (upper triangle)."""
-    return CR.top_collinear_pairs(CR.correlation_matrix(stages.eda(spark, sf_dir), _EDA_NUM))
+    """Top-15 pairs with |r| > 0.7 (upper triangle) over every numeric column."""
+    eda = stages.eda(spark, sf_dir)
+    return CR.top_collinear_pairs(CR.correlation_matrix(eda, eda_numeric(eda)))
 
 
 @register(
@@ -347,7 +360,7 @@ def c6(spark, sf_dir):
     stage_sql(
         "SELECT feature, n, abs(r) AS correlation, CASE WHEN r > 0 THEN '+' ELSE '-' END AS direction, r FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, count_if({c} IS NOT NULL AND Sales_Class IS NOT NULL) AS n, corr(Sales_Class, {c}) AS r FROM eda" for c in _EDA_NUM if c != "Weekly_Sales"
+            f"SELECT '{c}' AS feature, count_if({c} IS NOT NULL AND Sales_Class IS NOT NULL) AS n, corr(Sales_Class, {c}) AS r FROM eda" for c in _EDA_NUM
         )
         + ") WHERE n >= 100"
     ),
@@ -356,15 +369,15 @@ def c6(spark, sf_dir):
 )
 def c7(spark, sf_dir):
     """Point-biserial r per feature (n ≥ 100), |r| and direction (p-values: c5 query)."""
-    cols = [c for c in _EDA_NUM if c != "Weekly_Sales"]
-    return CR.point_biserial(stages.eda(spark, sf_dir), cols, top=None).drop("p_value")
+    eda = stages.eda(spark, sf_dir)
+    return CR.point_biserial(eda, eda_numeric(eda), top=None).drop("p_value")
 
 
 @register("c5_c7_point_biserial_pvalues", None)
 def c5(spark, sf_dir):
-    """Two-sided p-values of the point-biserial r (Student t on aggregated rows; rows-only)."""
-    cols = [c for c in _EDA_NUM if c != "Weekly_Sales"]
-    return CR.point_biserial(stages.eda(spark, sf_dir), cols, top=25)
+    """Two-sided p-values of the point-biserial r (Student t on aggregated rows; values in unit tests)."""
+    eda = stages.eda(spark, sf_dir)
+    return CR.point_biserial(eda, eda_numeric(eda), top=25)
 
 
 def _moments_sql(cols) -> str:
@@ -376,7 +389,7 @@ def _moments_sql(cols) -> str:
     )
 
 
-_TT = [c for c in _EDA_NUM if c != "Weekly_Sales"]
+_TT = _EDA_NUM
 
 
 @register(
@@ -391,7 +404,8 @@ _TT = [c for c in _EDA_NUM if c != "Weekly_Sales"]
 )
 def c8(spark, sf_dir):
     """Welch t statistic and Welch–Satterthwaite df per feature (p-values: c10 query)."""
-    return CR.welch_t_test(stages.eda(spark, sf_dir), _TT, top=None).select("feature", "t_stat", "dof")
+    eda = stages.eda(spark, sf_dir)
+    return CR.welch_t_test(eda, eda_numeric(eda), top=None).select("feature", "t_stat", "dof")
 
 
 @register(
@@ -405,18 +419,21 @@ def c8(spark, sf_dir):
 )
 def c9(spark, sf_dir):
     """Top-25 |Cohen's d| (pooled std of the two class variances)."""
-    return CR.cohens_d(stages.eda(spark, sf_dir), _TT)
+    eda = stages.eda(spark, sf_dir)
+    return CR.cohens_d(eda, eda_numeric(eda))
 
 
 @register("c10_significance_summary", None)
 def c10(spark, sf_dir):
     """Welch p-values, significant count and tested count (rows-only)."""
-    return CR.significance_summary(stages.eda(spark, sf_dir), _TT)
+    eda = stages.eda(spark, sf_dir)
+    return CR.significance_summary(eda, eda_numeric(eda))
 
 
 @register("c8_welch_pvalues_top25", None)
 def c8b(spark, sf_dir):
-    return CR.welch_t_test(stages.eda(spark, sf_dir), _TT, top=25)
+    eda = stages.eda(spark, sf_dir)
+    return CR.welch_t_test(eda, eda_numeric(eda), top=25)
 
 
 _SPEAR = [("Size", "Weekly_Sales"), ("Temperature", "Weekly_Sales"), ("Fuel_Price", "CPI"), ("MarkDown1", "MarkDown3")]
@@ -444,6 +461,3 @@ def c2(spark, sf_dir):
         out = part if out is None else out.unionByName(part)
     return out
 
-
-# DuckDB's count() is BIGINT; Spark count_if is BIGINT too — nothing to align.
-_ = REGISTRY

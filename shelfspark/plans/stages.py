@@ -41,8 +41,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature stage: 38 engineered columns."""
-    return _stage(spark, sf_dir, "featured", lambda: features.engineer(cleaned(spark, sf_dir)))
+    """Feature stage: 38 engineered columns, written once; P9 looks for constant columns in the written table."""
+    written = _stage(spark, sf_dir, "featured", lambda: features.engineer(cleaned(spark, sf_dir), drop_constant=False))
+    k = _key(spark, sf_dir, "featured_kept")
+    if k not in _CACHE:
+        _CACHE[k] = features.drop_zero_variance(written)[0]
+    return _CACHE[k]
 
 
 def eda(spark: SparkSession, sf_dir: str) -> DataFrame:

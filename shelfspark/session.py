@@ -36,12 +36,17 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the cluster's shared checkpoint folder; on ``local`` masters (tests) a scratch one is set when it is unset.
+
+    Elsewhere an unset folder is an error: each machine would write to its own."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

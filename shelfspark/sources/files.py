@@ -7,7 +7,6 @@ Parquet is the format between stages, reports are written as JSON/CSV rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -136,9 +135,9 @@ def write_checks(checks: DataFrame, path: str, fmt: str = "json", mode: str = "o
         out = checks.select(
             *[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) else F.col(f.name) for f in checks.schema.fields]
         )
-        out.coalesce(1).write.mode(mode).option("header", True).csv(path)
+        out.write.mode(mode).option("header", True).csv(path)
     else:
-        out.coalesce(1).write.mode(mode).json(path)
+        out.write.mode(mode).json(path)
 
 
 def read_eda(spark: SparkSession, path: str) -> DataFrame:
@@ -151,16 +150,14 @@ def read_eda(spark: SparkSession, path: str) -> DataFrame:
 
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Model metric rows as JSON."""
-    metrics.coalesce(1).write.mode(mode).json(path)
+    metrics.write.mode(mode).json(path)
 
 
 def read_optional_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read back exported sections / metrics; an absent path gives an empty frame."""
+    """Read back exported sections / metrics; an absent path gives an empty frame, any other fault is raised."""
     try:
         return spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-
-
-def local_path_exists(path: str) -> bool:
-    return Path(path).exists()

@@ -17,13 +17,13 @@ Everything is lazy: reading, projection and filters reach the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark import config as C
 from shelfspark.operators import joins
 from shelfspark.operators.aggregates import add_store_median_target
+from shelfspark.session import cut_lineage
 from shelfspark.sources.files import nan_to_null
 
 TABLES = (
@@ -92,10 +92,8 @@ def store_week_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_series_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed monthly macro series in long form: (Date, series_id, value).
 
-    June is missing and the series start in April 1995 (gaps exercise the as-of
-    join); RSXFS is NULL in March (a NULL cell, not a missing row)."""
+    Every order counts; RSXFS is NULL in March (a NULL cell, not a missing row)."""
     o = table(spark, sf_dir, "orders")
-    o = o.where((F.month("o_orderdate") != 6) & (F.col("o_orderdate") >= F.lit("1995-04-01").cast("date")))
     m = o.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("Date")).agg(
         (F.lit(40.0) + F.count(F.lit(1)) % 80).alias("UMCSENT"),
         F.when(F.month(F.min("o_orderdate")) == 3, F.lit(None).cast("double"))
@@ -115,9 +113,9 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20-column merged table: facts ⟕ stores (J1) → as-of series (J4) → target (A1).
 
     facts ⟕ stores feeds three branches (distinct as-of keys, store medians, the
-    final rows), so it is persisted once instead of re-running the fact join."""
+    final rows), so it is written once instead of re-running the fact join."""
     f = facts(spark, sf_dir)
-    with_store = joins.left_join_dim(f, stores(spark, sf_dir), ["Store"]).persist(StorageLevel.MEMORY_AND_DISK)
+    with_store = cut_lineage(joins.left_join_dim(f, stores(spark, sf_dir), ["Store"]), "facts-with-stores")
     with_series = joins.asof_join(with_store, monthly_series(spark, sf_dir), on="Date")
     target = add_store_median_target(with_series, median_source=with_store)
     return target.select(*C.REQUIRED_COLUMNS)
@@ -157,7 +155,6 @@ series AS (
          CASE WHEN month(min(o_orderdate)) = 3 THEN NULL ELSE 200000e0 + count(*) * 100 END AS RSXFS,
          round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 10000, 4) AS PCE
   FROM orders
-  WHERE month(o_orderdate) <> 6 AND o_orderdate >= DATE '1995-04-01'
   GROUP BY 1
 ),
 joined AS (
