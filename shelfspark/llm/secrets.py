@@ -1,9 +1,10 @@
 """Secret scans: candidates by form, false positives removed by a random forest.  DataFrame functions and Spark ML only.
 
 A *candidate* is a white-space delimited word whose value (what follows ``name=`` or ``name:`` and stands without quotes and
-final marks) has at least ``least_chars`` characters of the alphabet of keys, a digit among them.  Its *features*:
+final marks) has at least ``least_chars`` characters of the alphabet of keys, a digit among them or 16 capitals in a row.
+Its *features*:
 
-* length, and the shares of digits, capitals and hexadecimal characters;
+* length, the shares of digits, capitals and hexadecimal characters, and whether it begins as a known issuer's keys do;
 * character transitions: changes between lower case, capitals, digits and marks, and letter pairs vowel/consonant;
 * dictionary coverage: the share of its characters in common words;
 * path: slashes, dots and file endings in the word, and whether it is a URL;
@@ -32,7 +33,9 @@ ISSUED = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abp
 PLAIN = r"^([0-9.+/:_-]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|.*\.(com|org|net|html?|php|jpe?g|png|gif|pdf|txt|csv|js|css)([/?#].*)?)$"
 ASSIGNED = r"""^[^A-Za-z0-9_]*([A-Za-z_][A-Za-z0-9_.-]*)[=:]+(?!//)"""
 VALUE = r"""^[^A-Za-z0-9_]*(?:[A-Za-z_][A-Za-z0-9_.-]*[=:]+(?!//))?["'(\[{<]*([A-Za-z0-9+/=_.~:@-]*[A-Za-z0-9+/=_~-])[^A-Za-z0-9]*$"""
-FEATURES = ["chars", "digits", "capitals", "hexadecimal", "changes", "vowel_pairs", "distinct", "dictionary", "slashes", "dots", "file_ending", "url", "assigned", "named_credential", "before_credential", "before_harmless", "after_harmless"]
+PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abpr]-|sk_live_|AIza|eyJ)"
+KEY_LIKE = r"[0-9]|[A-Z]{16}"
+FEATURES = ["chars", "digits", "capitals", "hexadecimal", "issuer_prefix", "changes", "vowel_pairs", "distinct", "dictionary", "slashes", "dots", "file_ending", "url", "assigned", "named_credential", "before_credential", "before_harmless", "after_harmless"]
 
 
 def candidates(docs: DataFrame, least_chars: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,14 +43,14 @@ def candidates(docs: DataFrame, least_chars: int = 12, id_col: str = "doc_id", t
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.split(text, r"\s+").alias("words"))
     each = rows.select("doc_id", "key", "words", F.posexplode("words").alias("word", "token"))
-    each = each.where((F.length("token") >= least_chars) & F.col("token").rlike("[0-9]"))
+    each = each.where((F.length("token") >= least_chars) & F.col("token").rlike(KEY_LIKE))
     near = each.select(
         "doc_id", "key", "word", "token",
         F.regexp_extract("token", VALUE, 1).alias("value"), F.regexp_extract("token", ASSIGNED, 1).alias("name"),
         F.concat_ws(" ", F.get("words", F.col("word") - 3), F.get("words", F.col("word") - 2), F.get("words", F.col("word") - 1)).alias("before"),
         F.coalesce(F.get("words", F.col("word") + 1), F.lit("")).alias("after"),
     )
-    found = near.where((F.length("value") >= least_chars) & F.col("value").rlike("[0-9]"))
+    found = near.where((F.length("value") >= least_chars) & F.col("value").rlike(KEY_LIKE))
     value, n = F.col("value"), F.length("value")
 
     def share(pattern: str) -> Column:
@@ -55,7 +58,7 @@ def candidates(docs: DataFrame, least_chars: int = 12, id_col: str = "doc_id", t
 
     return found.select(
         "doc_id", "key", "word", "value", "name", "before",
-        n.cast("double").alias("chars"), share("[0-9]").alias("digits"), share("[A-Z]").alias("capitals"), share("[0-9a-f]").alias("hexadecimal"),
+        n.cast("double").alias("chars"), share("[0-9]").alias("digits"), share("[A-Z]").alias("capitals"), share("[0-9a-f]").alias("hexadecimal"), value.rlike(PREFIX).cast("double").alias("issuer_prefix"),
         share("[a-z](?=[^a-z])|[A-Z](?=[^A-Z])|[0-9](?=[^0-9])").alias("changes"), share("(?i)[aeiou](?=[bcdfghjklmnpqrstvwxyz])").alias("vowel_pairs"),
         (F.size(F.array_distinct(F.split(value, ""))) / n).alias("distinct"), (1 - F.length(F.regexp_replace(value, DICTIONARY, "")) / n).alias("dictionary"),
         F.regexp_count(value, F.lit("/")).cast("double").alias("slashes"), F.regexp_count(value, F.lit("[.]")).cast("double").alias("dots"),
@@ -68,11 +71,13 @@ def candidates(docs: DataFrame, least_chars: int = 12, id_col: str = "doc_id", t
 
 def label_by_form(found: DataFrame) -> DataFrame:
     """Labelled findings: 1 for an issuer's form, or for a value of mixed characters that is assigned to (or follows) a
-    credential's name; 0 for plain shapes (numbers, addresses, file names) and dictionary words; others are left out."""
+    credential's name; 0 for plain shapes (numbers, addresses, file names, letters alone) and dictionary words; others are left
+    out."""
     named = (F.col("named_credential") == 1) | F.col("before").rlike(r"(?i)(key|token|secret|passw\w*|pwd)\s*[=:]?[=:]$")
-    secret = F.col("value").rlike(ISSUED) | (named & (F.col("digits") < 1) & (F.col("dictionary") < 0.3) & (F.col("distinct") * F.col("chars") >= 6))
-    harmless = F.col("value").rlike(PLAIN) | (F.col("dictionary") > 0.6)
-    return found.withColumn("label", F.when(harmless, 0.0).when(secret, 1.0)).where("label is not null")
+    issued = F.col("value").rlike(ISSUED)
+    secret = named & (F.col("digits") < 1) & (F.col("dictionary") < 0.3) & (F.col("distinct") * F.col("chars") >= 6)
+    harmless = F.col("value").rlike(PLAIN) | F.col("value").rlike("^[A-Za-z]+$") | (F.col("dictionary") > 0.6)
+    return found.withColumn("label", F.when(issued, 1.0).when(harmless, 0.0).when(secret, 1.0)).where("label is not null")
 
 
 def train(labelled: DataFrame, fit_findings: int = 20_000, trees: int = 30, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel | float:
