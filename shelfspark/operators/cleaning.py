@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from shelfspark import config as C
 from shelfspark.functions.moments import sample_skew
-from shelfspark.operators.common import NUMERIC_TYPES, fixed_round, one_row_concat, pct, present
+from shelfspark.operators.common import fixed_round, numeric_columns, one_row_concat, pct, present
 from shelfspark.operators.ranks import column_quantiles
 
 
@@ -230,8 +230,7 @@ def select_features(df: DataFrame, features: Sequence[str] = C.SELECTED_FEATURES
 
 def numeric_column_names(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Numeric columns by schema type (booleans are not numeric)."""
-    ex = set(exclude)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in ex]
+    return numeric_columns(df, exclude)
 
 
 def complete_cases(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -152,12 +152,6 @@ def d9(spark, sf_dir):
     return D.missing_summary(stages.merged(spark, sf_dir))
 
 
-@register("d10_schema_snapshot", None)
-def d10(spark, sf_dir):
-    """(column, type) of the merged table (rows-only)."""
-    return D.schema_snapshot(stages.merged(spark, sf_dir))
-
-
 @register(
     "d11_dataset_summary",
     stage_sql(
