@@ -167,7 +167,7 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
     """One row for each context of each document of ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             parts, sizes = [], []
             for text in batch.column("text"):
                 parts.append(contexts_of(text.as_py(), length))
@@ -186,7 +186,7 @@ def _chosen(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_KEYS else ids, keys, "left_semi")
 
 
-def _sorted_contexts(length: int, at_once: int = 4 << 20):
+def _sorted_contexts(length: int, at_once: int = 1 << 20):
     """Anchors' contexts (sorted by anchor) to the repeated windows of the contexts that occur once."""
 
     def flush(rows: list) -> pa.RecordBatch:
@@ -249,7 +249,7 @@ def repeated_windows(rows: DataFrame, length: int = 200, anchor_contexts: int =
     # their bytes, from one document of each content
     lowest = rows.groupBy("k1", "k2").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("low"))
     sources = lowest.join(open_.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
-    one = _chosen(rows.withColumn("low", F.coalesce("doc_id", F.lit(0))), sources, ["k1", "k2", "low"]).dropDuplicates(["k1", "k2"]) if False else _chosen(rows.withColumn("low", F.coalesce("doc_id", F.lit(0))), sources, ["k1", "k2", "low"])
+    one = _chosen(rows.withColumn("low", F.coalesce("doc_id", F.lit(0))), sources, ["k1", "k2", "low"])
     text = one.select("k1", "k2", "text")
     sliced = open_.join(text, ["k1", "k2"]).select("anchor", "context", "times", "contexts", "k1", "k2", "first", F.substring("text", F.col("first") + 1, F.col("count") + (length - 1)).alias("bytes"))
     sliced = cut_lineage(sliced, "context-bytes")
