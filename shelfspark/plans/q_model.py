@@ -378,8 +378,8 @@ def m2(spark, sf_dir):
 
 
 #: Labelled rows that the forest and the grid search are fitted on at most; every test row is scored.
-FOREST_FIT_ROWS = 4_000
-GRID_FIT_ROWS = 4_000
+FOREST_FIT_ROWS = 1_000
+GRID_FIT_ROWS = 2_000
 
 
 @register("m3_random_forest", None)
