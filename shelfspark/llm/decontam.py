@@ -5,19 +5,21 @@ A text becomes a sequence of canonical words: a number (digits or a number word)
 ``window`` canonical words are hashed; those of the benchmark are hash-joined with those of all documents, so an item is
 found again after its numbers, names and units have been replaced.
 
-The hits of a document and an item are then judged together: *coverage* is the share of the item's windows that are found
-near one diagonal (place in the document less place in the item), and the *slots* of these windows must be consistent: one
-value in the item stands for one value in the document and the other way round.  Windows with fewer than ``literals`` words
-of their own say too little and are not used.
+The hits of a document and an item are then judged together, in the task that has the document: they are put into chains that
+rise in both (one document place for each item place, shifts near each other), and each chain is carried on word by word
+through what an edit has destroyed.  *Coverage* is the share of the item's words that a chain aligns with an equal word or a
+slot of the same kind.  Numbers and units are free at each place; a name of the item must stand for one name.  Windows with
+fewer than ``literals`` words of their own say too little and are not used to find hits.
 
-Only benchmark windows are broadcast, in blocks of at most ``block_windows``; a larger benchmark takes several passes over the
-documents.  Document windows meet them in a hash join without a shuffle."""
+Only the benchmark is broadcast, in blocks of about ``block_windows`` windows; a larger benchmark takes several passes over the
+documents.  Document windows meet it in a hash lookup without a shuffle."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ PLAIN, TITLE, NUMBER, UNIT, MARK = range(5)
 KIND = np.uint64(7)
 PLACEHOLDERS = {kind: np.uint64(xxhash.xxh64_intdigest(name) & ~7) for kind, name in ((NUMBER, "<num>"), (UNIT, "<unit>"), (TITLE, "<name>"))}
 MIX = np.uint64(0x9E3779B97F4A7C15)
+NAMES = ["id", "item_id", "coverage", "first_word", "last_word", "n_slots", "reparameterised"]
+KINDS = [pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
 
 
 def _token(token: str) -> int:
@@ -50,14 +54,21 @@ def _token(token: str) -> int:
     return xxhash.xxh64_intdigest(low) & ~7 | kind
 
 
+class Words(NamedTuple):
+    """Of each word of a text: the hash of its canonical word, of the word as it stands, and what slot it is (or ``PLAIN``)."""
+
+    canonical: np.ndarray
+    raw: np.ndarray
+    kinds: np.ndarray
+
+
 class Canonical:
     """Canonical words of texts; remembers up to ``most`` tokens."""
 
     def __init__(self, most: int = 400_000):
         self.most, self.memo = most, {}
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(canonical hashes, hashes of the words as they stand, whether each is a slot)."""
+    def __call__(self, text: str | None) -> Words:
         tokens, memo = TOKEN.findall(text or ""), self.memo
         try:
             codes = np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
@@ -70,10 +81,10 @@ class Canonical:
         before = np.concatenate([[np.uint64(MARK)], kind[:-1]]) if len(kind) else kind
         word, raw = kind != MARK, codes & ~KIND
         number, unit, name = kind == NUMBER, (kind == UNIT) & (before == NUMBER), (kind == TITLE) & (before != MARK)
-        out = raw.copy()
+        out, slots = raw.copy(), np.zeros(len(raw), np.uint8)
         for at, kind_of in ((number, NUMBER), (unit, UNIT), (name, TITLE)):
-            out[at] = PLACEHOLDERS[kind_of]
-        return out[word], raw[word], (number | unit | name)[word]
+            out[at], slots[at] = PLACEHOLDERS[kind_of], kind_of
+        return Words(out[word], raw[word], slots[word])
 
 
 def window_hashes(canonical: np.ndarray, window: int) -> np.ndarray:
@@ -87,69 +98,198 @@ def window_hashes(canonical: np.ndarray, window: int) -> np.ndarray:
     return h
 
 
-def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0), kind))
+def _windows_sum(flags: np.ndarray, window: int) -> np.ndarray:
+    total = np.append(0, np.cumsum(flags))
+    return total[window:] - total[: len(total) - window] if len(flags) >= window else np.zeros(0, np.int64)
+
 
+class Table:
+    """Sorted hashes with the item and the place that each comes from."""
 
-def windows(rows: DataFrame, window: int) -> DataFrame:
-    """``rows`` (``id``, ``text``) as ``id``, ``words`` (their number), ``hashes`` of all windows, ``raw`` hashes of the words, ``slots``."""
+    def __init__(self, rows: list[tuple[np.ndarray, int, np.ndarray]]):
+        hashes = np.concatenate([h for h, _, _ in rows])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.item = np.concatenate([np.full(len(h), i) for h, i, _ in rows])[order]
+        self.place = np.concatenate([p for _, _, p in rows])[order]
+        self.mask = np.uint64((1 << max(16, 4 + len(hashes).bit_length())) - 1)
+        self.sieve = np.zeros(int(self.mask) + 1, bool)
+        self.sieve[self.hashes & self.mask] = True
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place in the item, place among ``hashes``) of every equal hash."""
+        at = np.flatnonzero(self.sieve[hashes & self.mask])
+        low, high = (np.searchsorted(self.hashes, hashes[at], side) for side in ("left", "right"))
+        n = high - low
+        which = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        return self.item[which], self.place[which], np.repeat(at, n)
+
+
+class Items:
+    """The words of a block of benchmark items, and their usable windows."""
+
+    def __init__(self, rows: list[tuple[int, str]], window: int, literals: int):
         canonical = Canonical()
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                found = [canonical(t) for t in batch.column("text").to_pylist()]
-                cells = [
-                    batch.column("id"),
-                    pa.array([len(c) for c, _, _ in found], pa.int32()),
-                    _lists([window_hashes(c, window).view(np.int64) for c, _, _ in found], pa.int64()),
-                    _lists([r.view(np.int64) for _, r, _ in found], pa.int64()),
-                    _lists([s for _, _, s in found], pa.bool_()),
-                ]
-                yield pa.RecordBatch.from_arrays(cells, ["id", "words", "hashes", "raw", "slots"])
-
-    return rows.mapInArrow(run, "id struct<doc_id:long,key:long>, words int, hashes array<long>, raw array<long>, slots array<boolean>")
-
-
-def benchmark_windows(benchmark: DataFrame, window: int, literals: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each usable window of each item; ``total`` is their number in the item."""
-    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null and text is not null").distinct()
-    rows = windows(items.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("id"), "text"), window)
-    each = rows.select("id", "words", "raw", "slots", F.posexplode("hashes").alias("place", "hash"))
-    own = F.slice("slots", F.col("place") + 1, window)
-    each = each.where(F.size(F.filter(own, lambda s: ~s)) >= literals)
-    total = each.groupBy("id").agg(F.count(F.lit(1)).alias("total"))
-    return each.join(total, "id").select("hash", F.col("id.doc_id").alias("item_id"), F.col("id.key").alias("item_key"), "place", F.col("words").alias("item_words"), "total", own.alias("slots"), F.slice("raw", F.col("place") + 1, window).alias("item_raw"))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 5, coverage: float = 0.6, literals: int = 3, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_windows: int = 100_000) -> DataFrame:
+        self.window, self.items, seeds = window, [], []
+        for item_id, text in rows:
+            words = canonical(text)
+            usable = np.flatnonzero(_windows_sum(words.kinds == PLAIN, window) >= literals)
+            if len(usable):
+                seeds.append((window_hashes(words.canonical, window)[usable], len(self.items), usable))
+                self.items.append((item_id, words))
+        self.seeds = Table(seeds) if seeds else None
+
+    def found(self, doc: Words, coverage: float) -> Iterator[tuple]:
+        """(item id, coverage, first word, last word, slots, reparameterised) of the items that the document holds."""
+        if self.seeds is None:
+            return
+        item, place, at = self.seeds.hits(window_hashes(doc.canonical, self.window))
+        for i in np.unique(item).tolist():
+            item_id, words = self.items[i]
+            own = item == i
+            best = None
+            for chain in chains(place[own], at[own], self.window, len(words.raw)):
+                judged = judge(words, doc, aligned(words, doc, chain))
+                if judged and judged[0] >= coverage and (best is None or (judged[0], -judged[1]) > (best[0], -best[1])):
+                    best = judged
+            if best:
+                yield item_id, *best
+
+
+def chains(place: np.ndarray, at: np.ndarray, window: int, n_words: int) -> Iterator[list[tuple[int, int, int]]]:
+    """The hits of an item in a document as chains, most words first: runs (first place, place after the last, shift) that
+    rise in the item and in the document.  A place of either is in one run of a chain at most, a run in one chain at most."""
+    shift = at - place
+    order = np.lexsort((place, shift))
+    place, shift = place[order], shift[order]
+    new = np.append(True, (shift[1:] != shift[:-1]) | (place[1:] > place[:-1] + window))
+    first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(place)) - 1
+    runs = sorted(zip(place[first].tolist(), (place[last] + window).tolist(), shift[first].tolist()), key=lambda r: (r[0] + r[2], r[0]))
+    score, before, oldest = [], [], 0
+    for k, (begin, end, d) in enumerate(runs):
+        best, of = float(end - begin), -1
+        while runs[oldest][0] + runs[oldest][2] < begin + d - 2 * n_words:
+            oldest += 1
+        for r in range(oldest, k):
+            r_begin, r_end, r_d = runs[r]
+            if r_begin < begin and abs(d - r_d) <= n_words:
+                more = end - max(begin, r_end, r_end + r_d - d)
+                if more > 0 and score[r] + more - abs(d - r_d) / (2 * n_words) > best:
+                    best, of = score[r] + more - abs(d - r_d) / (2 * n_words), r
+        score.append(best)
+        before.append(of)
+    used = [False] * len(runs)
+    for k in sorted(range(len(runs)), key=lambda k: -score[k]):
+        chain = []
+        while k >= 0 and not used[k]:
+            used[k] = True
+            chain.append(runs[k])
+            k = before[k]
+        if chain:
+            yield chain[::-1]
+
+
+def _alike(item: Words, doc: Words, places: np.ndarray, shift: int) -> np.ndarray:
+    """Whether the words at ``places`` of the item and ``shift`` further in the document are equal or slots of one kind."""
+    at = places + shift
+    return (item.raw[places] == doc.raw[at]) | ((item.kinds[places] != PLAIN) & (item.kinds[places] == doc.kinds[at]))
+
+
+def _reach(alike: np.ndarray) -> int:
+    """How far a run goes on over ``alike`` words: to where most more are alike than not."""
+    total = np.cumsum(np.where(alike, 1, -1))
+    best = len(total) - 1 - int(np.argmax(total[::-1])) if len(total) else -1
+    return best + 1 if best >= 0 and total[best] >= 0 else 0
+
+
+def aligned(item: Words, doc: Words, chain: list[tuple[int, int, int]]) -> np.ndarray:
+    """For each place of the item the place in the document that the chain gives it, or -1; runs are carried on to both sides."""
+    out = np.full(len(item.raw), -1)
+    done, d = 0, None  # the item's places before ``done`` are settled
+    for begin, end, shift in chain:
+        if d is None:
+            lead = np.arange(begin - 1, max(0, -shift) - 1, -1)
+            begin -= _reach(_alike(item, doc, lead, shift))
+        elif shift == d:
+            begin = done
+        else:
+            begin = max(begin, done, done + d - shift)
+            gap = np.arange(done, min(begin, begin + shift - d))
+            n = int(np.argmin(np.append(_alike(item, doc, gap, d), False)))
+            out[done : done + n] = gap[:n] + d
+            done += n
+            gap = np.arange(begin - 1, max(done, done + d - shift) - 1, -1)
+            begin -= int(np.argmin(np.append(_alike(item, doc, gap, shift), False)))
+        out[begin:end] = np.arange(begin, end) + shift
+        done, d = end, shift
+    rest = np.arange(done, max(done, min(len(out), len(doc.raw) - d)))
+    n = _reach(_alike(item, doc, rest, d))
+    out[done : done + n] = rest[:n] + d
+    return out
+
+
+def judge(item: Words, doc: Words, at: np.ndarray) -> tuple[float, int, int, int, bool] | None:
+    """(coverage, first word, last word, slots, reparameterised), or None if a name stands for several others.
+
+    Numbers and units are judged place by place.  A name of the item has one name in the document; where it stays itself
+    elsewhere, the other is a changed word, which is not covered."""
+    places = np.flatnonzero(at >= 0)
+    raw, own, kinds = item.raw[places], doc.raw[at[places]], item.kinds[places]
+    same = raw == own
+    slot = (kinds != PLAIN) & (kinds == doc.kinds[at[places]])
+    covered = same | slot
+    for name in np.unique(raw[(kinds == TITLE) & slot & ~same]):
+        here = (raw == name) & (kinds == TITLE) & slot
+        values = np.unique(own[here])
+        if len(values[values != name]) > 1:
+            return None
+        if name in values:
+            covered &= ~here | same
+    found = places[covered]
+    if not len(found):
+        return None
+    changed = covered & ~same
+    return len(found) / len(at), int(at[found[0]]), int(at[found[-1]]), len(np.unique(raw[covered & slot])), bool(changed.any())
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int = 5, coverage: float = 0.6, literals: int = 3, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_windows: int = 100_000) -> DataFrame:
+    """``id`` (``doc_id``, ``key``: hash of the text) and what :meth:`Items.found` gives, for each row of ``docs``."""
+    items = benchmark.select(F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
+    items = cut_lineage(items, "benchmark")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // (4 * block_windows)))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
+    rows = texts.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("id"), "text")
+
+    def judged(block: int) -> DataFrame:
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        shared = docs.sparkSession.sparkContext.broadcast(Items([(r.item_id, r.text) for r in own], window, literals))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            canonical, held = Canonical(), shared.value
+            for whole in batches:
+                for start in range(0, whole.num_rows, 256):
+                    batch = whole.slice(start, 256)
+                    found = [(k, *f) for k, t in enumerate(batch.column("text").to_pylist()) for f in held.found(canonical(t), coverage)]
+                    if found:
+                        at, *cells = zip(*found)
+                        yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(cells, KINDS))], NAMES)
+
+        return rows.mapInArrow(run, "id struct<doc_id:long,key:long>, item_id long, coverage double, first_word int, last_word int, n_slots int, reparameterised boolean")
+
+    return reduce(DataFrame.unionAll, [judged(b) for b in range(blocks)])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``doc_id``, ``item_id``, ``coverage``, ``first_word``, ``last_word`` (places of the passage in the document, from 0),
     ``n_slots`` (distinct slot values), ``reparameterised``: one row for each document and item where at least ``coverage``
-    of the item's usable windows stand near one diagonal with consistent slots.  For an item the best place is reported.
+    of the item's words stand in one chain with consistent slots.  For an item the best place is reported.
 
     NULL ids of documents are kept, NULL texts and items shorter than a window match nothing; an item id with several texts
-    is matched by each, the best is reported; repeated rows count once; empty tables give an empty result."""
-    items = cut_lineage(benchmark_windows(benchmark, window, literals, item_id_col, item_text_col), "benchmark-windows")
-    blocks = max(1, -(-items.count() // block_windows))
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
-    rows = windows(texts.select(F.struct("doc_id", F.xxhash64("text").alias("key")).alias("id"), "text"), window)
-    each = rows.select("id", "raw", F.posexplode("hashes").alias("at", "hash"))
-    parts = [each.join(F.broadcast(items.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b)), "hash") for b in range(blocks)]
-    hits = reduce(DataFrame.unionAll, parts)
-    pairs = F.transform(F.filter(F.arrays_zip("slots", "item_raw", F.slice("raw", F.col("at") + 1, window).alias("doc_raw")), lambda p: p["slots"]), lambda p: F.struct(p["item_raw"], p["doc_raw"]))
-    # two staggered sets of bands, each an item wide: any passage lies whole in one of them
-    wide = F.greatest(F.col("item_words"), F.lit(8))
-    shift = F.col("at") - F.col("place")
-    bands = F.array(F.struct(F.lit(0).alias("set"), F.floor(shift / wide).alias("band")), F.struct(F.lit(1).alias("set"), F.floor(shift / wide + 0.5).alias("band")))
-    placed = hits.select("id", "item_id", "item_key", "total", "place", "at", pairs.alias("pairs"), F.explode(bands).alias("where"))
-    found = placed.groupBy("id", "item_id", "item_key", "total", "where").agg(F.count_distinct("place").alias("n"), F.min("at").alias("first_word"), (F.max("at") + window - 1).alias("last_word"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    n_pairs, n_item, n_doc = F.size("pairs"), F.size(F.array_distinct("pairs.item_raw")), F.size(F.array_distinct("pairs.doc_raw"))
-    judged = found.select(F.col("id.doc_id").alias("doc_id"), "item_id", (F.col("n") / F.col("total")).alias("coverage"), "first_word", "last_word", n_item.alias("n_slots"), F.exists("pairs", lambda p: p["item_raw"] != p["doc_raw"]).alias("reparameterised"), ((n_pairs == n_item) & (n_pairs == n_doc)).alias("consistent"))
-    kept = judged.where((F.col("coverage") >= coverage) & F.col("consistent"))
+    is matched by each, the best is reported; repeated rows count once; empty tables give an empty result.  ``options``:
+    ``window``, ``coverage``, ``literals``, ``block_windows`` and the columns' names, see :func:`_judged`."""
     best = F.struct("coverage", (-F.col("first_word")).alias("place"), (-F.col("last_word")).alias("end"), "n_slots", "reparameterised")
-    out = kept.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
+    out = _judged(docs, benchmark, **options).groupBy("id.doc_id", "item_id").agg(F.max(best).alias("b"))
     return out.select("doc_id", "item_id", "b.coverage", (-F.col("b.place")).alias("first_word"), (-F.col("b.end")).alias("last_word"), "b.n_slots", "b.reparameterised")
 
 

@@ -56,3 +56,23 @@ def test_query_finds_planted_items(spark):
     planted = {(d.doc_id, b.item_id) for d in rows for b in bench if b.text in d.text}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op9_decontamination"](spark, sf).collect()}
     assert planted <= got and len(got - planted) <= 1
+
+
+def flagged(spark, items, rows):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontam.contaminated(documents(spark, rows), bench).collect()}
+
+
+def test_repeated_windows_and_equal_values(spark):
+    twice = "Tom has 3 red apples in a bag and then walks over to the old market where he meets a friend, so later Tom has 5 red apples in a bag again."
+    pens = "The teacher ordered 12 pens and 12 books for the children who came to the library after school on that rainy afternoon."
+    apart = "The baker sold 14 loaves before noon and 25 loaves after lunch while the rain kept falling on the empty street."
+    rows = [(1, "Before it. " + twice), (2, twice.replace("3 red", "8 red").replace("5 red", "9 red")), (3, pens.replace("12 pens", "30 pens").replace("12 books", "45 books")), (4, apart.replace("14", "7").replace("25", "7"))]
+    out = flagged(spark, [(1, twice), (2, pens), (3, apart)], rows)
+    assert set(out) == {(1, 1), (2, 1), (3, 2), (4, 3)} and all(r.coverage == 1.0 for r in out.values())
+    assert [out[k].reparameterised for k in sorted(out)] == [False, True, True, True]
+
+
+def test_a_copy_beside_another_with_mixed_names(spark):
+    out = flagged(spark, ITEMS, [(1, MIXED + " " + COPY), (2, ITEMS[0][1].replace("baskets", "big baskets")), (3, MIXED + " " + MIXED)])
+    assert set(out) == {(1, 1), (2, 1)} and out[(1, 1)].coverage == 1.0 and out[(2, 1)].coverage == 1.0
