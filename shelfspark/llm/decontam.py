@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of canonical words: a number (digits or a number word) is ``<num>``, a unit after a number is
-``<unit>``, a capitalised word inside a sentence is ``<name>``, any other word is itself in lower case.  Windows of
+``<unit>``, a capitalised word is ``<name>`` (a common word only inside a sentence), any other word is itself in lower case.  Windows of
 ``window`` canonical words are hashed; those of the benchmark are hash-joined with those of all documents, so an item is
 found again after its numbers, names and units have been replaced.
 
@@ -9,7 +9,9 @@ The hits of a document and an item are then judged together, in the task that ha
 rise in both (one document place for each item place, shifts near each other), and each chain is carried on word by word
 through what an edit has destroyed.  *Coverage* is the share of the item's words that a chain aligns with an equal word or a
 slot of the same kind.  Numbers and units are free at each place; a name of the item must stand for one name.  Windows with
-fewer than ``literals`` words of their own say too little and are not used to find hits.
+fewer than ``literals`` words of their own say too little and are not used to find hits.  One changed word can leave no window
+of an item with fewer than two windows' words; those of more than a window are also looked for by windows of half their words
+(three at least), and then may miss one word.
 
 Only the benchmark is broadcast, in blocks of about ``block_windows`` windows; a larger benchmark takes several passes over the
 documents.  Document windows meet it in a hash lookup without a shuffle."""
@@ -32,8 +34,13 @@ from shelfspark.session import cut_lineage
 TOKEN = re.compile(r"[.!?\n]|\d+(?:[.,]\d+)*|[^\W\d_]+")
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split())
 UNIT_WORDS = frozenset("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams pound pounds lb oz ton tons ml l liter liters litre litres second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars euro euros cent cents degree degrees kb mb gb tb hz khz mhz ghz w kw v".split())
-#: The low three bits of a token's hash say what it is.
-PLAIN, TITLE, NUMBER, UNIT, MARK = range(5)
+#: Words that begin sentences without being names, in the languages that the corpus has.
+COMMON_WORDS = frozenset("a about after all also although an and another any are as at because before both but by can could did do does during each every explain find first for from give given had has have he her here his how however i if in is it its last let list many more most my name next no not now of on one only or other our over read see she should since so some such suppose than that the their then there these they this those through to under until use was we were what when where whether which while who whose why will with would write you your"
+    " al algunos antes así aunque como con cuando cuál cuáles cuánto cuántos cada de del desde después donde dónde durante el ella ellos en entre es esta este esto estos hay la las lo los más mi muy ni no nos nuestro o otra otro para pero por porque pues que quién qué se según si sin sobre su sus también todo todos tras un una unos y ya"
+    " alors après au aussi aux avant avec ce ces cette chaque combien comme comment dans des donc du elle elles est et il ils je le les leur leurs mais ne nous on ou où par pendant plus pour pourquoi puis quand que quel quelle quels qui quoi sa sans ses si son sont sur tous tout un une vous"
+    " aber alle als am an auch auf aus bei bis das dass dem den denn der des die dies diese dieser ein eine einem einen einer er es für hat hier ich ihr im in ist jede jeder man mit nach nicht noch nun nur ob oder ohne seit sie sind so über um und unter vom von vor wann war warum was welche welcher wenn wer werden wie wieviele wir wird wo zu zum zur zwischen".split())
+#: The low three bits of a token's hash say what it is; a ``START`` is a capitalised common word, a name only inside a sentence.
+PLAIN, TITLE, NUMBER, UNIT, MARK, START = range(6)
 KIND = np.uint64(7)
 PLACEHOLDERS = {kind: np.uint64(xxhash.xxh64_intdigest(name) & ~7) for kind, name in ((NUMBER, "<num>"), (UNIT, "<unit>"), (TITLE, "<name>"))}
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -50,16 +57,18 @@ def _token(token: str) -> int:
     elif low in UNIT_WORDS:
         kind = UNIT
     else:
-        kind = TITLE if len(token) > 1 and token[0].isupper() and token[1:].islower() else PLAIN
+        kind = PLAIN if len(token) == 1 or not token[0].isupper() or not token[1:].islower() else START if low in COMMON_WORDS else TITLE
     return xxhash.xxh64_intdigest(low) & ~7 | kind
 
 
 class Words(NamedTuple):
-    """Of each word of a text: the hash of its canonical word, of the word as it stands, and what slot it is (or ``PLAIN``)."""
+    """Of each word of a text: the hash of its canonical word, of the word as it stands, what slot it is (or ``PLAIN``), and
+    whether it begins a sentence."""
 
     canonical: np.ndarray
     raw: np.ndarray
     kinds: np.ndarray
+    opens: np.ndarray
 
 
 class Canonical:
@@ -80,11 +89,11 @@ class Canonical:
         kind = codes & KIND
         before = np.concatenate([[np.uint64(MARK)], kind[:-1]]) if len(kind) else kind
         word, raw = kind != MARK, codes & ~KIND
-        number, unit, name = kind == NUMBER, (kind == UNIT) & (before == NUMBER), (kind == TITLE) & (before != MARK)
+        number, unit, name = kind == NUMBER, (kind == UNIT) & (before == NUMBER), (kind == TITLE) | ((kind == START) & (before != MARK))
         out, slots = raw.copy(), np.zeros(len(raw), np.uint8)
         for at, kind_of in ((number, NUMBER), (unit, UNIT), (name, TITLE)):
             out[at], slots[at] = PLACEHOLDERS[kind_of], kind_of
-        return Words(out[word], raw[word], slots[word])
+        return Words(out[word], raw[word], slots[word], (before == MARK)[word])
 
 
 def window_hashes(canonical: np.ndarray, window: int) -> np.ndarray:
@@ -130,30 +139,34 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], window: int, literals: int):
         canonical = Canonical()
-        self.window, self.items, seeds = window, [], []
+        self.items, seeds = [], {}
         for item_id, text in rows:
-            words = canonical(text)
-            usable = np.flatnonzero(_windows_sum(words.kinds == PLAIN, window) >= literals)
-            if len(usable):
-                seeds.append((window_hashes(words.canonical, window)[usable], len(self.items), usable))
+            words, found = canonical(text), False
+            n = len(words.raw)
+            for width in {window, max(3, n // 2)} if window < n < 2 * window else {window}:
+                usable = np.flatnonzero(_windows_sum(words.kinds == PLAIN, width) >= literals)
+                if len(usable):
+                    seeds.setdefault(width, []).append((window_hashes(words.canonical, width)[usable], len(self.items), usable))
+                    found = True
+            if found:
                 self.items.append((item_id, words))
-        self.seeds = Table(seeds) if seeds else None
+        self.window, self.seeds = window, {width: Table(own) for width, own in seeds.items()}
 
     def found(self, doc: Words, coverage: float) -> Iterator[tuple]:
         """(item id, coverage, first word, last word, slots, reparameterised) of the items that the document holds."""
-        if self.seeds is None:
-            return
-        item, place, at = self.seeds.hits(window_hashes(doc.canonical, self.window))
-        for i in np.unique(item).tolist():
-            item_id, words = self.items[i]
-            own = item == i
-            best = None
-            for chain in chains(place[own], at[own], self.window, len(words.raw)):
-                judged = judge(words, doc, aligned(words, doc, chain))
-                if judged and judged[0] >= coverage and (best is None or (judged[0], -judged[1]) > (best[0], -best[1])):
-                    best = judged
-            if best:
-                yield item_id, *best
+        best = {}
+        for width, table in self.seeds.items():
+            item, place, at = table.hits(window_hashes(doc.canonical, width))
+            for i in np.unique(item).tolist():
+                words, own = self.items[i][1], item == i
+                n = len(words.raw)
+                least = coverage if width == self.window else max(coverage, (n - 1) / n)
+                for chain in chains(place[own], at[own], width, n):
+                    judged = judge(words, doc, aligned(words, doc, chain))
+                    if judged and judged[0] >= least and (i not in best or (judged[0], -judged[1]) > (best[i][0], -best[i][1])):
+                        best[i] = judged
+        for i, judged in best.items():
+            yield self.items[i][0], *judged
 
 
 def chains(place: np.ndarray, at: np.ndarray, window: int, n_words: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -232,7 +245,7 @@ def judge(item: Words, doc: Words, at: np.ndarray) -> tuple[float, int, int, int
     """(coverage, first word, last word, slots, reparameterised), or None if a name stands for several others.
 
     Numbers and units are judged place by place.  A name of the item has one name in the document; where it stays itself
-    elsewhere, the other is a changed word, which is not covered."""
+    elsewhere, or only begins sentences and so may be no name, the others are changed words, which are not covered."""
     places = np.flatnonzero(at >= 0)
     raw, own, kinds = item.raw[places], doc.raw[at[places]], item.kinds[places]
     same = raw == own
@@ -240,11 +253,10 @@ def judge(item: Words, doc: Words, at: np.ndarray) -> tuple[float, int, int, int
     covered = same | slot
     for name in np.unique(raw[(kinds == TITLE) & slot & ~same]):
         here = (raw == name) & (kinds == TITLE) & slot
-        values = np.unique(own[here])
-        if len(values[values != name]) > 1:
+        values, n = np.unique(own[here], return_counts=True)
+        if len(values[values != name]) > 1 and not item.opens[(item.raw == name) & (item.kinds == TITLE)].all():
             return None
-        if name in values:
-            covered &= ~here | same
+        covered &= ~here | (own == (name if name in values else values[np.argmax(n)]))
     found = places[covered]
     if not len(found):
         return None

@@ -76,3 +76,13 @@ def test_repeated_windows_and_equal_values(spark):
 def test_a_copy_beside_another_with_mixed_names(spark):
     out = flagged(spark, ITEMS, [(1, MIXED + " " + COPY), (2, ITEMS[0][1].replace("baskets", "big baskets")), (3, MIXED + " " + MIXED)])
     assert set(out) == {(1, 1), (2, 1)} and out[(1, 1)].coverage == 1.0 and out[(2, 1)].coverage == 1.0
+
+
+def test_renamed_sentence_starts_and_changed_words(spark):
+    sold = "Natalia sold some clips to a friend in the spring. Natalia then bought fresh paint for the old fence. Natalia kept the rest."
+    marbles = "Ben has 14 marbles. Ben gives 5 to a friend. Ben finds 3 more under the bed."
+    short = "Water boils sooner on high mountains than beside the sea because air is thin."
+    shorter = "The tallest tower stands near a frozen lake."
+    rows = [(1, sold.replace("Natalia", "Ingrid")), (2, marbles.replace("Ben", "Olga").replace("14", "20").replace("5", "6").replace("3", "9")), (3, "Some words. " + short.replace("than", "or")), (4, shorter.replace("stands", "rises"))]
+    rows += [(5, "Olga has 14 cats. Ben hates a friend. Max finds many toys under a tree."), (6, "The tallest tower was torn down."), (7, "Nobody stands near a frozen river.")]
+    assert set(flagged(spark, [(1, sold), (2, marbles), (3, short), (4, shorter)], rows)) == {(1, 1), (2, 2), (3, 3), (4, 4)}
