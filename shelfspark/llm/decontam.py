@@ -13,6 +13,10 @@ fewer than ``literals`` words of their own say too little and are not used to fi
 of an item with fewer than two windows' words; those of more than a window are also looked for by windows of half their words
 (three at least), and then may miss one word.
 
+An item that no such window is usable of (a few words, or dense in numbers and names) is looked up by the hash of its whole
+sequence: of its words as they stand, and of its canonical words if ``literals`` of them are its own.  Characters of scripts
+without spaces are words.
+
 Only the benchmark is broadcast, in blocks of about ``block_windows`` windows; a larger benchmark takes several passes over the
 documents.  Document windows meet it in a hash lookup without a shuffle."""
 
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 
 from shelfspark.session import cut_lineage
 
-TOKEN = re.compile(r"[.!?\n]|\d+(?:[.,]\d+)*|[^\W\d_]+")
+#: Letters of scripts that write no spaces (Thai to Burmese, Khmer, Japanese kana, Han) are words of their own.
+SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN = re.compile(rf"[.!?\n。！？]|\d+(?:[.,]\d+)*|[{SPACELESS}]|[^\W\d_{SPACELESS}]+")
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split())
 UNIT_WORDS = frozenset("mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams pound pounds lb oz ton tons ml l liter liters litre litres second seconds minute minutes hour hours day days week weeks month months year years percent dollar dollars euro euros cent cents degree degrees kb mb gb tb hz khz mhz ghz w kw v".split())
 #: Words that begin sentences without being names, in the languages that the corpus has.
@@ -50,7 +56,7 @@ KINDS = [pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(
 
 def _token(token: str) -> int:
     low = token.lower()
-    if token in ".!?\n":
+    if token in ".!?\n。！？":
         kind = MARK
     elif token[0].isdigit() or low in NUMBER_WORDS:
         kind = NUMBER
@@ -134,12 +140,30 @@ class Table:
         return self.item[which], self.place[which], np.repeat(at, n)
 
 
+class Sums:
+    """Hashes of all runs of any length in a sequence of words, from its running sums."""
+
+    FACTOR = 0x9E3779B97F4A7C15
+    powers = np.ones((2, 1), np.uint64)
+
+    def __init__(self, hashes: np.ndarray):
+        if Sums.powers.shape[1] < len(hashes):
+            factors = (self.FACTOR, pow(self.FACTOR, -1, 1 << 64))
+            Sums.powers = np.array([np.cumprod(np.append(np.uint64(1), np.full(2 * len(hashes), f, np.uint64))) for f in factors])
+        self.sums = np.append(np.uint64(0), np.cumsum((hashes ^ hashes >> np.uint64(29)) * Sums.powers[0, : len(hashes)]))
+
+    def runs(self, length: int) -> np.ndarray:
+        n = max(0, len(self.sums) - length)
+        h = (self.sums[length:] - self.sums[:n]) * Sums.powers[1, :n] if n else np.zeros(0, np.uint64)
+        return h ^ h >> np.uint64(29)
+
+
 class Items:
-    """The words of a block of benchmark items, and their usable windows."""
+    """The words of a block of benchmark items with their usable windows; items without one as whole sequences, by length."""
 
     def __init__(self, rows: list[tuple[int, str]], window: int, literals: int):
         canonical = Canonical()
-        self.items, seeds = [], {}
+        self.items, seeds, whole = [], {}, {}
         for item_id, text in rows:
             words, found = canonical(text), False
             n = len(words.raw)
@@ -148,8 +172,12 @@ class Items:
                 if len(usable):
                     seeds.setdefault(width, []).append((window_hashes(words.canonical, width)[usable], len(self.items), usable))
                     found = True
-            if found:
-                self.items.append((item_id, words))
+            if not found and n:
+                plain = int((words.kinds == PLAIN).sum())
+                for hashes, is_raw in ((words.raw, True), (words.canonical, False)) if plain >= literals else ((words.raw, True),):
+                    whole.setdefault((n, is_raw), []).append((Sums(hashes).runs(n), len(self.items), np.zeros(1, np.int64)))
+            self.items.append((item_id, words))
+        self.whole = {of: Table(own) for of, own in whole.items()}
         self.window, self.seeds = window, {width: Table(own) for width, own in seeds.items()}
 
     def found(self, doc: Words, coverage: float) -> Iterator[tuple]:
@@ -165,6 +193,12 @@ class Items:
                     judged = judge(words, doc, aligned(words, doc, chain))
                     if judged and judged[0] >= least and (i not in best or (judged[0], -judged[1]) > (best[i][0], -best[i][1])):
                         best[i] = judged
+        sums = {is_raw: Sums(doc.raw if is_raw else doc.canonical) for is_raw in {is_raw for _, is_raw in self.whole}}
+        for (n, is_raw), table in self.whole.items():
+            for i, _, at in zip(*(a.tolist() for a in table.hits(sums[is_raw].runs(n)))):
+                judged = judge(self.items[i][1], doc, np.arange(at, at + n))
+                if judged and judged[0] == 1 and (i not in best or (1, -judged[1]) > (best[i][0], -best[i][1])):
+                    best[i] = judged
         for i, judged in best.items():
             yield self.items[i][0], *judged
 
@@ -297,7 +331,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     ``n_slots`` (distinct slot values), ``reparameterised``: one row for each document and item where at least ``coverage``
     of the item's words stand in one chain with consistent slots.  For an item the best place is reported.
 
-    NULL ids of documents are kept, NULL texts and items shorter than a window match nothing; an item id with several texts
+    NULL ids of documents are kept, NULL texts and items without a word match nothing, an item without a usable window only
+    whole (one of a single word is found wherever the word is); an item id with several texts
     is matched by each, the best is reported; repeated rows count once; empty tables give an empty result.  ``options``:
     ``window``, ``coverage``, ``literals``, ``block_windows`` and the columns' names, see :func:`_judged`."""
     best = F.struct("coverage", (-F.col("first_word")).alias("place"), (-F.col("last_word")).alias("end"), "n_slots", "reparameterised")

@@ -86,3 +86,12 @@ def test_renamed_sentence_starts_and_changed_words(spark):
     rows = [(1, sold.replace("Natalia", "Ingrid")), (2, marbles.replace("Ben", "Olga").replace("14", "20").replace("5", "6").replace("3", "9")), (3, "Some words. " + short.replace("than", "or")), (4, shorter.replace("stands", "rises"))]
     rows += [(5, "Olga has 14 cats. Ben hates a friend. Max finds many toys under a tree."), (6, "The tallest tower was torn down."), (7, "Nobody stands near a frozen river.")]
     assert set(flagged(spark, [(1, sold), (2, marbles), (3, short), (4, shorter)], rows)) == {(1, 1), (2, 2), (3, 3), (4, 4)}
+
+
+def test_items_without_a_usable_window(spark):
+    items = [(1, "What is 345 * 12?"), (2, "Pride and Prejudice"), (3, "12 18 24 30 36 42, and 48"), (4, "水在高山上比在海边更快沸腾，因为空气稀薄。"), (5, "首都"), (6, "Add 12 kg flour, 3 l milk, then 5 eggs"), (7, "!!!"), (8, "")]
+    rows = [(1, "Here: what is 345 * 12? Nobody knows."), (2, "She read Pride and Prejudice twice."), (3, "Go on with 12 18 24 30 36 42, and 48 then"), (4, "他说水在高山上比在海边更快沸腾，因为空气稀薄。是的"), (5, "北京是首都"), (6, "Now add 20 kg flour, 7 l milk, then 9 eggs at once")]
+    rows += [(11, "What is 346 * 12?"), (12, "Pride or Prejudice"), (13, "12 18 24 30 36 42, and 49"), (14, "水在"), (15, "首 x 都"), *EDGES]
+    out = flagged(spark, items, [(d if d is None or d < 10 and (d, t) not in EDGES else d + 100, t) for d, t in rows])
+    assert set(out) == {(d, d) for d in range(1, 7)}
+    assert out[(6, 6)].reparameterised and not out[(1, 1)].reparameterised and out[(2, 2)].first_word == 2
