@@ -341,9 +341,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark passage (a NULL id can't be told from another and stays)."""
-    bad = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("contaminated_id")).distinct()
+    """The rows of ``docs`` that hold no benchmark passage, told by id (NULL too) and text."""
+    bad = _judged(docs, benchmark, **options).select(F.col("id.doc_id").alias("bad_id"), F.col("id.key").alias("bad_key")).distinct()
     names = [f"c{k}" for k in range(len(docs.columns))]  # columns of docs may have any names
     own = docs.toDF(*names)
-    doc_id = own[names[docs.columns.index(options.get("id_col", "doc_id"))]].cast("long")
-    return own.join(bad, doc_id == bad["contaminated_id"], "left_anti").toDF(*docs.columns)
+    doc_id, text = (own[names[docs.columns.index(options.get(*c))]] for c in (("id_col", "doc_id"), ("text_col", "text")))
+    same = doc_id.cast("long").eqNullSafe(bad["bad_id"]) & (F.xxhash64(text.cast("string")) == bad["bad_key"])
+    return own.join(bad, same, "left_anti").toDF(*docs.columns)

@@ -95,3 +95,9 @@ def test_items_without_a_usable_window(spark):
     out = flagged(spark, items, [(d if d is None or d < 10 and (d, t) not in EDGES else d + 100, t) for d, t in rows])
     assert set(out) == {(d, d) for d in range(1, 7)}
     assert out[(6, 6)].reparameterised and not out[(1, 1)].reparameterised and out[(2, 2)].first_word == 2
+
+
+def test_filter_tells_rows_by_id_and_text(spark):
+    rows = [(None, COPY), (None, "a clean text without an id"), (60, COPY), (60, "a clean text of the same id")]
+    kept = decontam.without_contaminated(documents(spark, rows), items(spark)).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {rows[1], rows[3]}
