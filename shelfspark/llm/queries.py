@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokenfile, topk, toxicity
+from shelfspark.llm import decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokencount, tokenfile, topk, toxicity
 from shelfspark.llm.common import crc_fold, read_table
 from shelfspark.session import ensure_checkpoint_dir
 
@@ -86,6 +86,12 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(files, folder)
 
 
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents under the byte-level vocabulary; over the limit are those of more than 1,024 tokens."""
+    return tokencount.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 #: Query documents: ids divisible by this; their rarest words; results for each.
 QUERY_EVERY, QUERY_TERMS, TOP = 20, 16, 10
 
