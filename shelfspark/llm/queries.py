@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokencount, tokenfile, topk, toxicity
+from shelfspark.llm import clustering, decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokencount, tokenfile, topk, toxicity
 from shelfspark.llm.common import crc_fold, read_table
 from shelfspark.session import ensure_checkpoint_dir
 
@@ -86,6 +86,38 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(files, folder)
 
 
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector of 64 components after 5 rounds with 40 centroids, in integers."""
+    return clustering.with_inertia(clustering.cluster_vectors(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt="2:"))
+
+
+def clustering_sql(k: int, rounds: int, dims: int, scale: int, salt: str) -> str:
+    """The same rounds in SQL, each vector compared with each centroid."""
+    steps = [
+        f"""kept AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"part AS (SELECT r, i, CAST(floor({scale} * x) AS BIGINT) AS x FROM (SELECT r, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM kept))",
+        f"first AS (SELECT r, row_number() OVER (ORDER BY sha256('{salt}' || CAST(vec_id AS VARCHAR)) NULLS LAST, vec) - 1 AS c FROM kept QUALIFY c < {k})",
+        "c0 AS (SELECT c, i, x AS m FROM first JOIN part USING (r))",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"d{n} AS (SELECT r, c, sum((x - m) * (x - m)) AS d FROM part JOIN c{n} USING (i) GROUP BY r, c)")
+        steps.append(f"a{n} AS (SELECT r, c, d FROM d{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)")
+        if n < rounds:
+            steps.append(f"s{n} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{n} JOIN part USING (r) GROUP BY c, i)")
+            steps.append(f"c{n + 1} AS (SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{n} LEFT JOIN s{n} USING (c, i))")
+    shas = f"sha AS (SELECT c, sha256(string_agg(CAST(CAST(m AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)"
+    steps = [s.replace(" AS (", " AS MATERIALIZED (", 1) for s in [*steps, shas]]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN sha USING (c)"""
+
+
+SQL["op11_centroid_clustering"] = clustering_sql(k=40, rounds=5, dims=64, scale=256, salt="2:")
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents under the byte-level vocabulary; over the limit are those of more than 1,024 tokens."""
