@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import clustering, decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokencount, tokenfile, topk, toxicity
+from shelfspark.llm import clustering, conversations, decontam, langid, licenses, packing, secrets, simhash, suffix_dedup, tokencount, tokenfile, topk, toxicity
 from shelfspark.llm.common import crc_fold, read_table
 from shelfspark.session import ensure_checkpoint_dir
 
@@ -118,6 +118,13 @@ FROM a{rounds} JOIN kept USING (r) JOIN sha USING (c)"""
 SQL["op11_centroid_clustering"] = clustering_sql(k=40, rounds=5, dims=64, scale=256, salt="2:")
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation after planted damage."""
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damage(rows))
+
+
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents under the byte-level vocabulary; over the limit are those of more than 1,024 tokens."""
