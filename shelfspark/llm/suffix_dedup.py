@@ -8,11 +8,12 @@ A suffix array of the whole corpus would write each byte's suffix; only suffixes
 2. *Partners.*  Anchors are counted by hash (map-side combined).  A context whose anchor occurs nowhere else has no repeated
    window.  Where all contexts of an anchor are equal, every window is repeated.  The rest goes on.
 3. *Deep-shallow sort.*  The distinct contexts of an anchor meet in one task.  Their windows are sorted as suffixes: multikey
-   quicksort, eight bytes a step, to the shallow depth; suffixes that are still equal are ordered by a blind trie, which
-   compares each with one leaf and branches where they part.  Two suffixes that do not part within ``length`` bytes are a
-   repeat.  A context that occurs twice as a whole is repeated in all its windows.
+   quicksort (three-way partition by eight bytes a step) to the shallow depth; suffixes that are still equal are ordered by a
+   blind trie, which compares each with one leaf and branches where they part, and whose in-order walk gives the ranks.  Two
+   neighbours that do not part within ``length`` bytes are a repeat.  A context that occurs twice as a whole (equal anchor and
+   equal digest of 128 bits) is repeated in all its windows.
 4. An anchor with more than ``anchor_contexts`` distinct contexts (a line that a third of all documents hold, each time in
-   other surroundings) is not sorted in one task: its windows are counted by hash, map-side combined, which has no limit.
+   other surroundings) is not sorted in one task: its windows are counted by two hashes, map-side combined, without limit.
 
 Documents are keyed by their content: copies are worked on once, and their contexts count as often as they occur."""
 
@@ -60,8 +61,8 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts_of(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, context hash, first window and number of windows of each context of a document."""
-    out = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    """Anchor hash, context digest (128 bits), first window and number of windows of each context of a document."""
+    out = [(np.zeros(0, np.uint64), np.zeros(0, object), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     place = np.uint64(BLOCK * 2 - 1)
     for base in range(0, len(data) - length + 1, BLOCK):
         part = data[base : base + BLOCK + length - 1]
@@ -71,13 +72,13 @@ def contexts_of(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.nd
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         count = np.diff(np.append(first, len(at)))
         anchor = at[first]
-        own = (xxhash.xxh64_intdigest(part[s : s + n + length - 1], a - s) for s, n, a in zip(first.tolist(), count.tolist(), anchor.tolist()))
-        out.append((h[anchor], np.fromiter(own, np.uint64, len(first)), first + base, count))
+        own = [xxhash.xxh128_digest(part[s : s + n + length - 1], a - s) for s, n, a in zip(first.tolist(), count.tolist(), anchor.tolist())]
+        out.append((h[anchor], np.array(own, object), first + base, count))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
 class BlindTrie:
-    """Orders strings by their first bytes up to ``depth``; an inner node knows where its strings part, not what they share."""
+    """Orders strings by their first ``depth`` bytes; an inner node knows where its strings part, not what they share."""
 
     def __init__(self, data: bytes, depth: int):
         self.data, self.depth, self.root = data, depth, None
@@ -88,67 +89,103 @@ class BlindTrie:
             return self.depth
         return (8 * self.depth - (int.from_bytes(a, "big") ^ int.from_bytes(b, "big")).bit_length()) // 8
 
-    def insert(self, p: int) -> int | None:
-        """Adds the string at ``p``; if an equal one is there, returns its place and adds nothing."""
+    def insert(self, p: int) -> None:
+        """Adds the string at ``p``: one leaf is found by the parting bytes alone and compared, then the new branch goes where
+        the two part.  Equal strings share a leaf."""
         data, node = self.data, self.root
         if node is None:
-            self.root = p
-            return None
-        while type(node) is tuple:  # blind: only the parting bytes are looked at
-            depth, branches = node
-            found = branches.get(data[p + depth])
-            node = found if found is not None else next(iter(branches.values()))
-        common = self._common(p, node)
+            self.root = [p]
+            return
+        while type(node) is tuple:
+            found = node[1].get(data[p + node[0]])
+            node = found if found is not None else next(iter(node[1].values()))
+        leaf, common = node, self._common(p, node[0])
         if common == self.depth:
-            return node
+            leaf.append(p)
+            return
         above, node = None, self.root
         while type(node) is tuple and node[0] < common:
             above, node = node, node[1][data[p + node[0]]]
         if type(node) is tuple and node[0] == common:
-            node[1][data[p + common]] = p
-            return None
-        leaf = node
-        while type(leaf) is tuple:
-            leaf = next(iter(leaf[1].values()))
-        new = (common, {data[leaf + common]: node, data[p + common]: p})
+            node[1][data[p + common]] = [p]
+            return
+        new = (common, {data[leaf[0] + common]: node, data[p + common]: [p]})
         if above is None:
             self.root = new
         else:
             above[1][data[p + above[0]]] = new
-        return None
 
-
-def repeated_suffixes(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of the suffixes at ``starts`` share their first ``length`` bytes with another of them."""
-    repeated = np.zeros(len(starts), bool)
+    def leaves(self) -> Iterator[list[int]]:
+        """The strings' places in order, equal strings together: an in-order walk."""
+        stack = [] if self.root is None else [self.root]
+        while stack:
+            node = stack.pop()
+            if type(node) is tuple:
+                stack += [node[1][byte] for byte in sorted(node[1], reverse=True)]
+            else:
+                yield node
+
+
+def _multikey_quicksort(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the suffixes at ``starts`` by their first ``depth`` bytes (a multiple of 8), and (first, end) of the groups in it
+    that are still equal.  All groups are partitioned side by side: below, equal to and above the eight bytes of a pivot at the
+    group's depth; the equal part goes eight bytes deeper."""
+    order = np.arange(len(starts))
+    first, size, level = (np.array([v], np.int64) for v in (0, len(starts), 0))
+    deep_first, deep_size = [], []
+    while len(first):
+        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        own, begin = order[at], np.cumsum(size) - size
+        key = words[starts[own] + np.repeat(level, size)]
+        a, b, c = key[begin], key[begin + size // 2], key[begin + size - 1]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), size)
+        parts, place = [key < pivot, key == pivot, key > pivot], np.repeat(first, size)
+        counts = [np.add.reduceat(p, begin, dtype=np.int64) for p in parts]
+        for part, count in zip(parts, counts):
+            rank = np.cumsum(part) - 1
+            before = rank[begin] - part[begin] + 1  # of the part in the groups before
+            order[(place + rank - np.repeat(before, size))[part]] = own[part]
+            place = place + np.repeat(count, size)
+        starts_of = [first, first + counts[0], first + counts[0] + counts[1]]
+        first, level_, size = np.concatenate(starts_of), np.concatenate([level, level + 8, level]), np.concatenate(counts)
+        ended = (size > 1) & (level_ >= depth)
+        deep_first.append(first[ended])
+        deep_size.append(size[ended])
+        go = (size > 1) & ~ended
+        first, size, level = first[go], size[go], level_[go]
+    begin, size = np.concatenate([np.zeros(0, np.int64), *deep_first]), np.concatenate([np.zeros(0, np.int64), *deep_size])
+    return order, begin, begin + size
+
+
+def sorted_suffixes(data: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, equal): the suffixes at ``starts`` by their first ``length`` bytes, and whether each is equal in them to the one
+    before it in that order.  Multikey quicksort to the shallow depth; a blind trie orders each group left."""
+    equal = np.zeros(len(starts), bool)
     if len(starts) < 2:
-        return repeated
+        return np.arange(len(starts)), equal
     raw = np.frombuffer(data, np.uint8).astype(np.uint64)
     words = np.zeros(len(raw) - 7, np.uint64)
     for k in range(8):
         words |= raw[k : k + len(words)] << np.uint64(56 - 8 * k)
-    live, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
-    for depth in range(0, min(SHALLOW, length) - 7, 8):  # multikey quicksort; groups of one need no further bytes
-        key = words[starts[live] + depth]
-        order = np.lexsort((key, group))
-        live, group, key = live[order], group[order], key[order]
-        new = np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))
-        group = np.cumsum(new) - 1
-        keep = np.bincount(group)[group] > 1
-        live, group = live[keep], group[keep]
-    ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group)) if len(group) else []
-    first = 0
-    for end in ends:
-        members = live[first:end].tolist()
-        trie, at = BlindTrie(data, length), {}
-        for i in members:
-            p = int(starts[i])
-            q = trie.insert(p)
-            if q is None:
-                at[p] = i
-            else:
-                repeated[i] = repeated[at[q]] = True
-        first = end
+    order, begin, end = _multikey_quicksort(words, starts, min(SHALLOW, length // 8 * 8))
+    for a, b in zip(begin.tolist(), end.tolist()):
+        members, trie = order[a:b], BlindTrie(data, length)
+        number = dict(zip(starts[members].tolist(), members.tolist()))
+        for p in number:
+            trie.insert(p)
+        for leaf in trie.leaves():
+            order[a : a + len(leaf)] = [number[p] for p in leaf]
+            equal[a + 1 : a + len(leaf)] = True
+            a += len(leaf)
+    return order, equal
+
+
+def repeated_suffixes(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
+    """Which of the suffixes at the (distinct) ``starts`` share their first ``length`` bytes with another of them, that is, with
+    a neighbour in their order."""
+    order, equal = sorted_suffixes(data, starts, length)
+    repeated = np.zeros(len(starts), bool)
+    repeated[order] = equal | np.append(equal[1:], False)[: len(equal)]
     return repeated
 
 
@@ -172,12 +209,12 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
             for text in batch.column("text"):
                 parts.append(contexts_of(text.as_py(), length))
                 sizes.append(len(parts[-1][0]))
-            anchor, context, first, count = (np.concatenate(c) for c in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 4
+            anchor, context, first, count = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, object), *[np.zeros(0, np.int64)] * 2)
             of = np.repeat(np.arange(batch.num_rows), sizes)
-            cells = [batch.column(k).take(pa.array(of)) for k in ("k1", "k2")] + [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))]
+            cells = [batch.column(k).take(pa.array(of)) for k in ("k1", "k2")] + [pa.array(anchor.view(np.int64)), pa.array(context, pa.binary()), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cells, ["k1", "k2", "anchor", "context", "first", "count"])
 
-    return rows.where(F.length("text") >= length).select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, anchor long, context long, first int, count int")
+    return rows.where(F.length("text") >= length).select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, anchor long, context binary, first int, count int")
 
 
 def _chosen(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
@@ -223,9 +260,10 @@ def _window_hashes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k1, k2, first, times, data in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "first", "times", "bytes"))):
-                h = _string_hashes(np.frombuffer(data, np.uint8), length).view(np.int64)
+                raw = np.frombuffer(data, np.uint8)
+                h, other = _string_hashes(raw, length).view(np.int64), _string_hashes(~raw, length).view(np.int64)
                 n = len(h)
-                yield pa.RecordBatch.from_arrays([pa.array([k1] * n, pa.int64()), pa.array([k2] * n, pa.int64()), pa.array(np.arange(first, first + n, dtype=np.int32)), pa.array([times] * n, pa.int64()), pa.array(h)], ["k1", "k2", "first", "times", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array([k1] * n, pa.int64()), pa.array([k2] * n, pa.int64()), pa.array(np.arange(first, first + n, dtype=np.int32)), pa.array([times] * n, pa.int64()), pa.array(h), pa.array(other)], ["k1", "k2", "first", "times", "hash", "other"])
 
     return run
 
@@ -234,7 +272,10 @@ def repeated_windows(rows: DataFrame, length: int = 200, anchor_contexts: int =
     """``k1``, ``k2``, ``first``, ``last``: in the document with that key, every window that starts at first..last-1 also starts
     elsewhere.  ``rows``: see :func:`_documents`."""
     anchors = cut_lineage(_anchors(rows, length), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("b")).where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("several"))
+    sides = [F.xxhash64("context"), F.xxhash64(F.lit(1), "context")]  # longs, for a hash aggregate
+    several = (F.min(sides[0]) != F.max(sides[0])) | (F.min(sides[1]) != F.max(sides[1]))
+    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), several.alias("several")).where("n > 1").select("anchor", "several")
+    shared = cut_lineage(shared, "anchors-counted")  # written, so that the join's large partitions can be split
     met = cut_lineage(anchors.join(shared, "anchor"), "shared-anchors")
     span = ["k1", "k2", "first", (F.col("first") + F.col("count")).cast("int").alias("last")]
     copies = met.where("not several").select(*span)
@@ -256,9 +297,9 @@ def repeated_windows(rows: DataFrame, length: int = 200, anchor_contexts: int =
     near = sliced.where(F.col("contexts") <= anchor_contexts).dropDuplicates(["anchor", "context"])
     near = near.repartition("anchor").sortWithinPartitions("anchor", "context")
     sorted_ = near.mapInArrow(_sorted_contexts(length), "k1 long, k2 long, first int, last int")
-    hashed = sliced.where(F.col("contexts") > anchor_contexts).dropDuplicates(["anchor", "context"]).mapInArrow(_window_hashes(length), "k1 long, k2 long, first int, times long, hash long")
-    common = hashed.groupBy("hash").agg(F.sum("times").alias("n")).where("n > 1").select("hash")
-    counted = hashed.where("times = 1").join(common, "hash", "left_semi").select("k1", "k2", "first", (F.col("first") + 1).cast("int").alias("last"))
+    hashed = sliced.where(F.col("contexts") > anchor_contexts).dropDuplicates(["anchor", "context"]).mapInArrow(_window_hashes(length), "k1 long, k2 long, first int, times long, hash long, other long")
+    common = hashed.groupBy("hash", "other").agg(F.sum("times").alias("n")).where("n > 1").select("hash", "other")
+    counted = hashed.where("times = 1").join(common, ["hash", "other"], "left_semi").select("k1", "k2", "first", (F.col("first") + 1).cast("int").alias("last"))
     return copies.unionAll(again).unionAll(sorted_).unionAll(counted)
 
 
