@@ -84,14 +84,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     A document's ids are the tokenizer's and ``end_id``; a NULL or empty text has ``end_id`` alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, int(end_id).to_bytes(4, "little")
+        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4")
         for batch in batches:
             cells: dict[str, list] = {c: [] for c in names}
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    for c, v in zip(names, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                ids = np.concatenate([ids, end])
+                for k, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    for c, v in zip(names, (doc_id, k, at, len(part), zlib.crc32(part), part.tobytes() if with_ids else None)):
                         cells[c].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cells[c], t) for c, t in names.items()], list(names))
 

@@ -8,13 +8,12 @@ places are looked up again.  Sequences without a pair that the vocabulary merges
 left are their tokens.  A merge makes a symbol whose own merges all have higher ranks, so this is the order in which the
 vocabulary merges; :class:`MergeTable` refuses a file for which that does not hold.
 
-Nothing is shuffled, and nothing is kept between batches: a task holds the symbols of ``BATCH_BYTES`` of text (a longer text
+Nothing is shuffled, and nothing is kept between batches: a task holds the symbols of ``tokens.BATCH_BYTES`` of text (a longer text
 without a single place to cut is a batch of its own)."""
 
 from __future__ import annotations
 
 import json
-import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -27,17 +26,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm import tokens
 from shelfspark.llm.common import text_rows
-
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+from shelfspark.llm.tokens import chunk_codes, in_parts
 
 #: The pattern of byte-level files with ``use_regex`` (fixed by that format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Text handled at a time.
-BATCH_BYTES = 8 << 20
-#: A piece that is empty or begins with white space (or a control) does not end the run of white space before it.
-JOINED = r"^$|^[\x00-\x20\x7f-\xa0\x{180e}\x{200b}\p{Z}]"
-CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0᠎​])")
 #: No merge: above every rank.
 NONE = np.int64(1) << 40
 
@@ -158,64 +152,37 @@ class TokenCounter:
         return out
 
     def _chunk_counts(self, chunks: list[str]) -> np.ndarray:
-        tokens = self._pre_tokens(chunks)
-        coded = pa.array(chain.from_iterable(tokens), pa.large_string()).dictionary_encode()
+        found = self._pre_tokens(chunks)
+        coded = pa.array(chain.from_iterable(found), pa.large_string()).dictionary_encode()
         words, code = coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy()
         raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: int(pc.sum(pc.binary_length(words)).as_py() or 0)]
         counts = surviving_symbols(self.table.bytes[raw], pc.binary_length(words).to_numpy(), self.table)
         running = np.append(0, np.cumsum(counts[code]))
-        end = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+        end = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         return running[end] - running[np.append(0, end[:-1])] if len(end) else end
 
     def _counts(self, texts: pa.Array) -> np.ndarray:
         """Counts of texts without special tokens."""
         if not len(texts):
             return np.zeros(0, np.int64)
-        lists = pc.split_pattern(texts, " ")
-        pieces, begin = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-        first = np.zeros(len(pieces), bool)
-        first[begin] = True
-        joined = pc.match_substring_regex(pieces, JOINED).to_numpy(zero_copy_only=False) & ~first
-        if joined.any():  # runs of white space stay with the piece before them
-            start = np.flatnonzero(~joined)
-            stop = np.append(start[1:], len(pieces))
-            several = stop - start > 1
-            whole = pa.array([" ".join(pieces.slice(a, b - a).to_pylist()) for a, b in zip(start[several].tolist(), stop[several].tolist())], pieces.type)
-            place = np.where(several, len(pieces) + np.cumsum(several) - 1, start)
-            pieces, first = pa.concat_arrays([pieces, whole]).take(pa.array(place)), first[start]
-            begin = np.searchsorted(start, begin)
-        coded = pieces.dictionary_encode()
-        key = coded.indices.to_numpy().astype(np.int64) * 2 + first
-        used = np.zeros(2 * len(coded.dictionary), bool)
-        used[key] = True
-        distinct, names = np.flatnonzero(used), coded.dictionary.to_pylist()
-        chunks = [names[k >> 1] if k & 1 else " " + names[k >> 1] for k in distinct.tolist()]
-        counts = np.zeros(len(used), np.int64)
-        counts[distinct] = self._chunk_counts(chunks)
-        return np.add.reduceat(counts[key], begin)
-
-    def _cut(self, text: str) -> Iterator[str]:
-        at = 0
-        while len(text) - at > BATCH_BYTES and (found := CUT.search(text, at + BATCH_BYTES)):
-            yield text[at : found.start()]
-            at = found.start()
-        yield text[at:]
+        codes, begin, chunks = chunk_codes(texts)
+        return np.add.reduceat(self._chunk_counts(chunks)[codes], begin)
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text (NULL: none).  Special tokens' strings are one token each, as is the library's default."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         size, total = pc.binary_length(texts).to_numpy(), np.zeros(len(texts), np.int64)
-        apart = size > BATCH_BYTES
+        apart = size > tokens.BATCH_BYTES
         if self.marks:
             apart = apart | pc.match_substring_regex(texts, "|".join(re.escape(s) for s in self.table.special)).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~apart)
-        group = np.cumsum(size[plain]) // BATCH_BYTES
+        group = np.cumsum(size[plain]) // tokens.BATCH_BYTES
         for rows in np.split(plain, np.flatnonzero(np.diff(group)) + 1):
             total[rows] = self._counts(texts.take(pa.array(rows)))
         for row in np.flatnonzero(apart).tolist():
             text = texts[row].as_py()
             for n, part in enumerate(self.marks.split(text) if self.marks else [text]):
-                total[row] += (n > 0) + sum(int(self._counts(pa.array([p], pa.large_string()))[0]) for p in self._cut(part) if p)
+                total[row] += (n > 0) + sum(int(self._counts(pa.array([p], pa.large_string()))[0]) for p in in_parts(part) if p)
         return total
 
 

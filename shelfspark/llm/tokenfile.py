@@ -33,6 +33,8 @@ from shelfspark.session import cut_lineage
 
 MAGIC = b"EFTOK001"
 SAMPLE = 256
+#: Text that a file is made of.
+FILE_BYTES = 512 << 20
 #: bytes an id, documents, documents without id, first document id, then (place, count, low bits, low bytes, high bytes) twice
 TRAILER = struct.Struct("<BQQq" + "QQBQQ" * 2)
 
@@ -42,6 +44,8 @@ def elias_fano(values: np.ndarray) -> tuple[tuple[int, int, int, int], bytes]:
     n, top = len(values), int(values[-1]) if len(values) else 0
     low_bits = max(0, (top // max(n, 1)).bit_length() - 1)
     high = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
+    if n and int(high[-1]) >> 32:
+        raise ValueError("too many documents for one file")
     vector = np.zeros(int(high[-1]) + 1 if n else 0, np.uint8)
     vector[high] = 1
     low = bytearray()
@@ -91,10 +95,11 @@ class TokenFileWriter:
         self.out.write(MAGIC)
         self.ends, self.doc_ids, self.without_id = [0], [], 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        """``ids`` as little-endian unsigned 32-bit numbers."""
-        self.out.write(np.frombuffer(ids, "<u4").astype(f"<u{self.id_bytes}").tobytes())
-        self.ends.append(self.ends[-1] + len(ids) // 4)
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >> (8 * self.id_bytes):
+            raise ValueError(f"id {int(ids.max())} does not fit {self.id_bytes} bytes")
+        self.out.write(ids.astype(f"<u{self.id_bytes}").tobytes())
+        self.ends.append(self.ends[-1] + len(ids))
         if doc_id is None:
             self.without_id += 1
         else:
@@ -137,28 +142,32 @@ class TokenFileReader:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, files: int | None = None, id_bytes: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes all documents in rising order of id (NULL first, equal ids by text) and returns the list of files: ``file``
-    (long, in order), ``path``, ``n_docs``, ``n_tokens``.  ``id_bytes``: 2 suffices for vocabularies up to 65,536 ids.
-    ``files``: how many ranges (default: the session's shuffle partitions).  No documents: no files."""
-    spark = docs.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Writes all documents in rising order of id (NULL first, equal ids by the text's first 64 characters, then a hash of it)
+    and returns the list of files: ``file`` (long, in order), ``path``, ``n_docs``, ``n_tokens``.  ``id_bytes``: 2 suffices for
+    vocabularies up to 65,536 ids; a larger id is an error.  ``files``: how many ranges (default: the session's shuffle
+    partitions, or more, so that a file is made of about ``FILE_BYTES`` of text).  No documents: no files."""
+    spark, rows = docs.sparkSession, text_rows(docs, id_col, text_col)
+    if files is None:
+        total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         number, writer, encode = TaskContext.get().partitionId(), None, encoder(tokenizer).encode
-        final, end = f"{base}/tokens-{number:06d}-{uuid.uuid4().hex}", int(end_id).to_bytes(4, "little")
+        final, end = f"{base}/tokens-{number:06d}-{uuid.uuid4().hex}", np.array([end_id], "<u4")
         for batch in batches:
             if batch.num_rows and writer is None:
                 fs.create_dir(base)
                 writer = TokenFileWriter(fs.open_output_stream(f"{final}.part"), id_bytes)
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
-                writer.add(doc_id, ids + end)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
+                writer.add(doc_id, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             fs.move(f"{final}.part", final)
             yield pa.RecordBatch.from_pydict({"file": [number], "path": [final], "n_docs": [len(writer.ends) - 1], "n_tokens": [writer.ends[-1]]})
 
-    ordered = text_rows(docs, id_col, text_col).repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    keys = {"head": F.substring("text", 1, 64), "hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}  # rows of one id can be split
+    ordered = rows.withColumns(keys).repartitionByRange(files, "doc_id", *keys).sortWithinPartitions("doc_id", *keys).select("doc_id", "text")
     return cut_lineage(ordered.mapInArrow(run, "file long, path string, n_docs long, n_tokens long"), "token-files")
 
 

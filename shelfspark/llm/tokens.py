@@ -1,4 +1,5 @@
-"""Exact token ids of whole texts with a file of the ``tokenizers`` library."""
+"""Exact token ids of whole texts with a file of the ``tokenizers`` library, as the library gives them by default: strings of
+special tokens inside a text are special tokens."""
 
 from __future__ import annotations
 
@@ -8,36 +9,94 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
-#: ASCII white space with the run that follows it.  A pre-token never holds a visible character followed by white space, so
-#: the ids of a text are those of its chunks in a row.
-CHUNK = re.compile(r"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
-#: White space beyond ASCII, and controls that some libraries count as such: texts with them are encoded in one piece.
-ODD_SPACE = re.compile(r"[^\S \t\n\r\x0b\f]")
-END_MARKS = frozenset(".,")
+#: Text handled at a time.
+BATCH_BYTES = 8 << 20
+#: A piece that is empty or begins with white space (or a control) does not end the run of white space before it.
+JOINED = r"^$|^[\x00-\x20\x7f-\xa0\x{180e}\x{200b}\p{Z}]"
+CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0᠎​])")
+#: A letters-only word and the marks behind it, which are pre-tokens of their own (an apostrophe may belong to both).
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: ASCII white space with the run that follows it, and white space beyond it.
+INNER, ODD_SPACE = re.compile(r"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+"), re.compile(r"[^\S \t\n\r\x0b\f]")
 #: Tried in turn as a mark between chunks that are encoded together: it must come out as one id of its own.
 SEPARATORS = ("\n", " ~ ", " | ", " ^ ")
 #: Chunks encoded together.
 TOGETHER = 1000
+#: Strings on which a file shows that it never joins a visible character and the space behind it.
+PROBES = ("a b", "it's, isn't it ? 12 34", "x  y", "e\n f", "Ünï  漢字 ok", "the end . The end", "a  \n\t b c", "!! !! ~ ~")
+
+
+def _begin_with_space(pieces: pa.Array) -> np.ndarray:
+    """Where ``JOINED`` holds; its pattern is only tried where the first byte leaves it open."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+    raw = np.append(np.frombuffer(pieces.buffers()[2] or b"", np.uint8), np.uint8(0))
+    byte = raw[np.minimum(offsets[:-1], len(raw) - 1)]
+    joined = (offsets[1:] == offsets[:-1]) | (byte <= 0x20) | (byte == 0x7F)
+    wide = np.flatnonzero(~joined & (byte >= 0xC2) & (byte <= 0xE3))
+    joined[wide] = pc.match_substring_regex(pieces.take(pa.array(wide)), JOINED).to_numpy(zero_copy_only=False)
+    return joined
+
+
+def chunk_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut before each space that a visible character follows: (number of the distinct chunk at each place, first
+    place of each text, distinct chunks).  Only an empty text has the empty chunk."""
+    lists = pc.split_pattern(texts, " ")
+    pieces, begin = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+    first = np.zeros(len(pieces), bool)
+    first[begin] = True
+    joined = _begin_with_space(pieces) & ~first
+    if joined.any():  # runs of white space stay with the piece before them
+        start = np.flatnonzero(~joined)
+        stop = np.append(start[1:], len(pieces))
+        several = stop - start > 1
+        whole = pa.array([" ".join(pieces.slice(a, b - a).to_pylist()) for a, b in zip(start[several].tolist(), stop[several].tolist())], pieces.type)
+        place = np.where(several, len(pieces) + np.cumsum(several) - 1, start)
+        pieces, first = pa.concat_arrays([pieces, whole]).take(pa.array(place)), first[start]
+        begin = np.searchsorted(start, begin)
+    coded = pieces.dictionary_encode()
+    key = coded.indices.to_numpy().astype(np.int64) * 2 + first
+    used = np.zeros(2 * len(coded.dictionary), bool)
+    used[key] = True
+    names = coded.dictionary.to_pylist()
+    chunks = [names[k >> 1] if k & 1 else " " + names[k >> 1] for k in np.flatnonzero(used).tolist()]
+    return (np.cumsum(used) - 1)[key], begin, chunks
+
+
+def in_parts(text: str) -> Iterator[str]:
+    """A long text in parts of about ``BATCH_BYTES`` characters, cut where :func:`chunk_codes` cuts."""
+    at = 0
+    while len(text) - at > BATCH_BYTES and (found := CUT.search(text, at + BATCH_BYTES)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
 
 
 class ChunkEncoder:
     """Encodes texts; remembers the ids of chunks, so that a word goes through the vocabulary's merges once.  The memory is two
     generations of up to ``memo_chunks`` chunks; the older one is dropped when the younger is full.
 
-    Valid for tokenizers that split at white space before merging, as byte-level and end-of-word BPE do.  Strings of
-    special tokens in a text are ordinary text.  ``piece_chars`` bounds the characters handled at a time (a longer text
-    makes a piece of its own)."""
+    Chunks are right for tokenizers that split at white space before merging, as byte-level and end-of-word BPE do; a file
+    that does not (see ``PROBES``) has whole texts encoded, as have texts with strings of special tokens."""
 
-    def __init__(self, path: str, memo_chunks: int = 600_000, piece_chars: int = 1 << 20):
+    def __init__(self, path: str, memo_chunks: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.memo_chunks, self.piece_chars, self.memo, self.older = memo_chunks, piece_chars, {}, {}
+        self.memo_chunks, self.memo, self.older = memo_chunks, {}, {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "|".join(map(re.escape, special))
         self.separator, self.mark = next(((s, ids[0]) for s in SEPARATORS if len(ids := self._separator_ids(s)) == 1), ("", -1))
+        self.in_chunks = all(self._ids(p) == list(chain.from_iterable(self._ids(c) for c in self._chunks_of(p))) for p in PROBES)
+
+    @staticmethod
+    def _chunks_of(text: str) -> list[str]:
+        codes, _, chunks = chunk_codes(pa.array([text], pa.large_string()))
+        return [chunks[c] for c in codes]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -54,7 +113,7 @@ class ChunkEncoder:
         out = []
         for start in range(0, len(chunks), TOGETHER):
             group = chunks[start : start + TOGETHER]
-            ids = np.asarray(self._whole_ids(self.separator.join(group)), "<u4")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([self.separator.join(group)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
             if len(ends) != len(group):
                 out += self._whole(group)
@@ -65,44 +124,66 @@ class ChunkEncoder:
                 begin = end + 1
         return out
 
-    def _whole_ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _known(self, chunks: set[str]) -> set[str]:
+        """Takes what the older memory knows of ``chunks`` into the younger; returns the others."""
+        found = chunks & self.older.keys()
+        self.memo.update((c, self.older[c]) for c in found)
+        return chunks - found
 
     def _learn(self, chunks: set[str]) -> None:
-        memo, older = self.memo, self.older
-        known = chunks & older.keys()
-        memo.update((c, older[c]) for c in known)
-        chunks = chunks - known
-        # a letters-only chunk and its final mark are separate pre-tokens: the bare word serves all its uses
-        split = {c: (c[:-1], c[-1]) for c in chunks if c[-1] in END_MARKS and c[:-1].lstrip(" ").isalpha()}
-        new = {*chain.from_iterable(split.values()), *(chunks - split.keys())}.difference(memo)
+        memo = self.memo
+        chunks = self._known(chunks)
+        lines = {c: INNER.findall(c) for c in chunks if c.split() != [c.removeprefix(" ")] and not ODD_SPACE.search(c)}
+        words = {w for w in {*chain.from_iterable(lines.values()), *(chunks - lines.keys())}.difference(memo)}
+        split = {}
+        for w in words:
+            body = w.rstrip(MARKS)
+            if len(body) < len(w) and body.removeprefix(" ").isalpha():
+                split[w] = body, w[len(body) :]
+        new = self._known({*chain.from_iterable(split.values()), *(words - split.keys())}.difference(memo))
         sign = self.separator.strip() or self.separator
-        plain = [c for c in new if sign and sign not in c and "\n" not in c and "  " not in c]
+        plain = [c for c in new if sign and sign not in c and c.split() == [c.removeprefix(" ")]]  # no white space but a first space
         rest = list(new.difference(plain))
         memo.update(zip(plain, self._together(plain)))
         memo.update(zip(rest, self._whole(rest)))
         memo.update((c, memo[word] + memo[end]) for c, (word, end) in split.items())
+        memo.update((c, b"".join(map(memo.__getitem__, parts))) for c, parts in lines.items())
 
-    def _piece(self, texts: list[str]) -> Iterator[bytes]:
-        chunks = [None if ODD_SPACE.search(t) else CHUNK.findall(t) for t in texts]
+    def _batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        codes, begin, chunks = chunk_codes(texts)
         if len(self.memo) > self.memo_chunks:
             self.memo, self.older = {}, self.memo
-        missing = set(chain.from_iterable(c for c in chunks if c)).difference(self.memo)
+        missing = set(chunks).difference(self.memo)
         if missing:
             self._learn(missing)
-        for text, own in zip(texts, chunks):
-            yield self._whole([text])[0] if own is None else b"".join(map(self.memo.__getitem__, own))
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers (None: no ids)."""
-        piece, chars = [], 0
-        for t in texts:
-            piece.append(t or "")
-            chars += len(piece[-1])
-            if chars >= self.piece_chars:
-                yield from self._piece(piece)
-                piece, chars = [], 0
-        yield from self._piece(piece)
+        own = [self.memo[c] for c in chunks]
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        ids, start = np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size
+        size, start = size[codes], start[codes]
+        end = np.cumsum(size)
+        ids = ids[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+        edge = np.append(0, end)[np.append(begin, len(codes))]
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            yield ids[a:b]
+
+    def _apart(self, text: str) -> np.ndarray:
+        if not self.in_chunks or (self.special and re.search(self.special, text)):
+            return np.asarray(self._ids(text), "<u4")
+        return np.concatenate([next(self._batch(pa.array([p], pa.large_string()))) for p in in_parts(text)])
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text as little-endian unsigned 32-bit numbers (NULL: no ids)."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        size = pc.binary_length(texts).to_numpy()
+        apart = size > BATCH_BYTES if self.in_chunks else np.ones(len(texts), bool)
+        if self.special and self.in_chunks:
+            apart = apart | pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False)
+        group = np.where(apart, 0, size).cumsum() // BATCH_BYTES
+        for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1):
+            if len(rows):
+                plain = self._batch(texts.take(pa.array(rows[~apart[rows]]))) if not apart[rows].all() else iter(())
+                for row in rows.tolist():
+                    yield self._apart(texts[row].as_py()) if apart[row] else next(plain)
 
 
 _OPEN: dict[str, ChunkEncoder] = {}

@@ -4,10 +4,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
-from shelfspark.llm import packing
+from shelfspark.llm import packing, tokens
 from shelfspark.llm.tokens import ChunkEncoder
 from tests.llm.helpers import EDGES, documents, empty
 
@@ -15,18 +16,33 @@ WORD, BYTE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe
 
 
 def plain(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(path)  # as it is opened: the strings of special tokens are special
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
-def test_chunk_encoder_is_exact(path):
+def test_chunk_encoder_is_exact(path, monkeypatch):
     rng, own = random.Random(5), plain(path)
     alphabet = "ab AB'sé,.\n\t !?~|^²½ñ漢字 ́  \x1c0123<|endoftext|>"
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)] + ["don't stop. Don't", "x" * 3000, " ~ ~ | ", None]
-    got = list(ChunkEncoder(path, memo_chunks=500, piece_chars=2000).encode(texts))
-    assert got == [np.asarray(own(t), "<u4").tobytes() for t in texts]
+    words = ["<|endoftext|>", "<|startoftext|>", "<|endoftext", " ", "  ", "\n", "a", "don't", "'s", "漢字", " the", "END.", "~", " | "]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    texts += ["".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(1500)] + ["don't stop. Don't", "x" * 3000, " ~ ~ | ", None, "it ends <|endoftext|> here"]
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 500)
+    encoder = ChunkEncoder(path, memo_chunks=500)
+    assert encoder.in_chunks
+    assert [ids.tolist() for ids in encoder.encode(pa.array(texts))] == [own(t) for t in texts]
+
+
+def test_long_texts_in_parts_and_files_that_join_words(monkeypatch, tmp_path):
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 40)
+    rng, own = random.Random(6), plain(BYTE)
+    texts = ["".join(rng.choice(["over ", "don't", "\n", "  ", ", ", "漢字 ", "\xa0", "<|endoftext|>"]) for _ in range(rng.randint(0, 100))) for _ in range(200)]
+    assert [ids.tolist() for ids in ChunkEncoder(BYTE).encode(pa.array(texts))] == [own(t) for t in texts]
+    joined = Tokenizer(models.BPE({c: n for n, c in enumerate(["a", "b", " ", "a "])}, [("a", " ")]))  # a merge across a space
+    joined.save(str(tmp_path / "joined.json"))
+    encoder, own = ChunkEncoder(str(tmp_path / "joined.json")), plain(str(tmp_path / "joined.json"))
+    assert not encoder.in_chunks
+    assert [ids.tolist() for ids in encoder.encode(pa.array(["a b a", None, " aa b"]))] == [own(t) for t in ("a b a", None, " aa b")]
 
 
 @pytest.mark.parametrize("seed", range(40))

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shelfspark.llm import tokencount
+from shelfspark.llm import tokencount, tokens
 from shelfspark.llm.tokencount import MergeTable, TokenCounter, surviving_symbols
 from tests.llm.helpers import EDGES, documents, empty
 
@@ -36,7 +36,7 @@ def test_counts_equal_the_library(counter, library):
 
 
 def test_long_texts_are_cut_where_tokens_end(counter, library, monkeypatch):
-    monkeypatch.setattr(tokencount, "BATCH_BYTES", 64)
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 64)
     rng = random.Random(14)
     words = ["over", "don't", "\n", "  ", " ", ",", "漢字", "x1", "\xa0", "<|endoftext|>", "\x1c", " "]
     texts = ["".join(rng.choice(words) + rng.choice(["", " "]) for _ in range(rng.randint(0, 150))) for _ in range(400)]

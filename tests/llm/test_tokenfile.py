@@ -30,7 +30,6 @@ def test_elias_fano(n, top):
 
 def expected(rows):
     t = Tokenizer.from_file(BYTE)
-    t.encode_special_tokens = True
     out, start = [], 0
     for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]
@@ -40,7 +39,7 @@ def expected(rows):
 
 
 def test_round_trip(spark):
-    rows = EDGES + [(-5, "negative"), (2**62, "far away")] + [(1000 + i, f"text number {i}") for i in range(600)]
+    rows = EDGES + [(-5, "negative"), (2**62, "far away")] + [(1000 + i, f"text number {i}") for i in range(600)] + [(3000, "it ends <|endoftext|> here"), (3001, "<|endoftext|>")]
     folder = f"{ensure_checkpoint_dir(spark)}/token-test-{random.random()}"
     files = tokenfile.write_token_files(documents(spark, rows), folder, BYTE, files=3)
     got = [tuple(r) for r in tokenfile.read_token_files(files, folder).collect()]
@@ -51,6 +50,15 @@ def test_round_trip(spark):
     assert none.count() == 0 and tokenfile.read_token_files(none, folder + "-none").count() == 0
 
 
+def test_ids_that_do_not_fit_are_refused():
+    import io
+
+    writer = tokenfile.TokenFileWriter(io.BytesIO(), 2)
+    writer.add(1, np.array([65535], "<u4"))
+    with pytest.raises(ValueError):
+        writer.add(2, np.array([65536], "<u4"))
+
+
 def test_query_on_whole_table(spark):
     from shelfspark.llm.queries import QUERIES
 
