@@ -9,6 +9,7 @@ from shelfspark.operators import cleaning as P
 from shelfspark.operators import gridsearch as GS
 from shelfspark.operators import metrics as M
 from shelfspark.operators import models as ML
+from shelfspark.operators import neighbours as KN
 from shelfspark.operators import sampling as R
 from shelfspark.operators import scaling as S
 from shelfspark.plans import stages
@@ -418,6 +419,50 @@ def m5(spark, sf_dir):
     return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "boosted_trees_cv")
 
 
+@register("m6_nearest_neighbours", None)
+def m6(spark, sf_dir):
+    """M6: 5 nearest neighbours of every test row among all training rows, standardised features, majority class."""
+    train, test = _train_test(spark, sf_dir)
+    return _evaluate(KN.classify(train, test, C.SELECTED_FEATURES), "nearest_neighbours")
+
+
+#: Days at the end of the table that are predicted from those before.
+LAST_DAYS = 28
+
+
+def _last_days_sql() -> str:
+    dims = C.SELECTED_FEATURES
+    scaled = ", ".join(f"coalesce((CAST(f.{c} AS DOUBLE) - m{i}) / CASE WHEN coalesce(s{i}, 0) = 0 THEN 1 ELSE s{i} END, 0) AS v{i}" for i, c in enumerate(dims))
+    stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(dims))
+    squares = " + ".join(f"(q.v{i} - t.v{i}) * (q.v{i} - t.v{i})" for i in range(len(dims)))
+    v = ", ".join(f"v{i}" for i in range(len(dims)))
+    own = " AND ".join(f"q.v{i} = b.v{i}" for i in range(len(dims)))
+    return stage_sql(
+        f"""SELECT q.Store, q.Dept, q.Date, q.Sales_Class, CAST(CASE WHEN 2 * high > n THEN 1 ELSE 0 END AS INTEGER) AS prediction, nearest, farthest
+FROM asked q JOIN (
+    SELECT {v}, count(*) AS n, count_if(label = 1) AS high, min(distance) AS nearest, max(distance) AS farthest FROM (
+        SELECT * FROM (
+            SELECT {", ".join(f"q.v{i}" for i in range(len(dims)))}, round(sqrt({squares}), 9) AS distance, t.Sales_Class AS label,
+                row_number() OVER (PARTITION BY {", ".join(f"q.v{i}" for i in range(len(dims)))} ORDER BY round(sqrt({squares}), 9), t.Sales_Class) AS place
+            FROM (SELECT DISTINCT {v} FROM asked) q CROSS JOIN known t) WHERE place <= 5) GROUP BY {v}) b ON {own}""",
+        f"""cutoff AS (SELECT max(Date) - INTERVAL {LAST_DAYS} DAY AS d FROM featured),
+parameters AS (SELECT {stats} FROM featured, cutoff WHERE Date <= d),
+scaled AS MATERIALIZED (SELECT f.Store, f.Dept, f.Date, f.Sales_Class, f.Date > d AS late, {scaled} FROM featured f, cutoff, parameters),
+asked AS MATERIALIZED (SELECT * FROM scaled WHERE late),
+known AS MATERIALIZED (SELECT * FROM scaled WHERE NOT late)""",
+    )
+
+
+@register("m6_nearest_neighbours_last_days", _last_days_sql(), round_cols=["nearest", "farthest"], digits=5)
+def m6b(spark, sf_dir):
+    """M6 on a split by time: all rows of the last 28 days, each against all rows before them."""
+    f = stages.featured(spark, sf_dir)
+    late = f.agg(F.date_sub(F.max("Date"), LAST_DAYS).alias("d")).first().d
+    train, test = f.where(F.col("Date") <= F.lit(late)), f.where(F.col("Date") > F.lit(late))
+    out = KN.classify(train, test, C.SELECTED_FEATURES)
+    return out.select("Store", "Dept", "Date", "Sales_Class", "prediction", "nearest", "farthest")
+
+
 @register("m14_feature_importance", None)
 def m14(spark, sf_dir):
     """Impurity importances (the M4 boosted trees) and |coefficients| (logistic)."""
