@@ -1,26 +1,26 @@
 """Exact top-k search: BM25 over an inverted index in shards, with block-max WAND.
 
-*Index.*  Each task cuts its documents into shards of at most ``shard_docs`` and inverts them: a row for each shard and term
-with the documents' numbers (in order of id), term counts, lengths, and for each block of ``BLOCK_POSTINGS`` postings the
-last number, largest count and least length, which bound every score in the block.  The index is written once.
+*Index.*  Each task cuts its documents into shards of at most ``shard_docs`` and inverts them: one row for each shard with its
+documents' ids and lengths, its terms in order, and their postings (numbers and term counts).  The index is written once.
 
 *Global statistics.*  Number of documents, mean length and document frequencies are aggregates over all shards, so a
-document's score is the same in whichever shard it lies, and the shards' best lists merge exactly.
+document's score is the same in whichever shard it lies, and the tasks' best lists merge exactly.
 
-*Search.*  Queries meet a shard's postings of their terms only.  Block-max WAND walks the lists in step: it skips to the
-first document whose lists' bounds can exceed the k-th best score so far, and past whole blocks whose bounds cannot.  Many
-queries are dealt to one shard in blocks of ``query_block``, so that memory stays bounded."""
+*Search.*  Queries go over all shards in blocks of bounded size.  Posting lists are cut into blocks at the same documents
+(``BLOCK_DOCS`` numbers each), and the largest score of each list's block is kept.  A query's weak AND is taken block by
+block: only where the block maxima of its terms together can pass the k-th best score so far are the postings read at all,
+blocks with the largest bounds first, so that the k-th best rises early.  The k best go on from shard to shard within a
+task; a task returns k rows a query however many shards it reads, and tasks' lists are merged by a window."""
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
 from collections.abc import Iterator
-from heapq import heappush, heapreplace
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,96 +28,58 @@ from shelfspark.llm.common import text_rows
 from shelfspark.session import cut_lineage
 
 WORD = re.compile(r"[^\W_]+")
-BLOCK_POSTINGS = 64
+BLOCK_DOCS = 128
 #: Scores are compared after rounding to this many decimals; equal scores go to the smaller id.
 DECIMALS = 6
-#: Query terms up to this number are broadcast, so that the postings of other terms are not shuffled.
-BROADCAST_TERMS = 1_000_000
-INDEX = "shard long, term string, df int, docs array<int>, counts array<int>, lengths array<int>, last array<int>, most array<int>, least array<int>"
+#: (query, term) rows that are searched at a time.
+QUERY_TERMS_AT_ONCE = 500_000
+SHARD_WORDS = 4_000_000
+INDEX = "shard long, ids array<long>, lengths array<int>, terms array<string>, df array<int>, docs array<int>, counts array<int>"
 
 
 def terms_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def _inverted(shard: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Index rows of one shard; ``rows``: (id, words as numbers of ``vocabulary``)."""
-    rows, vocabulary = rows
+def _inverted(shard: int, rows: list[tuple], vocabulary: dict[str, int]) -> pa.RecordBatch:
+    """The index row of one shard; ``rows``: (id, words as numbers of ``vocabulary``)."""
     rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
-    lengths = np.array([len(w) for _, w in rows], np.int64)
-    words = np.concatenate([w for _, w in rows]) if rows else np.zeros(0, np.int64)
-    pair, counts = np.unique(words * len(rows) + np.repeat(np.arange(len(rows)), lengths), return_counts=True)
-    term, doc = pair // max(len(rows), 1), pair % max(len(rows), 1)
-    first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
-    size = np.diff(np.append(first, len(term)))
-    blocks = -(-size // BLOCK_POSTINGS)
-    begin = np.repeat(first - (np.cumsum(blocks) - blocks) * BLOCK_POSTINGS, blocks) + np.arange(blocks.sum()) * BLOCK_POSTINGS
-    end = np.append(begin[1:], len(term))
-    names = list(vocabulary)
-
-    def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values.astype(np.int32)))
-
-    own = lengths[doc]
-    most = np.maximum.reduceat(counts, begin) if len(begin) else begin
-    least = np.minimum.reduceat(own, begin) if len(begin) else begin
-    cells = [pa.array(np.full(len(first), shard)), pa.array([names[t] for t in term[first]], pa.string()), pa.array(size.astype(np.int32)), lists(doc, size), lists(counts, size), lists(own, size), lists(doc[end - 1] if len(begin) else begin, blocks), lists(most, blocks), lists(least, blocks)]
-    table = pa.RecordBatch.from_arrays(cells, ["shard", "term", "df", "docs", "counts", "lengths", "last", "most", "least"])
-    for at in range(0, table.num_rows, 20_000):
-        yield table.slice(at, 20_000)
-
-
-def build_index(docs: DataFrame, shard_docs: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(postings, documents): the index rows, and ``shard``, ``number``, ``doc_id``, ``length`` of every document.
-
-    A shard ends after ``shard_docs`` documents or 4 million words.  Its number holds the task's number."""
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple]]:
-        from pyspark import TaskContext
+    n, lengths = len(rows), np.array([len(w) for _, w in rows], np.int64)
+    names = sorted(vocabulary)
+    place = np.empty(len(names), np.int64)
+    place[[vocabulary[t] for t in names]] = np.arange(len(names))
+    words = place[np.concatenate([w for _, w in rows])] if len(names) else np.zeros(0, np.int64)
+    pair, counts = np.unique(words * n + np.repeat(np.arange(n), lengths), return_counts=True)
+    df = np.bincount(pair // n, minlength=len(names))
+    cells = [[shard], [[d for d, _ in rows]], [lengths], [names], [df], [pair % n], [counts]]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), *[pa.list_(pa.int32())] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, kinds)], [c.split()[0] for c in INDEX.split(", ")])
 
-        numbers, base = count(), TaskContext.get().partitionId() << 24
 
-        def new():
-            vocabulary: dict[str, int] = {}
-            return [], vocabulary, 0
+def build_index(docs: DataFrame, shard_docs: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index rows.  A shard ends after ``shard_docs`` documents or ``SHARD_WORDS`` words.  Its number holds the task's."""
 
-        rows, vocabulary, held = new()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        numbers, base = count(), TaskContext.get().partitionId() << 24
+        rows, vocabulary, held = [], {}, 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words = terms_of(text)
-                codes = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int64, len(words))
-                rows.append((doc_id, codes))
+                rows.append((doc_id, np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int64, len(words))))
                 held += len(words)
-                if len(rows) >= shard_docs or held >= 4_000_000:
-                    yield base + next(numbers), (rows, vocabulary)
-                    rows, vocabulary, held = new()
+                if len(rows) >= shard_docs or held >= SHARD_WORDS:
+                    yield _inverted(base + next(numbers), rows, vocabulary)
+                    rows, vocabulary, held = [], {}, 0
         if rows:
-            yield base + next(numbers), (rows, vocabulary)
+            yield _inverted(base + next(numbers), rows, vocabulary)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in shards(batches):
-            yield from _inverted(shard, rows)
-            # the list of the shard's documents: a row without a term for each 20,000
-            for at in range(0, len(rows[0]), 20_000):
-                part = rows[0][at : at + 20_000]
-                n = len(part)
-                empty = pa.array([None] * n, pa.list_(pa.int32()))
-                number = pa.array([[i] for i in range(at, at + n)], pa.list_(pa.int32()))
-                size = pa.array([[len(w)] for _, w in part], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * n, pa.int64()), pa.array([None] * n, pa.string()), pa.array([0] * n, pa.int32()), number, empty, size, empty, empty, empty, pa.array([d for d, _ in part], pa.int64())], ["shard", "term", "df", "docs", "counts", "lengths", "last", "most", "least", "doc_id"])
-
-    def padded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(batches):
-            yield batch if batch.num_columns == 10 else batch.append_column("doc_id", pa.array([None] * batch.num_rows, pa.int64()))
-
-    index = cut_lineage(text_rows(docs, id_col, text_col).mapInArrow(padded, INDEX + ", doc_id long"), "index")
-    documents = index.where("term is null").select("shard", F.col("docs")[0].alias("number"), "doc_id", F.col("lengths")[0].alias("length"))
-    return index.where("term is not null").drop("doc_id"), documents
-
-
-def rarest_terms(queries: DataFrame, frequencies: DataFrame, terms: int, least_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``query_id``, ``term``, ``df``: of each query document's whole text the ``terms`` words that the fewest documents have,
-    but ``least_docs`` at least (a word that nothing else has can't find anything); equal ones in order of the word."""
+    return cut_lineage(text_rows(docs, id_col, text_col).mapInArrow(run, INDEX), "index")
+
+
+def query_terms(queries: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``query_id``, ``term``: the distinct words of each query's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,109 +87,113 @@ def rarest_terms(queries: DataFrame, frequencies: DataFrame, terms: int, least_d
                 own = sorted(set(terms_of(text)))
                 yield pa.RecordBatch.from_arrays([pa.array([query] * len(own), pa.int64()), pa.array(own, pa.string())], ["query_id", "term"])
 
-    words = text_rows(queries, id_col, text_col).mapInArrow(run, "query_id long, term string").distinct()
-    known = words.join(frequencies.where(F.col("df") >= least_docs), "term")
-    order = Window.partitionBy("query_id").orderBy("df", "term")  # a document's distinct words
-    return known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= terms).select("query_id", "term", "df")
-
-
-def block_max_wand(lists: list[tuple], k: int) -> list[tuple[float, int]]:
-    """The ``k`` best (score, document number) of one shard.  A list: numbers, scores, largest score, blocks' last numbers,
-    blocks' largest scores.  Only a rounded bound above the k-th best can change the result: of equal scores the smaller
-    number stays, and numbers are met in rising order."""
-    at, heap = [0] * len(lists), []
-    cut = -1.0  # a bound must exceed it: half a unit of the last decimal above the k-th best, less what summing may lose
-    heads = sorted((own[0][0], i) for i, own in enumerate(lists) if own[0])
-    while heads:
-        bound, pivot = 0.0, -1
-        for n, (_, i) in enumerate(heads):
-            bound += lists[i][2]
-            if bound > cut:
-                pivot = n
-                break
-        if pivot < 0:
-            break
-        target, size = heads[pivot][0], len(heads)
-        while pivot + 1 < size and heads[pivot + 1][0] == target:
-            pivot += 1
-        moved, reach = heads[: pivot + 1], heads[pivot + 1][0] if pivot + 1 < size else 1 << 60
-        bound = 0.0
-        for _, i in moved:
-            last = lists[i][3]
-            b = bisect_left(last, target) if len(last) > 1 else 0
-            if b < len(last) and target <= last[b]:
-                bound += lists[i][4][b]
-                reach = min(reach, last[b] + 1)
-        del heads[: pivot + 1]
-        if bound > cut and moved[0][0] == target:
-            own = sorted(i for _, i in moved)
-            found = round(sum(lists[i][1][at[i]] for i in own), DECIMALS)
-            if len(heap) < k:
-                heappush(heap, (found, -target))
-            elif found > heap[0][0]:
-                heapreplace(heap, (found, -target))
-            if len(heap) == k:
-                cut = heap[0][0] + 0.489 * 10**-DECIMALS
-            reach = target + 1
-        elif bound > cut:
-            reach = target
-        else:
-            reach = max(reach, target + 1)
-        for head, i in moved:  # only the lists that moved find their place again
-            numbers = lists[i][0]
-            if head < reach:
-                at[i] = bisect_left(numbers, reach, at[i])
-                if at[i] == len(numbers):
-                    continue
-                head = numbers[at[i]]
-            insort(heads, (head, i))
-    return [(s, -d) for s, d in heap]
-
-
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, terms: int = 16, k1: float = 1.2, b: float = 0.75, shard_docs: int = 8192, query_block: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``query_id``, ``rank``, ``doc_id``, ``score``: the ``k`` documents of ``docs`` with the largest BM25 scores for each row
-    of ``queries``, whose ``terms`` rarest words (see :func:`rarest_terms`) are the query, each once.
-
-    Scores are rounded to 6 decimals, equal ones ranked by id (NULL last).  A query without such a word, or NULL, finds
-    nothing; NULL and empty documents count as documents without words; repeated rows are documents of their own; repeated
-    query ids are one query of all their words."""
-    postings, documents = build_index(docs, shard_docs, id_col, text_col)
-    total = documents.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).first()
-    n_docs, mean = total.n, (total.words or 0) / max(total.n, 1) or 1.0
-    frequencies = postings.groupBy("term").agg(F.sum("df").alias("df"))
-    asked = cut_lineage(rarest_terms(queries, frequencies, terms, id_col=id_col, text_col=text_col), "query-terms")
-    n_queries = asked.select("query_id").distinct().count()
-    blocks = max(1, -(-n_queries // query_block))
+    return text_rows(queries, id_col, text_col).mapInArrow(run, "query_id long, term string").distinct()
+
+
+class Shard:
+    """The postings of the wanted terms of one shard, with the largest score of each list's blocks."""
+
+    def __init__(self, docs: np.ndarray, scores: np.ndarray, term: np.ndarray, n_terms: int, n_docs: int):
+        self.docs, self.scores, self.n_docs = docs, scores, n_docs
+        self.blocks = -(-n_docs // BLOCK_DOCS)
+        key = term * self.blocks + docs // BLOCK_DOCS
+        self.begin = np.searchsorted(key, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
+        full = np.flatnonzero(np.diff(self.begin))
+        most = np.zeros(n_terms * self.blocks)
+        most[full] = np.maximum.reduceat(scores, self.begin[full]) if len(full) else 0
+        self.most = most.reshape(n_terms, self.blocks)
+
+    def best(self, terms: np.ndarray, least: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Documents (numbers) and rounded scores of at least ``least``, which the caller may raise by ``send``."""
+        bound = self.most[terms].sum(axis=0) + 10.0**-DECIMALS
+        order, at, step = np.argsort(-bound, kind="stable"), 0, 2
+        while at < len(order):
+            chosen = order[at : at + step]
+            chosen = chosen[(bound[chosen] >= least) & (bound[chosen] > 2 * 10.0**-DECIMALS)]
+            if not len(chosen):
+                return
+            at, step = at + step, step * 4
+            cell = (terms[:, None] * self.blocks + chosen).ravel()
+            begin, size = self.begin[cell].astype(np.int64), (self.begin[cell + 1] - self.begin[cell]).astype(np.int64)
+            which = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            score = np.round(np.bincount(self.docs[which], self.scores[which], self.n_docs), DECIMALS)
+            found = np.flatnonzero((score >= least) & (score > 0))
+            least = (yield found, score[found]) or least
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``query_id``, ``rank``, ``doc_id``, ``score``: the ``k`` documents of ``docs`` with the largest BM25 scores for each row of
+    ``queries``, all distinct words of whose whole text are the query, each once.
+
+    Scores are rounded to 6 decimals, equal ones ranked by id (NULL last).  A query without a word that a document has, or
+    NULL, finds nothing; NULL and empty documents count as documents without words; repeated rows are documents of their
+    own; repeated query ids (and all NULL ids) are one query of all their words."""
+    spark, index = docs.sparkSession, build_index(docs, shard_docs, id_col, text_col)
+    total = index.agg(F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("words")).first()
+    n_docs, mean = total.n or 0, (total.words or 0) / max(total.n or 0, 1) or 1.0
+    frequencies = index.select(F.explode(F.arrays_zip("terms", "df")).alias("t")).groupBy("t.terms").agg(F.sum("t.df").alias("df"))
+    asked = query_terms(queries, id_col, text_col).join(frequencies, F.col("term") == F.col("terms"))
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    terms_asked = cut_lineage(asked.select("term", "df").distinct(), "asked-terms")
-    few = F.broadcast(terms_asked) if terms_asked.count() <= BROADCAST_TERMS else terms_asked
-    needed = cut_lineage(postings.drop("df").join(few.select("term", idf.alias("idf")), "term"), "asked-postings")
-    index = needed if blocks == 1 else needed.join(asked.select("term", block.alias("block")).distinct(), "term")
-    index = index.withColumn("block", F.lit(0)) if blocks == 1 else index
-    held = needed.select(F.col("term").alias("held"), F.col("shard").alias("at_shard"))
-    wanted = asked.select("query_id", F.col("term").alias("word"), block.alias("at_block")).join(held, F.col("word") == F.col("held"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = {}
-        columns = [left.column(c).to_pylist() for c in ("term", "idf", "docs", "counts", "lengths", "last", "most", "least")]
-        for term, weight, numbers, counts, lengths, last, most, least in zip(*columns):
-
-            def score(tf, size, weight=weight):
-                tf, size = np.asarray(tf, float), np.asarray(size, float)
-                return weight * tf * (k1 + 1) / (tf + k1 * (1 - b + b * size / mean))
-
-            scores, bounds = score(counts, lengths), score(most, least)
-            lists[term] = (numbers, scores.tolist(), float(scores.max()), last, bounds.tolist())
-        own: dict[int, list] = {}
-        for query, term in zip(right.column("query_id").to_pylist(), right.column("word").to_pylist()):
-            own.setdefault(query, []).append(term)
-        shard = left.column("shard")[0].as_py() if left.num_rows else 0
-        out = [(query, shard, number, found) for query, words in own.items() for found, number in block_max_wand([lists[w] for w in sorted(words)], k)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64()]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], ["query_id", "shard", "number", "score"])
-
-    found = index.groupBy("shard", "block").cogroup(wanted.groupBy("at_shard", "at_block")).applyInArrow(run, "query_id long, shard long, number int, score double")
-    named = found.join(documents.select("shard", "number", "doc_id"), ["shard", "number"])
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "shard", "number")  # at most k rows a shard
-    return named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    asked = cut_lineage(asked.select("query_id", "term", idf.alias("idf"), F.xxhash64("query_id").alias("hash")), "asked")
+    blocks = max(1, -(-asked.count() // QUERY_TERMS_AT_ONCE))
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    dealt = index.coalesce(tasks)  # a task reads several shards, so that what it returns doesn't grow with their number
+    found = None
+    for block in range(blocks):
+        rows = asked.where(F.pmod("hash", F.lit(blocks)) == block).select("query_id", "term", "idf").toArrow()  # bounded by QUERY_TERMS_AT_ONCE on average
+        part = cut_lineage(dealt.mapInArrow(_searcher(spark, rows, k, k1, b, mean), "query_id long, doc_id long, score double"), "found")
+        found = part if found is None else found.unionAll(part)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())  # at most k rows a task
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+
+def _searcher(spark, rows: pa.Table, k: int, k1: float, b: float, mean: float):
+    """The search of one block of queries over the shards of a task."""
+    rows = rows.combine_chunks().sort_by([("query_id", "ascending"), ("term", "ascending")])
+    coded = rows.column("term").combine_chunks().dictionary_encode() if rows.num_rows else pa.array([], pa.string()).dictionary_encode()
+    names = coded.dictionary
+    weight = np.zeros(len(names))
+    code = coded.indices.to_numpy().astype(np.int64)
+    weight[code] = rows.column("idf").to_numpy()
+    query, none = rows.column("query_id").fill_null(0).to_numpy(), rows.column("query_id").is_null().to_numpy(zero_copy_only=False) if rows.num_rows else np.zeros(0, bool)
+    begin = np.flatnonzero(np.append(True, (query[1:] != query[:-1]) | (none[1:] != none[:-1]))) if rows.num_rows else np.zeros(0, np.int64)
+    shared = spark.sparkContext.broadcast((names, weight, code, begin, [None if none[i] else int(query[i]) for i in begin]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, weight, code, begin, query_ids = shared.value
+        ends = np.append(begin[1:], len(code))
+        kept = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in query_ids]  # scores, ids, whether the id is NULL
+        for batch in (whole.slice(i, 1) for whole in batches for i in range(whole.num_rows)):
+            ids, lengths, terms, df, docs, counts = (batch.column(c).flatten() for c in ("ids", "lengths", "terms", "df", "docs", "counts"))
+            none, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+            own = pc.index_in(terms, value_set=names).fill_null(-1).to_numpy().astype(np.int64)
+            wanted = own >= 0
+            local = np.full(len(names), -1)
+            local[own[wanted]] = np.arange(wanted.sum())
+            size = df.to_numpy()
+            inside = np.repeat(wanted, size)
+            doc, tf = docs.to_numpy()[inside].astype(np.int64), counts.to_numpy()[inside].astype(float)
+            term = np.repeat(np.arange(wanted.sum()), size[wanted])
+            score = np.repeat(weight[own[wanted]], size[wanted]) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths.to_numpy()[doc] / mean))
+            shard = Shard(doc, score, term, int(wanted.sum()), len(ids))
+            for n, (first, end) in enumerate(zip(begin.tolist(), ends.tolist())):
+                at = local[code[first:end]]
+                at = at[at >= 0]
+                if not len(at):
+                    continue
+                best = kept[n]
+                walk = shard.best(at, best[0][-1] if len(best[0]) == k else 0.0, k)
+                try:
+                    found, value = next(walk)
+                    while True:
+                        best = tuple(np.concatenate(c) for c in zip(best, (value, ids[found], none[found])))
+                        order = np.lexsort((best[1], best[2], -best[0]))[:k]
+                        best = tuple(c[order] for c in best)
+                        found, value = walk.send(best[0][-1] if len(best[0]) == k else 0.0)
+                except StopIteration:
+                    kept[n] = best
+        out = [(q, None if missing else int(i), float(s)) for q, best in zip(query_ids, kept) for s, i, missing in zip(*best)]
+        for at in range(0, len(out), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 50_000]), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "doc_id", "score"])
+
+    return run

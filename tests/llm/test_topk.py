@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from shelfspark.llm import topk
@@ -17,29 +18,50 @@ def oracle(table, rows):
 
 @pytest.mark.parametrize("seed", range(25))
 def test_block_max_wand_is_exact(seed):
+    """A shard's walk gives the best of all scores, whatever is known before, and reads less than all blocks."""
     rng = random.Random(seed)
-    lists, total = [], {}
-    for _ in range(rng.randint(1, 6)):
-        numbers = sorted(rng.sample(range(800), rng.randint(1, 500)))
-        scores = [round(rng.choice([0.5, 1.0, rng.random() * 3]), 3) for _ in numbers]
-        last = [numbers[min(k + 63, len(numbers) - 1)] for k in range(0, len(numbers), 64)]
-        most = [max(scores[k : k + 64]) for k in range(0, len(numbers), 64)]
-        lists.append((numbers, scores, max(scores), last, most))
-    for numbers, scores, *_ in lists:
-        for n, s in zip(numbers, scores):
-            total[n] = total.get(n, 0) + s
-    want = sorted(((round(s, 6), n) for n, s in total.items()), key=lambda x: (-x[0], x[1]))[:10]
-    assert sorted(topk.block_max_wand(lists, 10), key=lambda x: (-x[0], x[1])) == want
-
-
-@pytest.mark.parametrize("shard_docs,query_block", [(8192, 65536), (7, 2)])
-def test_matches_sql(spark, shard_docs, query_block):
+    n_terms, n_docs = rng.randint(1, 6), rng.choice([1, 100, 900, 5000])
+    rows = sorted((t, d) for t in range(n_terms) for d in rng.sample(range(n_docs), rng.randint(0, n_docs)))
+    scores = np.array([round(rng.choice([0.5, 1.0, rng.random() * 3]) * (1 + 3 * (d < 50)), 3) for _, d in rows])
+    term, doc = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    shard = topk.Shard(doc, scores, term, n_terms, n_docs)
+    asked = np.array(sorted(rng.sample(range(n_terms), rng.randint(1, n_terms))))
+    total = {}
+    for t, d, s in zip(term.tolist(), doc.tolist(), scores.tolist()):
+        if t in asked:
+            total[d] = total.get(d, 0) + s
+    want = sorted(((round(s, 6), d) for d, s in total.items()), key=lambda x: (-x[0], x[1]))[:10]
+    found, least, walk = [], 0.0, shard.best(asked, 0.0, 10)
+    try:
+        docs, values = next(walk)
+        while True:
+            found = sorted(found + list(zip(values.tolist(), docs.tolist())), key=lambda x: (-x[0], x[1]))[:10]
+            docs, values = walk.send(found[-1][0] if len(found) == 10 else 0.0)
+    except StopIteration:
+        pass
+    assert found == [(pytest.approx(s, abs=1.1e-6), d) for s, d in want]
+
+
+def test_blocks_below_the_threshold_are_not_read():
+    doc = np.arange(10_000)
+    shard = topk.Shard(doc, np.where(doc < 20, 9.0, 1.0), np.zeros(10_000, np.int64), 1, 10_000)
+    walk = shard.best(np.array([0]), 5.0, 10)
+    docs, _ = next(walk)
+    assert docs.tolist() == list(range(20))
+    with pytest.raises(StopIteration):
+        walk.send(9.0)
+
+
+@pytest.mark.parametrize("shard_docs,at_once", [(8192, 500_000), (7, 40)])
+def test_matches_sql(spark, shard_docs, at_once, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_TERMS_AT_ONCE", at_once)
+    monkeypatch.setattr(topk, "BLOCK_DOCS", 3 if shard_docs == 7 else 128)
     rng = random.Random(2)
     words = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 4))) for _ in range(80)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 60)))) for i in range(20, 160)]
     rows += [(d, t) for d, t in EDGES if d is not None] + [(i, rows[20][1]) for i in range(200, 230)]
     docs = documents(spark, rows)
-    got = topk.search(docs, docs.where("doc_id % 20 = 0"), shard_docs=shard_docs, query_block=query_block)
+    got = topk.search(docs, docs.where("doc_id % 20 = 0"), shard_docs=shard_docs)
     assert sorted(tuple(r) for r in got.collect()) == sorted(oracle("documents", rows))
 
 
@@ -47,5 +69,6 @@ def test_query_and_empty(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = QUERIES["op8_exact_top_k"](spark, "/root/testdata/sf0.001").collect()
     assert sorted(tuple(r) for r in got) == sorted(oracle("documents", rows))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") not in ("", "-1")  # index rows are large
     none = empty(spark)
     assert topk.search(none, none).count() == 0 and topk.search(documents(spark, EDGES), none).count() == 0
