@@ -126,12 +126,13 @@ class BlindTrie:
                 yield node
 
 
-def _multikey_quicksort(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``starts`` by their first ``depth`` bytes (a multiple of 8), and (first, end) of the groups in it
-    that are still equal.  All groups are partitioned side by side: below, equal to and above the eight bytes of a pivot at the
+def _multikey_quicksort(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the suffixes at ``starts``, within each run of ``sizes``, by their first ``depth`` bytes (a multiple of 8), and
+    (first, end) of the groups in it that are still equal.  All groups are partitioned side by side: below, equal to and above the eight bytes of a pivot at the
     group's depth; the equal part goes eight bytes deeper."""
     order = np.arange(len(starts))
-    first, size, level = (np.array([v], np.int64) for v in (0, len(starts), 0))
+    first, size = (np.cumsum(sizes) - sizes)[sizes > 1], sizes[sizes > 1]
+    level = np.zeros(len(size), np.int64)
     deep_first, deep_size = [], []
     while len(first):
         at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -157,9 +158,9 @@ def _multikey_quicksort(words: np.ndarray, starts: np.ndarray, depth: int) -> tu
     return order, begin, begin + size
 
 
-def sorted_suffixes(data: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, equal): the suffixes at ``starts`` by their first ``length`` bytes, and whether each is equal in them to the one
-    before it in that order.  Multikey quicksort to the shallow depth; a blind trie orders each group left."""
+def sorted_suffixes(data: bytes, starts: np.ndarray, length: int, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, equal): the suffixes at ``starts`` by their first ``length`` bytes (within runs of ``sizes``, if given), and
+    whether each is equal in them to the one before it in that order.  Multikey quicksort to the shallow depth; a blind trie orders each group left."""
     equal = np.zeros(len(starts), bool)
     if len(starts) < 2:
         return np.arange(len(starts)), equal
@@ -167,7 +168,7 @@ def sorted_suffixes(data: bytes, starts: np.ndarray, length: int) -> tuple[np.nd
     words = np.zeros(len(raw) - 7, np.uint64)
     for k in range(8):
         words |= raw[k : k + len(words)] << np.uint64(56 - 8 * k)
-    order, begin, end = _multikey_quicksort(words, starts, min(SHALLOW, length // 8 * 8))
+    order, begin, end = _multikey_quicksort(words, starts, np.array([len(starts)]) if sizes is None else sizes, min(SHALLOW, length // 8 * 8))
     for a, b in zip(begin.tolist(), end.tolist()):
         members, trie = order[a:b], BlindTrie(data, length)
         number = dict(zip(starts[members].tolist(), members.tolist()))
@@ -180,10 +181,10 @@ def sorted_suffixes(data: bytes, starts: np.ndarray, length: int) -> tuple[np.nd
     return order, equal
 
 
-def repeated_suffixes(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of the suffixes at the (distinct) ``starts`` share their first ``length`` bytes with another of them, that is, with
-    a neighbour in their order."""
-    order, equal = sorted_suffixes(data, starts, length)
+def repeated_suffixes(data: bytes, starts: np.ndarray, length: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Which of the suffixes at the (distinct) ``starts`` share their first ``length`` bytes with another of them (of their run),
+    that is, with a neighbour in their order."""
+    order, equal = sorted_suffixes(data, starts, length, sizes)
     repeated = np.zeros(len(starts), bool)
     repeated[order] = equal | np.append(equal[1:], False)[: len(equal)]
     return repeated
@@ -231,7 +232,9 @@ def _sorted_contexts(length: int, at_once: int = 1 << 20):
         base = np.cumsum(lengths) - lengths
         counts = lengths - length + 1
         starts = np.repeat(base - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        flags = repeated_suffixes(b"".join(r[-1] for r in rows), starts, length)
+        anchor = np.array([r[4] for r in rows], np.int64)  # equal windows have equal anchors
+        sizes = np.add.reduceat(counts, np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])))
+        flags = repeated_suffixes(b"".join(r[-1] for r in rows), starts, length, sizes)
         begin = 0
         for (k1, k2, first, times, _, _), n in zip(rows, counts.tolist()):
             if times == 1:
