@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfspark import config as C
 from shelfspark.operators import aggregates as A
+from shelfspark.operators import density as D
 from shelfspark.plans import stages
 from shelfspark.plans.catalog import register, stage_sql
 
@@ -379,3 +380,32 @@ def _set_digits() -> None:
 
 
 _set_digits()
+
+
+#: Columns of the density plots.
+DENSITY_COLUMNS = ["Weekly_Sales", "Temperature", "Unemployment", "TotalMarkDown"]
+DENSITY_POINTS = 200
+
+
+def _density_sql() -> str:
+    """The direct sum over all rows at every point."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST(Sales_Class AS VARCHAR) AS own, CAST({c} AS DOUBLE) AS v FROM eda WHERE {c} IS NOT NULL" for c in DENSITY_COLUMNS)
+    extra = f"""long AS MATERIALIZED ({long}),
+grouped AS MATERIALIZED (SELECT "column", own AS grp, v FROM long WHERE own IS NOT NULL UNION ALL SELECT "column", 'all', v FROM long),
+stats AS MATERIALIZED (SELECT "column", grp, count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2) AS h FROM grouped GROUP BY ALL),
+axis AS (SELECT "column", lo - 3 * h AS start, (hi - lo + 6 * h) / {DENSITY_POINTS - 1} AS gap, sd AS whole_sd FROM stats WHERE grp = 'all' AND h > 0),
+places AS (SELECT s."column", s.grp, n, h, start, gap, whole_sd, point, start + point * gap AS x FROM stats s JOIN axis a ON s."column" = a."column", range({DENSITY_POINTS}) r(point) WHERE h > 0),
+freq AS MATERIALIZED (SELECT "column", grp, v, count(*) AS times FROM grouped GROUP BY ALL)"""
+    return stage_sql(
+        """SELECT p."column", p.grp AS "group", CAST(p.point AS INTEGER) AS point, any_value(p.x) AS x,
+    sum(times * exp(-0.5 * ((p.x - f.v) / h) * ((p.x - f.v) / h))) / any_value(n * h * sqrt(2 * pi())) * any_value(whole_sd) AS scaled
+FROM places p JOIN freq f ON f."column" = p."column" AND f.grp = p.grp GROUP BY p."column", p.grp, p.point""",
+        extra,
+    )
+
+
+@register("d19_density_curves", _density_sql(), round_cols=[("x", 6), ("scaled", 4)])
+def d19(spark, sf_dir):
+    """Density curves of sales and of the features of the pair plot, whole and by class."""
+    out = D.density_curves(_eda(spark, sf_dir), DENSITY_COLUMNS, by="Sales_Class", points=DENSITY_POINTS)
+    return out.select("column", "group", "point", "x", "scaled")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfspark import config as C
 from shelfspark.operators import cleaning as P
 from shelfspark.operators import gridsearch as GS
+from shelfspark.operators import logistic as LR
 from shelfspark.operators import metrics as M
 from shelfspark.operators import models as ML
 from shelfspark.operators import neighbours as KN
@@ -373,9 +374,26 @@ def m1(spark, sf_dir):
 @register("m2_m7_logistic_regression", None)
 def m2(spark, sf_dir):
     """M2 logistic regression (C = 1) trained on train, M7 scored on test."""
-    train, test = _train_test(spark, sf_dir)
-    model = ML.logistic(C.SELECTED_FEATURES, train.count()).fit(train)
-    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "logistic_regression")
+    _, test = _train_test(spark, sf_dir)
+    return _evaluate(_logistic(spark, sf_dir).score(test), "logistic_regression")
+
+
+def _logistic(spark, sf_dir):
+    """The M2 model, fitted once per application and folder: M7 and M14 read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, "logistic")
+    if key not in _PREPARED:
+        _PREPARED[key] = LR.fit_logistic(_train_test(spark, sf_dir)[0], C.SELECTED_FEATURES)
+    return _PREPARED[key]
+
+
+@register(
+    "m2_newton_optimum",
+    " UNION ALL ".join(f"SELECT '{f}' AS feature, TRUE AS is_optimum" for f in [*C.SELECTED_FEATURES, "(intercept)"]),
+)
+def m2b(spark, sf_dir):
+    """M2: at the fitted coefficients the penalised loss over all training rows has no slope in any direction (SQL aggregates)."""
+    slopes = LR.gradient_at(_train_test(spark, sf_dir)[0], _logistic(spark, sf_dir))
+    return slopes.select("feature", (F.abs("gradient") < 1e-6).alias("is_optimum"))
 
 
 #: Labelled rows that the forest and the grid search are fitted on at most; every test row is scored.
@@ -466,16 +484,40 @@ def m6b(spark, sf_dir):
 @register("m14_feature_importance", None)
 def m14(spark, sf_dir):
     """Impurity importances (the M4 boosted trees) and |coefficients| (logistic)."""
-    train, _ = _train_test(spark, sf_dir)
-    lr = ML.logistic(C.SELECTED_FEATURES, train.count()).fit(train)
-    return ML.importances(_boosted(spark, sf_dir), C.SELECTED_FEATURES, "boosted_trees").unionByName(ML.importances(lr, C.SELECTED_FEATURES, "logistic_regression"))
+    lr = _logistic(spark, sf_dir)
+    linear = spark.createDataFrame([("logistic_regression", f, abs(w)) for f, w in zip(lr.features, lr.coefficients)], "model string, feature string, importance double")
+    return ML.importances(_boosted(spark, sf_dir), C.SELECTED_FEATURES, "boosted_trees").unionByName(linear)
 
 
 @register("m15_permutation_importance", None)
 def m15(spark, sf_dir):
-    """Fall of accuracy on the test rows when one feature's values are dealt out anew."""
+    """Fall of R² on the test rows when one feature's values are dealt out anew (boosted regressor of the class)."""
+    train, test = _train_test(spark, sf_dir)
+    model = ML.boosted_regressor(C.SELECTED_FEATURES).fit(train)
+    return ML.permutation_importance(model, test, C.SELECTED_FEATURES)
+
+
+@register(
+    "m15_permuted_columns",
+    " UNION ALL ".join(f"SELECT '{f}' AS feature, TRUE AS same_values, TRUE AS moved" for f in C.SELECTED_FEATURES),
+)
+def m15b(spark, sf_dir):
+    """Each permuted column holds the values of its feature, each as often (sums of two hashes), in other places."""
     _, test = _train_test(spark, sf_dir)
-    return ML.permutation_importance(_boosted(spark, sf_dir), test, C.SELECTED_FEATURES)
+    rows = ML.permuted(test.select(*C.SELECTED_FEATURES), C.SELECTED_FEATURES)
+
+    def sums(c):
+        return [F.sum(F.xxhash64(F.lit(s), F.col(c)).cast("decimal(38,0)")) for s in (1, 2)]
+
+    parts = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            ((sums(f)[0] == sums(f"{f}__perm")[0]) & (sums(f)[1] == sums(f"{f}__perm")[1])).alias("same_values"),
+            (F.count_if(~F.col(f).eqNullSafe(F.col(f"{f}__perm"))) > 0).alias("moved"),
+        )
+        for f in C.SELECTED_FEATURES
+    ]
+    return rows.agg(F.array(*parts).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
 @register("m16_load_or_train", None)
