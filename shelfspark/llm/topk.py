@@ -32,8 +32,8 @@ BLOCK_DOCS = 128
 #: Scores are compared after rounding to this many decimals; equal scores go to the smaller id.
 DECIMALS = 6
 #: (query, term) rows that are searched at a time.
-QUERY_TERMS_AT_ONCE = 500_000
-SHARD_WORDS = 4_000_000
+QUERY_TERMS_AT_ONCE = 300_000
+SHARD_WORDS = 2_000_000
 INDEX = "shard long, ids array<long>, lengths array<int>, terms array<string>, df array<int>, docs array<int>, counts array<int>"
 
 
@@ -56,7 +56,7 @@ def _inverted(shard: int, rows: list[tuple], vocabulary: dict[str, int]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, kinds)], [c.split()[0] for c in INDEX.split(", ")])
 
 
-def build_index(docs: DataFrame, shard_docs: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, shard_docs: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The index rows.  A shard ends after ``shard_docs`` documents or ``SHARD_WORDS`` words.  Its number holds the task's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ class Shard:
             least = (yield found, score[found]) or least
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, shard_docs: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``query_id``, ``rank``, ``doc_id``, ``score``: the ``k`` documents of ``docs`` with the largest BM25 scores for each row of
     ``queries``, all distinct words of whose whole text are the query, each once.
 
