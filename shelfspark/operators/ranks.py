@@ -25,8 +25,10 @@ into value chunks:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,10 +164,78 @@ def column_quantiles(
     method: str = "exact",
 ) -> DataFrame:
     """Quantiles of several columns in one pass: (*groups, column, p, q)."""
+    if not groups and method == "exact":
+        return _whole_quantiles(df, list(columns), [float(p) for p in probs])
     long = unpivot_numeric(df, columns, list(groups))
     return group_quantiles(long, "value", probs, [*groups, "column"], method=method)
 
 
+#: Pieces that the values inside a bracket are cut into.
+BRACKET_CHUNKS = 256
+#: Pieces for the values below a bracket and at its ends.
+BELOW, LOW, HIGH = -2, -1, BRACKET_CHUNKS
+
+
+def _whole_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
+    """(column, p, q) over the whole table, without turning rows into cells.
+
+    One wide aggregate gives the brackets (one row, which is collected).  A second pass over the columns as arrays counts, by
+    column and probability, the values below, at and between the ends of the bracket; only values strictly between the ends
+    leave a task, counted by value and cut into ``BRACKET_CHUNKS`` equal pieces of the bracket.  The pieces' sums tell which
+    piece holds the rank, and only that one is numbered.  A rank outside its bracket stops the query."""
+    margin = 2.0 / accuracy
+    edges = [x for p in probs for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    names = [f"v{i}" for i in range(len(columns))]
+    src = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    row = src.agg(*[x for n in names for x in (F.count(n).alias(f"{n}n"), F.min(n).alias(f"{n}a"), F.max(n).alias(f"{n}z"), F.percentile_approx(n, edges, accuracy).alias(f"{n}e"))]).first()
+    wanted = []
+    for i, n in enumerate(names):
+        for k, p in enumerate(probs):
+            if row[f"{n}n"]:
+                lo, hi = (row[f"{n}a"], row[f"{n}z"]) if row[f"{n}n"] <= accuracy else row[f"{n}e"][2 * k : 2 * k + 2]
+                wanted.append((i, k, columns[i], p, p * (row[f"{n}n"] - 1), float(lo), float(hi)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outside: dict[tuple, int] = {}
+        for batch in batches:
+            cells = []
+            for i, k, _, _, _, lo, hi in wanted:
+                x = batch.column(i).drop_null().to_numpy()
+                sides = ((BELOW, lo, int((x < lo).sum())), (LOW, lo, int((x == lo).sum())), (HIGH, hi, int((x == hi).sum()) if hi > lo else 0))
+                for chunk, at, times in sides:
+                    if times:
+                        outside[i, k, chunk, at] = outside.get((i, k, chunk, at), 0) + times
+                between, times = np.unique(x[(x > lo) & (x < hi)], return_counts=True)
+                if len(between):
+                    chunk = np.clip((between / 2 - lo / 2) / (hi / 2 - lo / 2) * BRACKET_CHUNKS, 0, BRACKET_CHUNKS - 1).astype(np.int32)
+                    cells.append((np.full(len(between), i, np.int32), np.full(len(between), k, np.int32), chunk, between, times))
+            if cells:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cells)], ["i", "k", "chunk", "x", "n"])
+        rows = [(*key, n) for key, n in outside.items()]
+        if rows:
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["i", "k", "chunk", "x", "n"])
+
+    freq = src.mapInArrow(run, "i int, k int, chunk int, x double, n long").groupBy("i", "k", "chunk", "x").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("i", "k").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = freq.groupBy("i", "k", "chunk").agg(F.sum("n").alias("size")).withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    ranks = df.sparkSession.createDataFrame([w[:5] for w in wanted], "i int, k int, column string, p double, pos double")
+
+    def holds(rank: Column, at: str, size: str) -> Column:
+        return (F.col(at) <= rank) & (rank < F.col(at) + F.col(size))
+
+    low, high = F.floor("pos"), F.ceil("pos")
+    sums = sums.join(F.broadcast(ranks), ["i", "k"]).where(holds(low, "offset", "size") | holds(high, "offset", "size")).drop("size")
+    own = Window.partitionBy("i", "k", "chunk").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    near = freq.join(F.broadcast(sums), ["i", "k", "chunk"])  # at most two pieces for each column and probability
+    near = near.withColumn("below", F.col("offset") + F.coalesce(F.sum("n").over(own), F.lit(0)))
+    missed = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
+    value = F.when(F.col("chunk") == BELOW, missed).otherwise(F.col("x"))
+    ends = near.groupBy("column", "p", "pos").agg(F.max(F.when(holds(low, "below", "n"), value)).alias("lo"), F.max(F.when(holds(high, "below", "n"), value)).alias("hi"))
+    lo = F.when(F.col("lo").isNull() | F.col("hi").isNull(), missed).otherwise(F.col("lo"))
+    return ends.select("column", "p", (lo + (F.col("pos") - low) * (F.col("hi") - F.col("lo"))).alias("q"))
+
+
 def quantiles_wide(
     df: DataFrame,
     columns: Sequence[str],
