@@ -19,41 +19,49 @@ from pyspark.sql import functions as F
 from shelfspark import config as C
 from shelfspark.functions.pvalues import r_pvalue_udf, t_pvalue_udf
 from shelfspark.operators.common import present
-from shelfspark.operators.ranks import attach_average_rank, unpivot_numeric
+from shelfspark.operators.ranks import average_ranks, unpivot_numeric
 
 def pearson(df: DataFrame, a: str, b: str) -> Column:
     """Pearson r aggregate of two columns (rows where either is NULL are skipped)."""
     return F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
 
 
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(a, b, spearman_r) of each pair: average ranks of each column's values, on the rows that have both.
+
+    Ranks come from the columns' frequency tables and meet the pairs' joint frequency tables (a hot value is one row in the
+    one and as many as it has partners in the other); the table itself is not joined.  NULL where a rank does not vary."""
+    columns = sorted({c for p in pairs for c in p})
+    long = unpivot_numeric(df, columns).where("value IS NOT NULL")
+    ranks = average_ranks(long, "value", ["column"]).select("column", "value", (F.col("avg_rank") - (F.col("n_group") + 1) / 2.0).alias("d"))
+    both = F.array(*[
+        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
+        for a, b in pairs
+    ])
+    joint = df.select(F.explode(F.array_compact(both)).alias("p")).groupBy("p.a", "p.b", "p.x", "p.y").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    for name, value, out in (("a", "x", "da"), ("b", "y", "db")):
+        own = ranks.select(F.col("column").alias("_c"), F.col("value").alias("_v"), F.col("d").alias(out))
+        joint = joint.join(own, (F.col(name) == F.col("_c")) & (F.col(value) == F.col("_v"))).drop("_c", "_v")
+    n, a, b = F.col("n"), F.col("da"), F.col("db")
+    sums = joint.groupBy("a", "b").agg(*[F.sum(e).alias(k) for k, e in (("s", n), ("sa", n * a), ("sb", n * b), ("ab", n * a * b), ("aa", n * a * a), ("bb", n * b * b))])
+    square = (F.col("s") * F.col("aa") - F.col("sa") * F.col("sa")) * (F.col("s") * F.col("bb") - F.col("sb") * F.col("sb"))
+    return sums.select("a", "b", F.when(square > 0, (F.col("s") * F.col("ab") - F.col("sa") * F.col("sb")) / F.sqrt(square)).alias("spearman_r"))
+
+
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], spearman: bool = True) -> DataFrame:
     """(a, b, n, pearson_r, spearman_r) for each pair, on the rows given (complete cases
     are the caller's choice, as in Q25)."""
     pairs = list(pairs)
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, n long, pearson_r double, spearman_r double")
-    data = df
-    if spearman:
-        for c in sorted({c for p in pairs for c in p}):
-            data = attach_average_rank(data, c, f"_rk_{c}")
     exprs = []
     for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        exprs += [F.count_if(both).alias(f"n{i}"), pearson(data, a, b).alias(f"p{i}")]
-        if spearman:
-            exprs.append(F.corr(F.col(f"_rk_{a}"), F.col(f"_rk_{b}")).alias(f"s{i}"))
-    w = data.agg(*exprs)
-    structs = [
-        F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            F.col(f"n{i}").alias("n"),
-            F.col(f"p{i}").alias("pearson_r"),
-            (F.col(f"s{i}") if spearman else F.lit(None).cast("double")).alias("spearman_r"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return w.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+        exprs += [F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n{i}"), pearson(df, a, b).alias(f"p{i}")]
+    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"n{i}").alias("n"), F.col(f"p{i}").alias("pearson_r")) for i, (a, b) in enumerate(pairs)]
+    out = df.agg(*exprs).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+    if not spearman:
+        return out.withColumn("spearman_r", F.lit(None).cast("double"))
+    return out.join(spearman_pairs(df, pairs), ["a", "b"], "left")
 
 
 def with_r_pvalue(df: DataFrame, r: str = "pearson_r", n: str = "n", out: str = "p_value") -> DataFrame:

@@ -25,6 +25,7 @@ from shelfspark import config as C
 from shelfspark.functions.moments import sample_skew
 from shelfspark.operators.common import fixed_round, one_row_concat, pct, present
 from shelfspark.operators.ranks import quantiles_wide
+from shelfspark.session import cut_lineage
 
 ROW_SCHEMA = "dimension string, check string, column string, status string, metric string, value double, text string"
 
@@ -353,6 +354,10 @@ def check_consistency(
     return _emit(w, "Consistency", rows)
 
 
+#: Hashes (16 bytes each) that are broadcast.
+BROADCAST_HASHES = 1_000_000
+
+
 # --- 4 uniqueness (Q18–Q20) -----------------------------------------------------------------
 def duplicate_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first per key (NULLs equal): one groupBy shuffle, map-side combined."""
@@ -367,20 +372,26 @@ def check_uniqueness(
 ) -> DataFrame:
     has_key = all(c in df.columns for c in key)
     has_fp = all(c in df.columns for c in fingerprint)
-    full = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    # a row's two hashes are counted; only rows whose hashes come twice are compared as a whole
+    hashes = {"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)}
+    hashed = df.select(*[h.alias(n) for n, h in hashes.items()]).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_rows"))
+    again = cut_lineage(hashed.where("_rows > 1").select("_h1", "_h2"), "repeated-hashes")
+    few = F.broadcast(again) if again.count() <= BROADCAST_HASHES else again
+    suspects = df.withColumns(hashes).join(few, ["_h1", "_h2"], "left_semi")
+    full = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
 
     def beyond_first(counted: DataFrame, name: str) -> DataFrame:
         return counted.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias(name))
 
-    # the full-row counts are grouped again by the shorter keys: rows are shuffled whole only once
-    parts = [full.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_n"), F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("_full"))]
-    shorter = full
+    parts = [df.agg(F.count(F.lit(1)).alias("_n")), beyond_first(full, "_full")]
+    shorter = df
     if has_fp:
-        shorter = full.groupBy(*fingerprint).agg(F.sum("_rows").alias("_rows"))
+        shorter = df.groupBy(*fingerprint).agg(F.count(F.lit(1)).alias("_rows"))
         parts.append(beyond_first(shorter, "_fp"))
     if has_key:
-        source = shorter if has_fp and set(key) <= set(fingerprint) else full
-        parts.append(beyond_first(source.groupBy(*key).agg(F.sum("_rows").alias("_rows")), "_key"))
+        nested = has_fp and set(key) <= set(fingerprint)
+        rows = F.sum("_rows") if nested else F.count(F.lit(1))
+        parts.append(beyond_first((shorter if nested else df).groupBy(*key).agg(rows.alias("_rows")), "_key"))
     w = one_row_concat(*parts)
     nn = F.col("_n")
     rows = [

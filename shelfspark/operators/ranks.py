@@ -262,14 +262,3 @@ def average_ranks(df: DataFrame, value: str, groups: Sequence[str] = ()) -> Data
     """(groups, value, n, avg_rank) with 1-based average ranks for ties."""
     rt = rank_table(df, value, groups)
     return rt.select(*groups, value, "n", "n_group", (F.col("below") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
-
-
-def attach_average_rank(df: DataFrame, value: str, out: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Add ``out`` = average rank of ``value`` within its group (NULL stays NULL)."""
-    ranks = average_ranks(df, value, groups).select(
-        *[F.col(c).alias(f"_r_{c}") for c in groups], F.col(value).alias("_r_v"), F.col("avg_rank").alias(out)
-    )
-    cond = df[value] == ranks["_r_v"]
-    for c in groups:
-        cond = cond & df[c].eqNullSafe(ranks[f"_r_{c}"])
-    return df.join(ranks, cond, "left").drop("_r_v", *[f"_r_{c}" for c in groups])
