@@ -22,8 +22,11 @@ from shelfspark.operators.common import present
 from shelfspark.operators.ranks import average_ranks, unpivot_numeric
 
 def pearson(df: DataFrame, a: str, b: str) -> Column:
-    """Pearson r aggregate of two columns (rows where either is NULL are skipped)."""
-    return F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    """Pearson r aggregate of two columns (rows where either is NULL are skipped; NULL where one does not vary)."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.covar_pop(x, y) / F.nullif(F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)), F.lit(0.0))
 
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfspark import config as C
 from shelfspark.operators import cleaning as P
+from shelfspark.operators import forest as RF
 from shelfspark.operators import gridsearch as GS
 from shelfspark.operators import logistic as LR
 from shelfspark.operators import metrics as M
@@ -397,16 +398,17 @@ def m2b(spark, sf_dir):
 
 
 #: Labelled rows that the forest and the grid search are fitted on at most; every test row is scored.
-FOREST_FIT_ROWS = 1_000
-GRID_FIT_ROWS = 2_000
+FOREST_FIT_ROWS = 4_000
+GRID_FIT_ROWS = 4_000
 
 
 @register("m3_random_forest", None)
 def m3(spark, sf_dir):
-    """M3 random forest (200 trees, depth 30, leaf ≥ 1) on the selected features, fitted on FOREST_FIT_ROWS rows at most."""
+    """M3 random forest (200 trees, depth 30, no node of fewer than 5 rows split) on the selected features, fitted on
+    FOREST_FIT_ROWS rows at most."""
     train, test = _train_test(spark, sf_dir)
     model = ML.random_forest(C.SELECTED_FEATURES).fit(ML.fit_sample(train, FOREST_FIT_ROWS))
-    return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "random_forest")
+    return _evaluate(RF.BoundedForest(model, C.SELECTED_FEATURES, min_split=5).score(test), "random_forest")
 
 
 def _boosted(spark, sf_dir):
@@ -432,7 +434,7 @@ def m5(spark, sf_dir):
     best = GS.best_parameters(scores)
     weighted = ML.with_class_weight(train, best["scale_pos_weight"])
     model = ML.boosted_trees(
-        C.SELECTED_FEATURES, max_depth=int(best["max_depth"]), step=best["learning_rate"], min_info_gain=best["gamma"] / GRID_FIT_ROWS, weight="_w"
+        C.SELECTED_FEATURES, max_depth=int(best["max_depth"]), step=best["learning_rate"], min_info_gain=best["gamma"] / max(train.count(), 1), weight="_w"
     ).fit(weighted)
     return _evaluate(ML.score(model, test, C.SELECTED_FEATURES), "boosted_trees_cv")
 

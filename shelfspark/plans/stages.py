@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.operators import cleaning, features
+from shelfspark.operators import cleaning, features, joins
 from shelfspark.session import cut_lineage
 from shelfspark.sources import retail_view as rv
 
@@ -31,8 +31,17 @@ def _stage(spark: SparkSession, sf_dir: str, stage: str, build) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Acquire stage: the 20-column merged table."""
-    return _stage(spark, sf_dir, "merged", lambda: rv.merged(spark, sf_dir))
+    """Acquire stage: the 20-column merged table; J7 holds its row count against that of the facts."""
+
+    def build() -> DataFrame:
+        written = cut_lineage(rv.merged(spark, sf_dir), "merged")
+        joins.assert_same_rows(rv.facts(spark, sf_dir), written, "stores and series")
+        return written
+
+    k = _key(spark, sf_dir, "merged")
+    if k not in _CACHE:
+        _CACHE[k] = build()
+    return _CACHE[k]
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
