@@ -33,6 +33,8 @@ from shelfspark.session import cut_lineage
 
 MAGIC = b"EFTOK001"
 SAMPLE = 256
+#: Documents read back at a time.
+READ_DOCS = 1024
 #: Text that a file is made of.
 FILE_BYTES = 512 << 20
 #: bytes an id, documents, documents without id, first document id, then (place, count, low bits, low bytes, high bytes) twice
@@ -181,8 +183,8 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
             for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist()):
                 with fs.open_input_file(path) as source:
                     reader = TokenFileReader(source)
-                    for first in range(0, reader.n_docs, SAMPLE):
-                        rows = [(d, before + a, len(ids) // 4, zlib.crc32(ids)) for d, a, ids in reader.documents(first, min(first + SAMPLE, reader.n_docs))]
+                    for first in range(0, reader.n_docs, READ_DOCS):
+                        rows = [(d, before + a, len(ids) // 4, zlib.crc32(ids)) for d, a, ids in reader.documents(first, min(first + READ_DOCS, reader.n_docs))]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 #: Text handled at a time.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 12 << 20
 #: A piece that is empty or begins with white space (or a control) does not end the run of white space before it.
 JOINED = r"^$|^[\x00-\x20\x7f-\xa0\x{180e}\x{200b}\p{Z}]"
 CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0᠎​])")
@@ -131,22 +131,35 @@ class ChunkEncoder:
         return chunks - found
 
     def _learn(self, chunks: set[str]) -> None:
-        memo = self.memo
-        chunks = self._known(chunks)
-        lines = {c: INNER.findall(c) for c in chunks if c.split() != [c.removeprefix(" ")] and not ODD_SPACE.search(c)}
-        words = {w for w in {*chain.from_iterable(lines.values()), *(chunks - lines.keys())}.difference(memo)}
-        split = {}
-        for w in words:
-            body = w.rstrip(MARKS)
-            if len(body) < len(w) and body.removeprefix(" ").isalpha():
-                split[w] = body, w[len(body) :]
-        new = self._known({*chain.from_iterable(split.values()), *(words - split.keys())}.difference(memo))
-        sign = self.separator.strip() or self.separator
-        plain = [c for c in new if sign and sign not in c and c.split() == [c.removeprefix(" ")]]  # no white space but a first space
-        rest = list(new.difference(plain))
-        memo.update(zip(plain, self._together(plain)))
+        memo, sign = self.memo, self.separator.strip() or self.separator
+        plain, rest, split, lines = set(), set(), {}, {}
+
+        def place(word: str) -> None:
+            if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
+                plain.add(word)
+            elif word.split() != [word.removeprefix(" ")]:
+                rest.add(word)
+            else:
+                body = word.rstrip(MARKS)
+                if len(body) < len(word) and body.removeprefix(" ").isalpha():
+                    split[word] = body, word[len(body) :]
+                else:
+                    (rest if not sign or sign in word else plain).add(word)
+
+        for chunk in self._known(chunks):
+            if not (chunk[1:].isalpha() and chunk[0] == " ") and chunk.split() != [chunk.removeprefix(" ")] and not ODD_SPACE.search(chunk):
+                lines[chunk] = INNER.findall(chunk)
+            else:
+                place(chunk)
+        for word in set(chain.from_iterable(lines.values())).difference(memo):
+            place(word)
+        for body, tail in split.values():
+            plain.add(body)
+            (rest if not sign or sign in tail else plain).add(tail)
+        plain, rest = (list(self._known(found.difference(memo))) for found in (plain, rest))
+        memo.update(zip(plain, self._together(plain) if sign else self._whole(plain)))
         memo.update(zip(rest, self._whole(rest)))
-        memo.update((c, memo[word] + memo[end]) for c, (word, end) in split.items())
+        memo.update((c, memo[body] + memo[tail]) for c, (body, tail) in split.items())
         memo.update((c, b"".join(map(memo.__getitem__, parts))) for c, parts in lines.items())
 
     def _batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
