@@ -24,17 +24,20 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @query
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near copies (2 bits or fewer apart) of every document; texts without words have fingerprint 0."""
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, tau=2)
     return out.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in sequences of 2,048 tokens; a NULL text is its end id alone."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 200-byte strings that start elsewhere too; NULL is empty."""
     out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=200)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -49,6 +52,7 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
 
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones outside fold 2 of 4; NULL and empty texts are scored too."""
     docs = read_table(spark, sf_dir, "documents")
     out = toxicity.toxicity(docs, toxicity_model(spark, docs, sf_dir))
     held_out = F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -57,6 +61,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document; NULL is empty, without phrases the places are NULL."""
     return licenses.scan(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
@@ -69,6 +74,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside fold 1 of 3; NULL and texts without a letter are ``und``."""
     docs, fold = read_table(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 3)
     out = langid.identify(docs, train=fold != 1)
     return out.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
@@ -76,11 +82,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair whose passage the document holds, re-parameterised or not."""
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 @query
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, number and checksum of every document's ids, read back from the written token files; NULL is empty."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     files = tokenfile.write_token_files(read_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenfile.read_token_files(files, folder)
