@@ -5,9 +5,14 @@ longest phrases that the automaton recognises; a text in the language needs few
 The normalised number of phrases, ``phrases * log2(training symbols) / symbols``, estimates the bits a symbol costs when
 each phrase is replaced by a pointer into the training text; the language with the least wins.
 
-Symbols are lower-cased letters and one space for each run of anything else.  The automata are dense transition tables, and
-blocks of ``BLOCK`` symbols from many documents step through all of them together; each block starts a new phrase, in all
-languages alike.  Whole texts are parsed, whatever their length."""
+Symbols are lower-cased letters and one space for each run of anything else.  Texts are cut into blocks of ``BLOCK`` symbols,
+and blocks of many documents step through the automata together.  Where a block's phrases begin depends on the block before
+it, so each block starts from a guess (the state after the last ``WARM`` symbols in front of it) and is walked again from the
+state that the block before it really ended in, until none has to be: the parse is that of the unbroken text.  Parses from
+different states soon meet, as a phrase of some twenty symbols occurs once in the training text.
+
+Transitions of the ``DENSE`` commonest symbols are a table; those of rarer ones are sorted keys, so memory grows with the
+training text and not with the alphabet."""
 
 from __future__ import annotations
 
@@ -16,12 +21,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import text_rows
 
 BLOCK = 128
+#: Symbols in front of a block that its first guess is made from.
+WARM = 32
+#: Walks of all stale blocks before only the first stale one of each text is walked.
+GUESSES = 3
+#: Symbols with a column of their own in the table.
+DENSE = 96
 #: Symbol codes that every model has.
 PAD, SPACE, UNKNOWN = 0, 1, 2
 #: In a table entry, the phrases that the step closes stand above the state.
@@ -31,13 +42,16 @@ STATE_BITS = 28
 @dataclass
 class LanguageModel:
     languages: list[str]
-    alphabet: str  # letters with codes from 3
+    alphabet: str  # letters with codes from 3, the commonest first
+    width: int  # codes below have a column
     table: np.ndarray  # next state and closed phrases by state * width + symbol
+    rare_keys: np.ndarray  # state * size + symbol of the other transitions, ascending
+    rare_next: np.ndarray
     roots: np.ndarray
     log_sizes: np.ndarray
 
     @property
-    def width(self) -> int:
+    def size(self) -> int:
         return len(self.alphabet) + 3
 
 
@@ -92,18 +106,24 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
-def build_model(texts: dict[str, str]) -> LanguageModel:
+def build_model(texts: dict[str, str], dense: int = DENSE) -> LanguageModel:
     """A model from the training text of each language."""
     codes = {name: letters(text) for name, text in sorted(texts.items())}
-    alphabet = "".join(sorted({chr(c) for points in codes.values() for c in np.unique(points) if c}))
-    width, tables, roots, base = len(alphabet) + 3, [], [], 0
+    found, counts = np.unique(np.concatenate([*codes.values(), np.zeros(0, np.uint32)]), return_counts=True)
+    alphabet = "".join(chr(c) for _, c in sorted(zip((-counts).tolist(), found.tolist())) if c)
+    size = len(alphabet) + 3
+    width, tables, roots, keys, targets, base = min(size, dense + 3), [], [], [], [], 0
     lookup = {ord(c): k for k, c in enumerate(alphabet, 3)} | {0: SPACE}
     for points in codes.values():
         step = suffix_automaton([lookup[p] for p in points.tolist()])
         nxt = np.full((len(step), width), -1, np.int64)
         for state, out in enumerate(step):
             for s, to in out.items():
-                nxt[state, s] = to
+                if s < width:
+                    nxt[state, s] = to
+                else:
+                    keys.append((state + base) * size + s)
+                    targets.append(to + base)
         first = np.broadcast_to(nxt[0], nxt.shape)
         open_phrase = (np.arange(len(step)) > 0).astype(np.int64)[:, None]  # at the root no phrase is open
         # a miss closes the open phrase and starts one with the symbol; a symbol that never occurs is a phrase by itself
@@ -116,37 +136,84 @@ def build_model(texts: dict[str, str]) -> LanguageModel:
     if base >> STATE_BITS:
         raise ValueError("training text too long")
     sizes = np.array([max(len(p), 2) for p in codes.values()], float)
-    return LanguageModel(list(codes), alphabet, np.concatenate(tables).ravel() if tables else np.zeros(0, np.uint32), np.array(roots, np.uint32), np.log2(sizes))
-
-
-def phrases(model: LanguageModel, blocks: np.ndarray) -> np.ndarray:
-    """Phrases of each block (rows of ``BLOCK`` codes) in each language."""
-    state = np.repeat(model.roots[None, :], len(blocks), axis=0).astype(np.int64)
-    total = np.zeros(state.shape, np.int32)
-    for column in np.ascontiguousarray(blocks.T).astype(np.int64):
-        state *= model.width
-        state += column[:, None]
-        entry = model.table.take(state)
-        total += entry >> STATE_BITS
-        state = (entry & ((1 << STATE_BITS) - 1)).astype(np.int64)
-    return total + (state != model.roots[None, :])
-
-
-def entropies(model: LanguageModel, texts: list[str | None], at_once: int = 1 << 20) -> Iterator[np.ndarray | None]:
-    """For each text the normalised phrases in each language; None for a text without a letter."""
-    codes = np.full(0x110000, UNKNOWN, np.uint8 if model.width < 256 else np.uint16)
+    order = np.argsort(np.array(keys, np.int64))
+    return LanguageModel(
+        list(codes), alphabet, width, np.concatenate(tables).ravel() if tables else np.zeros(0, np.uint32), np.array(keys, np.int64)[order], np.array(targets, np.int64)[order], np.array(roots, np.int64), np.log2(sizes)
+    )
+
+
+def _rare_step(model: LanguageModel, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Next states over symbols without a column; -1 where there is none."""
+    if not len(model.rare_keys):
+        return np.full(len(state), -1, np.int64)
+    key = state * model.size + symbol
+    at = np.minimum(np.searchsorted(model.rare_keys, key), len(model.rare_keys) - 1)
+    return np.where(model.rare_keys[at] == key, model.rare_next[at], -1)
+
+
+def _walk(model: LanguageModel, columns: np.ndarray, rare: np.ndarray, block: np.ndarray, language: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Walks each ``block`` in its ``language`` from ``state``: phrases closed on the way and last states.  ``columns`` holds a
+    row for each place of a block, ``rare`` says at which places some block has a symbol without a column."""
+    state, total = state.copy(), np.zeros(len(state), np.int64)
+    for place, column in enumerate(columns):
+        symbol = column.take(block).astype(np.int64)
+        if not rare[place]:
+            entry = model.table.take(state * model.width + symbol)
+            total += entry >> STATE_BITS
+            state = (entry & ((1 << STATE_BITS) - 1)).astype(np.int64)
+            continue
+        entry = model.table.take(state * model.width + np.where(symbol < model.width, symbol, UNKNOWN))
+        after, closed = (entry & ((1 << STATE_BITS) - 1)).astype(np.int64), (entry >> STATE_BITS).astype(np.int64)
+        odd = np.flatnonzero(symbol >= model.width)
+        root = model.roots[language[odd]]
+        going, fresh = _rare_step(model, state[odd], symbol[odd]), _rare_step(model, root, symbol[odd])
+        after[odd] = np.where(going >= 0, going, np.where(fresh >= 0, fresh, root))
+        closed[odd] = np.where(going >= 0, 0, (state[odd] != root).astype(np.int64) + (fresh < 0))
+        state, total = after, total + closed
+    return total, state
+
+
+def phrases(model: LanguageModel, blocks: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
+    """Phrases of each text in each language.  Rows of ``blocks`` (``BLOCK`` codes each) follow each other; ``text``, ascending,
+    says whose they are."""
+    many, spoken = len(blocks), len(model.languages)
+    columns = np.ascontiguousarray(blocks.T)
+    rare = (columns >= model.width).any(axis=1)
+    heads = np.append(True, text[1:] != text[:-1])[:many]
+    begin = np.repeat(model.roots[None, :], many, axis=0)
+    b, l = np.nonzero(np.broadcast_to(~heads[:, None], begin.shape))
+    begin[b, l] = _walk(model, columns[-WARM:], rare[-WARM:], b - 1, l, begin[b, l])[1]
+    closed, end = np.zeros((many, spoken), np.int64), np.zeros((many, spoken), np.int64)
+    b, l = np.nonzero(np.ones((many, spoken), bool))
+    walks = 0
+    while len(b):
+        closed[b, l], end[b, l] = _walk(model, columns, rare, b, l, begin[b, l])
+        walks += 1
+        truly = np.where(heads[:, None], model.roots, np.roll(end, 1, axis=0))
+        b, l = np.nonzero(truly != begin)
+        if walks >= GUESSES:  # one after the other, so that no walk is in vain
+            leading = np.unique(text[b] * spoken + l, return_index=True)[1]
+            b, l = b[leading], l[leading]
+        begin[b, l] = truly[b, l]
+    total = np.zeros((n_texts, spoken), np.int64)
+    np.add.at(total, text, closed)
+    tails = np.append(text[1:] != text[:-1], True)[:many]
+    total[text[tails]] += end[tails] != model.roots
+    return total
+
+
+def entropies(model: LanguageModel, texts: list[str | None], at_once: int = 1 << 22) -> Iterator[np.ndarray | None]:
+    """For each text the normalised phrases in each language; None for a text without a letter.  About ``at_once`` symbols
+    times languages are walked together."""
+    codes = np.full(0x110000, UNKNOWN, np.min_scalar_type(model.size))
     codes[0] = SPACE
-    codes[[ord(c) for c in model.alphabet]] = np.arange(3, model.width)
+    codes[[ord(c) for c in model.alphabet]] = np.arange(3, model.size)
 
     def flush() -> Iterator[np.ndarray | None]:
-        if not rows:
-            return
-        counts = phrases(model, np.concatenate(rows).reshape(-1, BLOCK)) if any(map(len, rows)) else np.zeros((0, len(model.languages)))
-        begin = 0
-        for row, n in zip(rows, sizes):
-            k = len(row) // BLOCK
-            yield counts[begin : begin + k].sum(axis=0) * model.log_sizes / n if n else None
-            begin += k
+        lengths = np.array([len(r) // BLOCK for r in rows])
+        counts = phrases(model, np.concatenate(rows).reshape(-1, BLOCK), np.repeat(np.arange(len(rows)), lengths), len(rows))
+        for count, n in zip(counts, sizes):
+            yield count * model.log_sizes / n if n else None
 
     rows, sizes, held = [], [], 0
     for text in texts:
@@ -156,26 +223,30 @@ def entropies(model: LanguageModel, texts: list[str | None], at_once: int = 1 <<
         row[:n] = codes[points[:n]]
         rows.append(row)
         sizes.append(n)
-        held += len(row)
+        held += len(row) * len(model.languages)
         if held >= at_once:
             yield from flush()
             rows, sizes, held = [], [], 0
-    yield from flush()
+    if rows:
+        yield from flush()
 
 
-def sample_texts(rows: DataFrame, docs_per_language: int, language_symbols: int, short: int = 4000) -> dict[str, str]:
+def sample_texts(rows: DataFrame, docs_per_language: int, language_symbols: int, passage: int = 1500) -> dict[str, str]:
     """Training text of each language in ``rows`` (doc_id, text, lang): up to ``docs_per_language`` documents, one for each
-    hash bucket of ids, those of at most ``short`` characters first, joined up to ``language_symbols`` characters.  This
-    bound on what is fitted is the only one; it doesn't touch what is predicted."""
-    usable = rows.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang", F.length("text").alias("n"), F.xxhash64("doc_id").alias("h"))
-    order = F.struct((F.col("n") > short).alias("long"), "h", "doc_id")
-    picked = usable.groupBy("lang", F.pmod("h", F.lit(docs_per_language)).alias("bucket")).agg(F.min(order).alias("pick"))
-    ids = picked.select("lang", F.col("pick.doc_id").alias("doc_id"), F.col("pick.long").alias("long"), F.col("pick.h").alias("h"))
-    texts = rows.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # at most docs_per_language rows a language
+    hash bucket of ids, a passage from a hashed place of each, joined up to ``language_symbols`` characters.  A passage has
+    ``passage`` characters, more where a language has few documents.  This bound on what is fitted is the only one; it doesn't
+    touch what is predicted."""
+    usable = rows.where("lang is not null and text is not null and doc_id is not null")
+    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    picked = hashed.groupBy("lang", F.pmod("h", F.lit(docs_per_language)).alias("bucket")).agg(F.min(F.struct("h", "doc_id")).alias("pick"))
+    wanted = F.greatest(F.lit(passage), F.ceil(F.lit(language_symbols) / F.count(F.lit(1)).over(Window.partitionBy("lang"))))
+    ids = picked.select("lang", "pick.doc_id", "pick.h", wanted.cast("int").alias("want"))  # at most docs_per_language rows a language
+    start = 1 + F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - F.col("want") + 1, F.lit(1)))
+    passages = usable.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "h", "doc_id", F.substring("text", start.cast("int"), F.col("want")).alias("text"))
     found: dict[str, list] = {}
-    for r in texts.select("lang", "long", "h", F.substring("text", 1, language_symbols).alias("text")).collect():
-        found.setdefault(r.lang, []).append((r.long, r.h, r.text))
-    return {lang: "\n".join(t for *_, t in sorted(rows))[:language_symbols] for lang, rows in found.items()}
+    for r in passages.groupBy("lang", "h", "doc_id").agg(F.min("text").alias("text")).collect():  # one row an id, repeated or not
+        found.setdefault(r.lang, []).append((r.h, r.text))
+    return {lang: "\n".join(t for _, t in sorted(rows))[:language_symbols] for lang, rows in found.items()}
 
 
 def identify(docs: DataFrame, train: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", docs_per_language: int = 64, language_symbols: int = 24_000) -> DataFrame:
