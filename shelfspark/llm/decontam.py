@@ -17,6 +17,10 @@ An item that no such window is usable of (a few words, or dense in numbers and n
 sequence: of its words as they stand, and of its canonical words if ``literals`` of them are its own.  Characters of scripts
 without spaces are words.
 
+A window that many items share (a common prompt) gives a document hits with each of them.  Before any is judged, one vectorised
+step counts the item's words that stand alike at the shifts of its hits; what is covered stands so, hence an item with too few
+is out, and only the others cost a search for chains.
+
 Only the benchmark is broadcast, in blocks of about ``block_windows`` windows; a larger benchmark takes several passes over the
 documents.  Document windows meet it in a hash lookup without a shuffle."""
 
@@ -179,19 +183,52 @@ class Items:
             self.items.append((item_id, words))
         self.whole = {of: Table(own) for of, own in whole.items()}
         self.window, self.seeds = window, {width: Table(own) for width, own in seeds.items()}
+        self.sizes = np.array([len(words.raw) for _, words in self.items], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.raw, self.kinds = (np.concatenate([np.zeros(0, t), *(words[f] for _, words in self.items)]) for f, t in ((1, np.uint64), (2, np.uint8)))
+
+    def worthwhile(self, doc: Words, item: np.ndarray, place: np.ndarray, at: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(item, places, places in the document) of the hits that may lie on a chain with the share ``least`` of the item's words.
+
+        Hits of an item are split where their shifts are further apart than a chain may jump.  A chain aligns words at shifts of
+        its hits only, so a split's words that are alike at any of its shifts are at least those that a chain covers."""
+        shift = at - place
+        order = np.lexsort((shift, item))
+        item, place, at, shift = item[order], place[order], at[order], shift[order]
+        other = np.append(True, item[1:] != item[:-1])
+        split = np.cumsum(other | np.append(True, shift[1:] - shift[:-1] > self.sizes[item[1:]])) - 1
+        pairs = np.flatnonzero(other | np.append(True, shift[1:] != shift[:-1]))
+        sizes = self.sizes[item[pairs]]
+        row = np.repeat(np.arange(len(pairs)), sizes)
+        word = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        there = word + shift[pairs][row]
+        inside = np.flatnonzero((there >= 0) & (there < len(doc.raw)))
+        row, word, there = row[inside], word[inside], there[inside]
+        flat = self.starts[item[pairs]][row] + word
+        alike = (self.raw[flat] == doc.raw[there]) | ((self.kinds[flat] != PLAIN) & (self.kinds[flat] == doc.kinds[there]))
+        heads = np.flatnonzero(np.append(True, split[1:] != split[:-1]))
+        n = self.sizes[item[heads]]
+        seen = np.zeros(n.sum(), bool)
+        seen[(np.cumsum(n) - n)[split[pairs]][row[alike]] + word[alike]] = True
+        enough = np.add.reduceat(seen, np.cumsum(n) - n, dtype=np.int64) / n >= least[item[heads]]
+        ends = np.append(heads[1:], len(item))
+        for k in np.flatnonzero(enough).tolist():
+            own = slice(heads[k], ends[k])
+            yield int(item[heads[k]]), place[own], at[own]
 
     def found(self, doc: Words, coverage: float) -> Iterator[tuple]:
         """(item id, coverage, first word, last word, slots, reparameterised) of the items that the document holds."""
         best = {}
         for width, table in self.seeds.items():
             item, place, at = table.hits(window_hashes(doc.canonical, width))
-            for i in np.unique(item).tolist():
-                words, own = self.items[i][1], item == i
-                n = len(words.raw)
-                least = coverage if width == self.window else max(coverage, (n - 1) / n)
-                for chain in chains(place[own], at[own], width, n):
+            if not len(item):
+                continue
+            least = np.full(len(self.items), coverage) if width == self.window else np.maximum(coverage, (self.sizes - 1) / np.maximum(self.sizes, 1))
+            for i, places, found_at in self.worthwhile(doc, item, place, at, least):
+                words = self.items[i][1]
+                for chain in chains(places, found_at, width, len(words.raw)):
                     judged = judge(words, doc, aligned(words, doc, chain))
-                    if judged and judged[0] >= least and (i not in best or (judged[0], -judged[1]) > (best[i][0], -best[i][1])):
+                    if judged and judged[0] >= least[i] and (i not in best or (judged[0], -judged[1]) > (best[i][0], -best[i][1])):
                         best[i] = judged
         sums = {is_raw: Sums(doc.raw if is_raw else doc.canonical) for is_raw in {is_raw for _, is_raw in self.whole}}
         for (n, is_raw), table in self.whole.items():

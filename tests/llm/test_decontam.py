@@ -1,3 +1,5 @@
+import random
+
 from shelfspark.llm import decontam
 from tests.llm.helpers import EDGES, documents, empty
 
@@ -101,3 +103,46 @@ def test_filter_tells_rows_by_id_and_text(spark):
     rows = [(None, COPY), (None, "a clean text without an id"), (60, COPY), (60, "a clean text of the same id")]
     kept = decontam.without_contaminated(documents(spark, rows), items(spark)).collect()
     assert {(r.doc_id, r.text) for r in kept} == {rows[1], rows[3]}
+
+
+class Unbounded(decontam.Items):
+    """Judges every item that shares a window with the document, without the count of words alike."""
+
+    def worthwhile(self, doc, item, place, at, least):
+        for i in sorted(set(item.tolist())):
+            yield i, place[item == i], at[item == i]
+
+
+def test_count_of_words_alike_loses_no_item():
+    rng = random.Random(5)
+    vocabulary = "ab cd ef gh ij kl Bob Eve Tim 3 7 12 km red the of".split()
+
+    def words(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+    found = 0
+    for _ in range(60):
+        prompt = words(rng.randint(5, 12))
+        rows = [(k, (prompt + " " if rng.random() < 0.6 else "") + words(rng.randint(1, 30))) for k in range(8)]
+        bounded, unbounded = decontam.Items(rows, 5, 3), Unbounded(rows, 5, 3)
+        for _ in range(5):
+            text = " ".join(words(rng.randint(0, 15)) + " " + rng.choice([prompt, *(t for _, t in rows)]) for _ in range(rng.randint(1, 5))).split()
+            for _ in range(rng.randint(0, 6)):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            doc = decontam.Canonical()(" ".join(text))
+            ours = sorted(bounded.found(doc, 0.6))
+            assert ours == sorted(unbounded.found(doc, 0.6))
+            found += len(ours)
+    assert found > 300
+
+
+def test_common_prompt_costs_no_search_for_each_item(monkeypatch):
+    rng = random.Random(6)
+    prompt = "answer the following question with care and give only one final number please"
+    words = [a + b for a in "bcdfghjklm" for b in ("ato", "eli", "ura", "ony", "iske")]
+    rows = [(k, prompt + " " + " ".join(rng.choice(words) for _ in range(30))) for k in range(1000)]
+    text = " ".join([*rng.choices(words, k=100), prompt, *rng.choices(words, k=100), rows[77][1], *rng.choices(words, k=100)])
+    searched, chains = [], decontam.chains
+    monkeypatch.setattr(decontam, "chains", lambda *args: searched.append(1) or chains(*args))
+    assert [f[0] for f in decontam.Items(rows, 5, 3).found(decontam.Canonical()(text), 0.6)] == [77]
+    assert len(searched) <= 5
