@@ -27,6 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.session import cut_lineage
+
 #: Words that speak of a credential, and words that speak of what only looks like one.
 CREDENTIAL_WORDS = r"(?i)(key|token|secret|passw|pwd|credential|auth|bearer|api|private)"
 HARMLESS_WORDS = r"(?i)(phone|tel|call|card|visa|address|host|server|commit|sha|md5|hash|checksum|uuid|version|isbn|order|invoice|serial|example|sample|test|dummy)"
@@ -97,6 +99,7 @@ def label_by_form(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, fit_findings: int = 20_000, trees: int = 30, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel | float:
     """A forest on at most ``fit_findings`` rows (features and ``label``); with one class or none, that class."""
     sample = labelled.orderBy(F.xxhash64("doc_id", "word", "value"), "doc_id", "word").limit(fit_findings).select("label", *FEATURES)
+    sample = cut_lineage(sample, "findings")  # read by the count, the split search and the fit
     counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
         return next(iter(counts), 0.0)
