@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from shelfspark import config as C
 from shelfspark.functions.moments import sample_skew
@@ -58,6 +60,18 @@ def _local(one_row: DataFrame) -> DataFrame:
     return one_row.sparkSession.createDataFrame(one_row.collect(), one_row.schema).limit(1)
 
 
+def _quantile_of_counts(counts: Sequence[Column], n: Column, p: float) -> Column:
+    """The interpolated quantile of ``n`` whole numbers, ``counts[k]`` of which are k."""
+    until = F.transform(F.sequence(F.lit(1), F.lit(len(counts))), lambda k: F.aggregate(F.slice(F.array(*counts), 1, k), F.lit(0).cast("long"), lambda x, y: x + y))
+    place = F.lit(p) * (n - 1)
+
+    def value(rank: Column) -> Column:
+        return F.size(F.filter(until, lambda u: u <= rank))
+
+    low, high = value(F.floor(place)), value(F.ceil(place))
+    return low + (high - low) * (place - F.floor(place))
+
+
 def smallest_distinct(df: DataFrame, values: dict[str, Column], k: int) -> DataFrame:
     """One row: for each name the array of its ``k`` smallest distinct non-null values.
 
@@ -202,10 +216,10 @@ def check_completeness(
     for c in series:
         if c in cols:
             aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    # p95 of the per-row missing count (exact, skew-safe) as a scalar, then the single
-    # metrics row of the aggregate; statuses are derived on that one row
-    p95_row = quantiles_wide(staged.select(F.col("_miss").alias("miss")), ["miss"], {"p95": 0.95}).first()
-    w = _local(staged.agg(*aggs)).withColumn("p95", F.lit(p95_row["p95"] if p95_row else None).cast("double"))
+    # rows by their number of missing cells: at most one count a column, in the same pass; p95 is read off them
+    aggs += [F.count_if(F.col("_miss") == k).alias(f"_miss_{k}") for k in range(ncols + 1)]
+    w = _local(staged.agg(*aggs))
+    w = w.withColumn("p95", F.when(F.col("_n") > 0, _quantile_of_counts([F.col(f"_miss_{k}") for k in range(ncols + 1)], F.col("_n"), 0.95)))
     n = F.col("_n")
     # derived metrics become columns of the one-row frame once, so the check rows
     # below reference plain columns instead of re-inlining these expressions
@@ -667,15 +681,19 @@ def check_features(before: DataFrame, after: DataFrame, cyclical: Sequence[str]
 # --- Q29 roll-up ----------------------------------------------------------------------------------
 def validate(df: DataFrame, today: dt.date | None = None, method: str = "exact") -> DataFrame:
     """All seven dimensions as one check-row table."""
-    parts = [
-        check_accuracy(df, today=today),
-        check_completeness(df),
-        check_consistency(df),
-        check_uniqueness(df),
-        check_outliers(df, method=method),
-        check_distribution(df, method=method),
-        check_relationships(df),
+    checks = [
+        lambda: check_accuracy(df, today=today),
+        lambda: check_completeness(df),
+        lambda: check_consistency(df),
+        lambda: check_uniqueness(df),
+        lambda: check_outliers(df, method=method),
+        lambda: check_distribution(df, method=method),
+        lambda: check_relationships(df),
     ]
+    # each dimension runs jobs of its own while its plan is built; side by side they share the executors
+    inherit = inheritable_thread_target(df.sparkSession)
+    with ThreadPoolExecutor(len(checks)) as pool:
+        parts = [part.result() for part in [pool.submit(inherit(check)) for check in checks]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -147,3 +147,13 @@ def test_join_that_multiplies_rows_is_refused(spark):
     assert joins.assert_same_rows(left, left.join(right.limit(1), "k", "left")) == 2
     with pytest.raises(AssertionError):
         joins.assert_same_rows(left, left.join(right, "k", "left"))
+
+
+def test_quantile_of_counts_interpolates(spark):
+    rng = random.Random(11)
+    for n in (1, 2, 7, 40, 333):
+        values = [min(rng.randrange(6), rng.randrange(6)) for _ in range(n)]
+        counts = [F.lit(values.count(k)).cast("long") for k in range(6)]
+        for p in (0.0, 0.5, 0.95, 1.0):
+            got = spark.range(1).select(quality._quantile_of_counts(counts, F.lit(n), p).alias("q")).first().q
+            assert got == pytest.approx(float(np.quantile(values, p)))
