@@ -37,15 +37,17 @@ def sample_n(df: DataFrame, n: int, seed: int = C.SEED, by: str | None = None, p
     """At most ``n`` rows (per ``by`` group), chosen by seeded hash order.
 
     Without ``by``: ``orderBy(hash).limit(n)`` (per-partition top-n, then a merge).
-    With ``by``: ``row_number() <= n`` over the hash order; Spark plans a partial
-    per-group limit before the shuffle, so a hot group sends at most n rows per
-    map partition."""
+    With ``by``: ``row_number() <= n`` over the hash order.  The n-th hash of each group is found on (group, hash) alone, where
+    Spark plans a partial per-group limit before the shuffle; only rows up to it are sorted as a whole."""
     src = df.where(predicate) if predicate is not None else df
     h = row_hash(df, seed)
     if by is None:
         return src.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
-    w = Window.partitionBy(by).orderBy("_h")
-    return src.withColumn("_h", h).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_h", "_rn")
+    w, place = Window.partitionBy(by).orderBy("_h"), F.row_number()
+    least = src.select(by, h.alias("_h")).withColumn("_rn", place.over(w)).where(F.col("_rn") <= n)
+    last = cut_lineage(least.groupBy(F.col(by).alias("_group")).agg(F.max("_h").alias("_last")), "sample-ends")
+    near = src.withColumn("_h", h).join(last, F.col(by).eqNullSafe(F.col("_group")) & (F.col("_h") <= F.col("_last")))
+    return near.withColumn("_rn", place.over(w)).where(F.col("_rn") <= n).select(*df.columns)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = C.SEED) -> DataFrame:
