@@ -33,5 +33,10 @@ def test_ranks_of_a_null_group(spark):
 
 def test_exact_split_does_not_shuffle_the_rows_by_stratum(spark):
     df = spark.range(3000).selectExpr("id", "cast(id % 2 as int) AS g")
-    plan = _plan(sampling.split_flag(df, 0.2, stratify="g", exact=True).where("id < 0"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16384")  # below the bytes of the rows
+    try:
+        plan = _plan(sampling.split_flag(df, 0.2, stratify="g", exact=True).where("id < 0"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not re.search(r"hashpartitioning\(coalesce\(g#\d+, 0\), isnull\(g#\d+\), \d+\)", plan)
