@@ -72,3 +72,25 @@ def test_query_and_empty(spark):
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") not in ("", "-1")  # index rows are large
     none = empty(spark)
     assert topk.search(none, none).count() == 0 and topk.search(documents(spark, EDGES), none).count() == 0
+
+
+def test_a_search_holds_one_shard_at_a_time(spark, monkeypatch):
+    seen, plain = spark.sparkContext.accumulator(0), topk._searcher
+
+    def watched(*args):
+        run, shared = plain(*args)
+
+        def counted(batches):
+            def one(batch):
+                seen.add(batch.num_rows > 1)
+                return batch
+
+            yield from run(map(one, batches))
+
+        return counted, shared
+
+    monkeypatch.setattr(topk, "_searcher", watched)
+    before = spark.conf.get(topk.BATCH_ROWS)
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('w', id % 7, ' all') AS text").coalesce(1)
+    found = topk.search(docs, docs.where("doc_id < 3"), k=2, shard_docs=10)
+    assert found.count() == 6 and seen.value == 0 and spark.conf.get(topk.BATCH_ROWS) == before
