@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -21,18 +20,37 @@ BATCH_BYTES = 6 << 20
 #: A piece that is empty or begins with white space (or a control) does not end the run of white space before it.
 JOINED = r"^$|^[\x00-\x20\x7f-\xa0\x{180e}\x{200b}\p{Z}]"
 CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0᠎​])")
-#: A letters-only word and the marks behind it, which are pre-tokens of their own (an apostrophe may belong to both).
+#: The same beyond the first byte: white space and controls of two and three bytes, as numbers.
+WIDE_SPACE = np.array([0xC280 + k for k in range(33)] + [int.from_bytes(chr(c).encode()) for c in (0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
+#: Marks beside which words are cut; an apostrophe may belong to a word.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: ASCII white space with the run that follows it, and white space beyond it.
-INNER, ODD_SPACE = re.compile(r"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+"), re.compile(r"[^\S \t\n\r\x0b\f]")
+#: What a byte of text is.
+BEGINS, ENDS, MARK, SEEN = 1, 2, 4, 8  # a letter begins, a letter ends, a mark, a visible character ends
+KIND = np.zeros(256, np.uint8)
+KIND[0x21:0x7F] = SEEN
+KIND[[*range(65, 91), *range(97, 123)]] |= BEGINS | ENDS
+KIND[list(MARKS.encode())] |= MARK
+#: Chunks that are one pre-token of byte-level files.
+SINGLE = re.compile(f" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[{re.escape(MARKS)}]+)")
+#: The character by which byte-level files write each byte.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_CHARS = "".join(chr(b if b in _SHOWN else 256 + sum(c not in _SHOWN for c in range(b))) for b in range(256))
+#: How a file shows that it lowers letters and merges runs of letters and of marks without the space before them.
+LOWERED_WORDS = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
+SPLIT_WORDS = (
+    r"""Sequence(pretokenizers=[Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), behavior=Removed, invert=True), """
+    "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])"
+)
 #: Tried in turn as a mark between chunks that are encoded together: it must come out as one id of its own.
 SEPARATORS = ("\n", " ~ ", " | ", " ^ ")
 #: Chunks encoded together.
 TOGETHER = 1000
 #: Words on which a file shows that its merges may be asked for directly.
-WORD_PROBES = ("a", " a", "the", " the", " Hello", "tokenisers", " antidisestablishmentarianism", " qzxjv")
+WORD_PROBES = ("a", " a", "the", " the", " Hello", "tokenisers", " antidisestablishmentarianism", " qzxjv", " Été", "ßÿÀ", ",", " (", "!?.", " ###~")
 #: Strings on which a file shows that it never joins a visible character and the space behind it.
 PROBES = ("a b", "it's, isn't it ? 12 34", "x  y", "e\n f", "Ünï  漢字 ok", "the end . The end", "a  \n\t b c", "!! !! ~ ~")
+#: The same for letters and the marks beside them, and for single line ends.
+FINE_PROBES = ("end.\nNext one", "a,b (c) \"d\" e! ", "été!x É,ß ÿ.", "##\nno***on\n12\n'a'\n漢", ".\n\nA\n B", "\nfoo\n", "x.'s x!'s x's.", "a-b_c/d <e>f|g", "$1.50, no.1 (2)")
 
 
 def _begin_with_space(pieces: pa.Array) -> np.ndarray:
@@ -80,31 +98,80 @@ def in_parts(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def text_pieces(texts: pa.Array, fine: bool) -> tuple[pa.Array, np.ndarray]:
+    """Texts (large strings without NULL) cut before each space that a visible character follows; with ``fine`` also around marks
+    beside letters (ASCII and Latin-1; no apostrophes) and around single line ends: (pieces, first piece of each text)."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets, n = offsets - offsets[0], len(raw)
+    raw = np.append(raw, np.zeros(3, np.uint8))
+    starts = np.zeros(n + 1, bool)
+    starts[offsets] = True
+    cut = starts.copy()
+
+    def before_visible(at: np.ndarray) -> np.ndarray:
+        """Those of the places behind which a visible character of the same text stands."""
+        byte = raw[at + 1]
+        seen = (byte > 0x20) & (byte != 0x7F) & ~starts[at + 1]
+        wide = np.flatnonzero(seen & (byte >= 0xC2) & (byte <= 0xE3))
+        first, second, third = (raw[at[wide] + k].astype(np.int64) for k in (1, 2, 3))
+        seen[wide] = ~np.isin(np.where(first < 0xE0, first << 8 | second, first << 16 | second << 8 | third), WIDE_SPACE)
+        return at[seen]
+
+    cut[before_visible(np.flatnonzero(raw[:n] == 0x20))] = True
+    if fine:
+        kind = KIND[raw]
+        lead = np.flatnonzero(raw[:n] == 0xC3)
+        lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]  # the signs of multiplication and division
+        kind[lead] |= BEGINS
+        kind[lead + 1] |= ENDS | SEEN
+        left, right = kind[: max(n - 1, 0)], kind[1 : max(n, 1)]
+        cut[1:n] |= ((left & ENDS) > 0) & ((right & MARK) > 0) | ((left & MARK) > 0) & ((right & BEGINS) > 0)
+        line = np.flatnonzero(raw[1:n] == 0x0A) + 1
+        line = line[(kind[line - 1] & SEEN) > 0]
+        cut[line] = True
+        cut[before_visible(line) + 1] = True
+    place = np.flatnonzero(cut[:n])
+    edges = pa.py_buffer(np.append(place, n))
+    return pa.LargeStringArray.from_buffers(len(place), edges, pa.py_buffer(raw)), np.searchsorted(place, offsets[:-1])
+
+
+def _gathered(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size`` ids from each ``start`` on, one behind another."""
+    end = np.cumsum(size)
+    return pool[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+
+
 class ChunkEncoder:
-    """Encodes texts; remembers the ids of chunks, so that a word goes through the vocabulary's merges once.  The memory is two
-    generations of up to ``memo_chunks`` chunks; the older one is dropped when the younger is full.
+    """Encodes texts; remembers the ids of pieces of text, so that a word goes through the vocabulary's merges once.  The memory is
+    one column of strings and one of ids; beyond four times ``memo_chunks`` pieces it is cut to the half that came last.
 
-    Chunks are right for tokenizers that split at white space before merging, as byte-level and end-of-word BPE do; a file
+    Pieces are right for tokenizers that split at white space before merging, as byte-level and end-of-word BPE do; a file
     that does not (see ``PROBES``) has whole texts encoded, as have texts with strings of special tokens."""
 
     def __init__(self, path: str, memo_chunks: int = 120_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo_chunks, self.memo, self.older = memo_chunks, {}, {}
+        self.memo_chunks = memo_chunks
+        self.names, self.pool = pa.array([], pa.large_string()), np.zeros(0, np.uint32)
+        self.start, self.size, self.used, self.turn = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), 0
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = "|".join(map(re.escape, special))
         self.separator, self.mark = next(((s, ids[0]) for s in SEPARATORS if len(ids := self._separator_ids(s)) == 1), ("", -1))
-        self.in_chunks = all(self._ids(p) == list(chain.from_iterable(self._ids(c) for c in self._chunks_of(p))) for p in PROBES)
+        self.in_chunks, self.fine = self._splits(PROBES, False), self._splits(PROBES + FINE_PROBES, True)
 
         split, normal = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
         self.direct = normal is None and type(split).__name__ == "ByteLevel" and not split.add_prefix_space and split.use_regex
-        self.direct = self.direct and all(self._merged([w])[0] == np.asarray(self._ids(w), "<u4").tobytes() for w in WORD_PROBES)
+        self.direct = self.direct and self._asked_rightly(False)
+        self.lowered = (repr(normal), repr(split)) == (LOWERED_WORDS, SPLIT_WORDS) and self._asked_rightly(True)
+
+    def _splits(self, probes: tuple[str, ...], fine: bool) -> bool:
+        return all(self._ids(p) == list(chain.from_iterable(map(self._ids, text_pieces(pa.array([p], pa.large_string()), fine)[0].to_pylist()))) for p in probes)
 
-    @staticmethod
-    def _chunks_of(text: str) -> list[str]:
-        codes, _, chunks = chunk_codes(pa.array([text], pa.large_string()))
-        return [chunks[c] for c in codes]
+    def _asked_rightly(self, lowered: bool) -> bool:
+        ids, size = self._merged(list(WORD_PROBES), lowered)
+        return [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [self._ids(w) for w in WORD_PROBES]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -113,86 +180,68 @@ class ChunkEncoder:
         a, b, both = self._ids("so"), self._ids("it"), self._ids(f"so{separator}it")
         return both[len(a) : len(both) - len(b)] if both[: len(a)] == a and both[len(both) - len(b) :] == b else []
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _merged(self, words: list[str]) -> list[bytes]:
-        """Ids of words of ASCII letters, with a space before them or not: one pre-token each, so the library's model alone is asked."""
-        model = self.tokenizer.model.tokenize
-        out = [array("I", [t.id for t in model("Ġ" + w[1:] if w[0] == " " else w)]) for w in words]
-        return [np.asarray(ids, "<u4").tobytes() for ids in out] if sys.byteorder == "big" else [ids.tobytes() for ids in out]
-
-    def _together(self, chunks: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _merged(self, words: list[str], lowered: bool) -> tuple[np.ndarray, list[int]]:
+        """Ids, one behind another, and their number for each word.  ``words`` are matched by ``SINGLE``: one pre-token each, so the
+        library's model alone is asked.  ``lowered``: by a file that takes lower case and leaves spaces out."""
+        joined = "\n".join([w.removeprefix(" ") for w in words]).lower() if lowered else "\n".join(words)
+        ids, size, model = array("I"), [], self.tokenizer.model.tokenize
+        for line in joined.encode().split(b"\n") if words else ():
+            found = [t.id for t in model(line.decode("latin-1").translate(BYTE_CHARS))]
+            ids.extend(found)
+            size.append(len(found))
+        return np.asarray(ids, np.uint32), size
+
+    def _together(self, chunks: list[str]) -> list[np.ndarray]:
         """Ids of each chunk, from one text that has the separator between them."""
         out = []
         for start in range(0, len(chunks), TOGETHER):
             group = chunks[start : start + TOGETHER]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([self.separator.join(group)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([self.separator.join(group)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
             if len(ends) != len(group):
                 out += self._whole(group)
                 continue
-            raw, begin = ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(raw[4 * begin : 4 * end])
-                begin = end + 1
+            out += [ids[a:b] for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())]
         return out
 
-    def _known(self, chunks: set[str]) -> set[str]:
-        """Takes what the older memory knows of ``chunks`` into the younger; returns the others."""
-        found = chunks & self.older.keys()
-        self.memo.update((c, self.older[c]) for c in found)
-        return chunks - found
-
-    def _learn(self, chunks: set[str]) -> None:
-        memo, sign = self.memo, self.separator.strip() or self.separator
-        plain, rest, split, lines = set(), set(), {}, {}
-
-        def place(word: str) -> None:
-            if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-                plain.add(word)
-            elif word.split() != [word.removeprefix(" ")]:
-                rest.add(word)
-            else:
-                body = word.rstrip(MARKS)
-                if len(body) < len(word) and body.removeprefix(" ").isalpha():
-                    split[word] = body, word[len(body) :]
-                else:
-                    (rest if not sign or sign in word else plain).add(word)
-
-        for chunk in self._known(chunks):
-            if not (chunk[1:].isalpha() and chunk[0] == " ") and chunk.split() != [chunk.removeprefix(" ")] and not ODD_SPACE.search(chunk):
-                lines[chunk] = INNER.findall(chunk)
-            else:
-                place(chunk)
-        for word in set(chain.from_iterable(lines.values())).difference(memo):
-            place(word)
-        for body, tail in split.values():
-            plain.add(body)
-            (rest if not sign or sign in tail else plain).add(tail)
-        plain, rest = (list(self._known(found.difference(memo))) for found in (plain, rest))
-        if self.direct:
-            letters = [c for c in plain if c.isascii() and c.removeprefix(" ").isalpha()]
-            memo.update(zip(letters, self._merged(letters)))
-            plain = list(set(plain).difference(letters))
-        memo.update(zip(plain, self._together(plain) if sign else self._whole(plain)))
-        memo.update(zip(rest, self._whole(rest)))
-        memo.update((c, memo[body] + memo[tail]) for c, (body, tail) in split.items())
-        memo.update((c, b"".join(map(memo.__getitem__, parts))) for c, parts in lines.items())
+    def _learn(self, words: list[str]) -> None:
+        """Adds the ids of ``words`` to the memory, in this order."""
+        sign, kinds = self.separator.strip() or self.separator, ([], [], [])
+        asked = SINGLE.fullmatch if self.direct or self.lowered else lambda word: None
+        for n, word in enumerate(words):
+            plain = sign and sign not in word and word.split() == [word.removeprefix(" ")]
+            kinds[0 if asked(word) else 1 if plain else 2].append(n)
+        ids, size = self._merged([words[n] for n in kinds[0]], self.lowered)
+        found = self._together([words[n] for n in kinds[1]]) + self._whole([words[n] for n in kinds[2]])
+        at = np.array([*kinds[0], *kinds[1], *kinds[2]], np.int64)
+        sizes = np.array([*size, *map(len, found)], np.int64)
+        start, own = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        start[at], own[at] = len(self.pool) + np.cumsum(sizes) - sizes, sizes
+        self.pool = np.concatenate([self.pool, ids, *found])
+        self.start, self.size = np.append(self.start, start), np.append(self.size, own)
+
+    def _forget(self) -> None:
+        kept = np.argsort(-self.used, kind="stable")[: 2 * self.memo_chunks]
+        kept.sort()
+        self.names, self.used, size = self.names.take(pa.array(kept)), self.used[kept], self.size[kept]
+        self.pool, self.start, self.size = _gathered(self.pool, self.start[kept], size), np.cumsum(size) - size, size
 
     def _batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        codes, begin, chunks = chunk_codes(texts)
-        if len(self.memo) > self.memo_chunks:
-            self.memo, self.older = {}, self.memo
-        missing = set(chunks).difference(self.memo)
-        if missing:
-            self._learn(missing)
-        own = [self.memo[c] for c in chunks]
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        ids, start = np.frombuffer(b"".join(own), "<u4"), np.cumsum(size) - size
-        size, start = size[codes], start[codes]
-        end = np.cumsum(size)
-        ids = ids[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+        known, self.turn = len(self.names), self.turn + 1
+        pieces, begin = text_pieces(texts, self.fine)
+        coded = pa.concat_arrays([self.names, pieces]).dictionary_encode()  # what is known keeps its number
+        codes, self.names = coded.indices.to_numpy()[known:], coded.dictionary
+        if len(self.names) > known:
+            self._learn(self.names.slice(known).to_pylist())
+            self.used = np.append(self.used, np.zeros(len(self.names) - known, np.int32))
+        self.used[codes] = self.turn
+        size = self.size[codes]
+        ids, end = _gathered(self.pool, self.start[codes], size).astype("<u4", copy=False), np.cumsum(size)
+        if len(self.names) > 4 * self.memo_chunks:
+            self._forget()
         edge = np.append(0, end)[np.append(begin, len(codes))]
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             yield ids[a:b]
