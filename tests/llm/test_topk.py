@@ -42,6 +42,36 @@ def test_block_max_wand_is_exact(seed):
     assert found == [(pytest.approx(s, abs=1.1e-6), d) for s, d in want]
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_queries_scored_together_match_the_walk(seed, monkeypatch):
+    """Bits of the scores and documents are those of each query's own walk, by products, postings or both."""
+    monkeypatch.setattr(topk, "PRODUCT_SHARE", [0.0, 0.2, 2.0][seed % 3])
+    monkeypatch.setattr(topk, "POSTINGS_AT_ONCE", [40, 2_000_000][seed % 2])
+    rng = random.Random(seed)
+    n_terms, n_docs, k = rng.randint(2, 40), rng.choice([3, 150, 900]), rng.choice([1, 4, 10])
+    rows = sorted((t, d) for t in range(n_terms) for d in rng.sample(range(n_docs), rng.randint(0, n_docs) // rng.choice([1, 10])))
+    scores = np.array([rng.choice([0.5, 1.0, rng.random() * 3]) for _ in rows])
+    term, doc = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    shard = topk.Shard(doc, scores, term, n_terms, n_docs)
+    asked = [np.array(sorted(rng.sample(range(n_terms), rng.randint(1, n_terms)))) for _ in range(9)]
+    least = np.array([rng.choice([0.0, 0.0, 1.0, 5.0]) for _ in asked])
+    found = list(zip(*(c.tolist() for c in shard.best_of_all(np.concatenate(asked), np.array([len(a) for a in asked]), least, k))))
+    for q, terms in enumerate(asked):
+        want = [(-s, d) for part in shard.best(terms, least[q], k) for d, s in zip(*(c.tolist() for c in part))]
+        assert sorted((-s, d) for n, d, s in found if n == q)[:k] == sorted(want)[:k]
+
+
+def test_long_queries_read_no_posting_list_a_query(monkeypatch):
+    """Queries of hundreds of common words don't walk the lists one query at a time."""
+    rng = np.random.default_rng(1)
+    pairs = np.flatnonzero(rng.random(300 * 2000) < 0.2)
+    shard = topk.Shard(pairs % 2000, rng.random(len(pairs)) + 0.1, pairs // 2000, 300, 2000)
+    monkeypatch.setattr(topk.Shard, "best", lambda *a: pytest.fail("walked alone"))
+    kept = tuple(np.zeros(0, t) for t in (int, float, bool, int))
+    query, _, _ = topk._best_of_group(shard, np.tile(np.arange(300), 5), np.repeat(np.arange(5), 300), 5, kept, 10)
+    assert (np.bincount(query, minlength=5) >= 10).all() and len(query) < 5 * 50
+
+
 def test_blocks_below_the_threshold_are_not_read():
     doc = np.arange(10_000)
     shard = topk.Shard(doc, np.where(doc < 20, 9.0, 1.0), np.zeros(10_000, np.int64), 1, 10_000)
