@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.operators import aggregates, cleaning, features, joins
-from shelfspark.plans import catalog
+from shelfspark.plans import catalog, stages
 from shelfspark.session import HUGE_METHOD, small_methods
 
 
@@ -71,3 +71,22 @@ def test_generated_methods_stay_small(spark):
         assert spark.conf.get(HUGE_METHOD) == "5000"
     finally:
         spark.conf.set(HUGE_METHOD, before)
+
+
+def test_feature_stage_is_not_written_a_second_time(spark, tmp_path):
+    """Features are a projection of the merged table: their sixty columns are computed where they are read."""
+    n = spark.range(400)
+    n.selectExpr(
+        "id AS l_orderkey", "id % 30 AS l_partkey", "id % 8 AS l_suppkey", "cast(id % 5 + 1 as int) AS l_linenumber", "cast(id % 50 as double) AS l_quantity", "id * 1.5D AS l_extendedprice",
+        "(id % 11) / 100D AS l_discount", "(id % 9) / 100D AS l_tax", "if(id % 4 = 0, 'R', 'N') AS l_returnflag", "date_add(date'2020-01-01', cast(id as int)) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    n.selectExpr("id AS o_orderkey", "if(id % 5 = 0, '1-URGENT', '2-HIGH') AS o_orderpriority", "date_add(date'2020-01-01', cast(id as int)) AS o_orderdate", "id * 10D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(8).selectExpr("id AS s_suppkey", "id % 4 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = stages.featured(spark, str(tmp_path))
+    read = {f.split("/tables/")[1].split("/")[0].rsplit("-", 1)[0] for f in found.inputFiles()}
+    assert "merged" in read and "featured" not in read
+    assert stages.featured(spark, str(tmp_path)) is found and found.count() == 400
+    want = features.engineer(cleaning.clean(stages.merged(spark, str(tmp_path)))[0])
+    assert found.columns == want.columns and found.exceptAll(want).count() == 0
+    used = stages.eda(spark, str(tmp_path)).groupBy("HasAnyMarkDown", "IsHoliday").agg(F.avg("Weekly_Sales"))
+    assert "hashpartitioning(Store" not in _plan(used)
