@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.operators import aggregates, cleaning, features, joins
+from shelfspark.operators import aggregates, cleaning, features, joins, ranks
 from shelfspark.plans import catalog, stages
 from shelfspark.session import HUGE_METHOD, small_methods
 
@@ -90,3 +90,15 @@ def test_feature_stage_is_not_written_a_second_time(spark, tmp_path):
     assert found.columns == want.columns and found.exceptAll(want).count() == 0
     used = stages.eda(spark, str(tmp_path)).groupBy("HasAnyMarkDown", "IsHoliday").agg(F.avg("Weekly_Sales"))
     assert "hashpartitioning(Store" not in _plan(used)
+
+
+def test_quantiles_by_group_shuffle_no_rows_for_the_brackets(spark):
+    df, limit = spark.range(30_000).selectExpr("nullif(id % 7, 6) AS g", "cast(id as double) AS v"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "20000")  # fewer bytes than the rows, more than the brackets
+        out = ranks.group_quantiles(df, "v", [0.5], ["g"])
+        assert "SortMergeJoin" not in _plan(out) and "BroadcastHashJoin" in _plan(out)
+        assert {r.g: r.q for r in out.collect()} == {None if k == 6 else k: (k + (k + (29_999 - k) // 7 * 7)) / 2 for k in range(7)}
+    finally:
+        spark.conf.set(limit, before)
