@@ -1,48 +1,94 @@
 """Column profiles and descriptive statistics.
 
-Numeric profiles unpivot the table to (column, value) and aggregate per
-column, so 60 columns × 11 statistics is one aggregate of 11 expressions
-rather than 660; quartiles come from one exact rank-table pass for all
-columns together.
+Numeric profiles go over the columns as arrays: a task returns one row of
+moments a column, quartiles are exact for all columns together, and values
+beyond their fences are counted in one wide aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.functions.moments import sample_excess_kurtosis, sample_skew, shape_label
+from shelfspark.functions.moments import shape_label
 from shelfspark.operators.common import numeric_columns, one_row_concat, pct, present
-from shelfspark.operators.ranks import group_quantiles, quantiles_wide, rank_table, unpivot_numeric
+from shelfspark.operators.ranks import group_quantiles, quantiles_wide, rank_table
 from shelfspark.session import cut_lineage
 
 
+def column_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, count, _rows, mean, std (n−1), min, max, skewness, kurtosis) of numeric columns; skewness and excess kurtosis are
+    bias-corrected as in :mod:`moments`.  Columns without a value have no row."""
+    cols = list(columns)
+    numbers = df.select(*[F.col(c).cast("double").alias(f"v{k}") for k, c in enumerate(cols)])
+
+    def merged(a: tuple, b: tuple) -> tuple:
+        """Two pieces' (n, mean, sums of the 2nd to 4th powers of distances from it, least, greatest) as one."""
+        (na, ma, a2, a3, a4, la, ga), (nb, mb, b2, b3, b4, lb, gb) = a, b
+        n, d = na + nb, mb - ma
+        m2 = a2 + b2 + d * d * na * nb / n
+        m3 = a3 + b3 + d**3 * na * nb * (na - nb) / n**2 + 3 * d * (na * b2 - nb * a2) / n
+        m4 = a4 + b4 + d**4 * na * nb * (na * na - na * nb + nb * nb) / n**3 + 6 * d * d * (na * na * b2 + nb * nb * a2) / n**2 + 4 * d * (na * b3 - nb * a3) / n
+        return n, ma + d * nb / n, m2, m3, m4, np.fmin(la, lb), np.maximum(ga, gb)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple | None] = [None] * len(cols)
+        rows = 0
+        for batch in batches:
+            rows += batch.num_rows
+            for k in range(len(cols)):
+                x = batch.column(k).drop_null().to_numpy()
+                if not len(x):
+                    continue
+                least, most = float(np.fmin.reduce(x)), float(x.max())
+                mean = least if least == most else float(x.mean())
+                d = x - mean
+                square = d * d
+                new = (float(len(x)), mean, float(square.sum()), float(square @ d), float(square @ square), least, most)
+                held[k] = new if held[k] is None else merged(held[k], new)
+        for k, values in enumerate(held):
+            if rows:
+                yield pa.RecordBatch.from_pylist([{"k": k, "rows": rows, "values": values and list(map(float, values))}], kinds)
+
+    def whole(table: pa.Table) -> pa.Table:
+        values = None
+        for piece in table.column("values").to_pylist():
+            if piece is not None:
+                values = tuple(piece) if values is None else merged(values, tuple(piece))
+        if values is None:
+            return out_kinds.empty_table()
+        n, mean, m2, m3, m4, least, most = map(float, values)
+        with np.errstate(all="ignore"):
+            g1, g2 = np.sqrt(n) * m3 / np.sqrt(np.float64(m2) ** 3), n * m4 / np.float64(m2) ** 2 - 3
+        skew = None if n < 3 else 0.0 if m2 == 0 else float(g1 * np.sqrt(n * (n - 1)) / (n - 2))
+        kurtosis = None if n < 4 else 0.0 if m2 == 0 else float((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+        row = (cols[table.column("k")[0].as_py()], int(n), sum(table.column("rows").to_pylist()), mean, float(np.sqrt(m2 / (n - 1))) if n > 1 else None, least, most, skew, kurtosis)
+        return pa.Table.from_pylist([dict(zip(out_kinds.names, row))], out_kinds)
+
+    kinds = pa.schema([("k", pa.int32()), ("rows", pa.int64()), ("values", pa.list_(pa.float64()))])
+    doubles = ["mean", "std", "min", "max", "skewness", "kurtosis"]
+    out_kinds = pa.schema([("column", pa.string()), ("count", pa.int64()), ("_rows", pa.int64()), *[(c, pa.float64()) for c in doubles]])
+    found = numbers.mapInArrow(run, "k int, rows long, values array<double>").groupBy("k")
+    return found.applyInArrow(whole, "column string, count long, _rows long, " + ", ".join(f"{c} double" for c in doubles))
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """Per column count, null_pct, mean, median, std (n−1), min, max, q1, q3,
     bias-corrected skew and excess kurtosis, shape label, IQR outlier count and pct."""
     cols = list(columns) if columns is not None else numeric_columns(df)
     cols = present(df, cols)
-    long = unpivot_numeric(df, cols)
-    v = F.col("value")
-    stats = long.groupBy("column").agg(
-        F.count(v).alias("count"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        sample_skew(v).alias("skewness"),
-        sample_excess_kurtosis(v).alias("kurtosis"),
-    )
+    stats = column_moments(df, cols)
     q = quantiles_wide(df, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75}, method=method)
-    prof = stats.join(q, "column", "left")
-    iqr = F.col("q3") - F.col("q1")
-    fences = prof.select("column", (F.col("q1") - 1.5 * iqr).alias("_lb"), (F.col("q3") + 1.5 * iqr).alias("_ub"))
-    outl = long.join(F.broadcast(fences), "column").groupBy("column").agg(
-        F.count_if(v.isNotNull() & ((v < F.col("_lb")) | (v > F.col("_ub")))).alias("iqr_outlier_count")
-    )
+    prof = cut_lineage(stats.join(q, "column", "left"), "profile")  # one row a column
+    fences = {r["column"]: (r.q1 - 1.5 * (r.q3 - r.q1), r.q3 + 1.5 * (r.q3 - r.q1)) for r in prof.where("q1 IS NOT NULL").collect()}
+    beyond = [F.count_if((F.col(c).cast("double") < fences[c][0]) | (F.col(c).cast("double") > fences[c][1])) for c in fences]
+    names = F.array(*[F.lit(c) for c in fences]).cast("array<string>")
+    counts = df.agg(F.array(*beyond).cast("array<long>").alias("_beyond")).select(F.explode(F.arrays_zip(names.alias("column"), F.col("_beyond").alias("iqr_outlier_count"))).alias("_o"))
+    outl = counts.select("_o.column", "_o.iqr_outlier_count")
     out = prof.join(outl, "column", "left")
     return out.select(
         "column",
