@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from shelfspark.llm import topk
@@ -124,3 +125,12 @@ def test_a_search_holds_one_shard_at_a_time(spark, monkeypatch):
     docs = spark.range(60).selectExpr("id AS doc_id", "concat('w', id % 7, ' all') AS text").coalesce(1)
     found = topk.search(docs, docs.where("doc_id < 3"), k=2, shard_docs=10)
     assert found.count() == 6 and seen.value == 0 and spark.conf.get(topk.BATCH_ROWS) == before
+
+
+def test_each_shard_is_a_row_group(spark):
+    words = [f"w{i}" for i in range(4000)]
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 2000])) for i in range(1200)], "doc_id long, text string").coalesce(1)
+    index = topk.build_index(docs, shard_docs=100)
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    sizes = [m.row_group(k).num_rows for m in groups for k in range(m.num_row_groups)]
+    assert sum(sizes) == index.count() == 12 and max(sizes) <= 2
