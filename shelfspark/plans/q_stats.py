@@ -12,6 +12,7 @@ from shelfspark.operators.common import numeric_columns
 from shelfspark.plans import stages
 from shelfspark.plans.catalog import register, stage_sql
 from shelfspark.plans.oracle_sql import r
+from shelfspark.session import cut_lineage
 
 NUM = C.NUMERIC_COLUMNS
 
@@ -71,7 +72,8 @@ def d1(spark, sf_dir):
 def d1b(spark, sf_dir):
     """D1 on every numeric column of the EDA table (the dashboard's feature_statistics)."""
     eda = stages.eda(spark, sf_dir)
-    return D.numeric_profile(eda, eda_numeric(eda))
+    columns = eda_numeric(eda)
+    return D.numeric_profile(cut_lineage(eda.select(*columns), "eda-numeric"), columns)  # the profile reads them four times
 
 
 def _cat_sql(col: str) -> str:
